@@ -44,7 +44,7 @@ def rows_of(table) -> tuple[list[str], list[str], list[tuple]]:
 def compare(spark_df, connection, sql: str) -> list[str]:
     """Differences, empty when all agree."""
     left = rows_of(spark_df.toArrow())
-    right = rows_of(connection.execute(sql).to_arrow_table())
+    right = rows_of(connection.sql(sql).to_arrow_table())
     problems = []
     if left[0] != right[0]:
         return [f"columns {set(left[0]) ^ set(right[0])}"]

@@ -6,6 +6,8 @@ rounded average then flips. Each value is therefore put on a fixed scale as a
 halves stay in ``bigint`` inside generated code (decimal sums were about eight
 times slower when measured), and neither can overflow before 1e14 rows. The halves
 meet in a decimal only once per group.
+
+Arguments are SQL expressions, results are columns.
 """
 
 from __future__ import annotations
@@ -17,84 +19,81 @@ LOW_BITS = 16
 LOW_MASK = (1 << LOW_BITS) - 1
 
 
-def scaled(value: Column, places: int = PLACES) -> Column:
+def units(value: str, places: int = PLACES) -> str:
     """``value`` as whole units of 10**-places, half rounded up."""
-    return F.floor(value * F.lit(float(10**places)) + F.lit(0.5))
+    return f"floor(({value}) * {10**places}D + 0.5D)"
 
 
-def high_part(units: Column) -> Column:
-    return F.shiftright(units, LOW_BITS)
+def high_part(whole: str) -> str:
+    return f"shiftright({whole}, {LOW_BITS})"
 
 
-def low_part(units: Column) -> Column:
-    return units.bitwiseAND(F.lit(LOW_MASK))
+def low_part(whole: str) -> str:
+    return f"({whole} & {LOW_MASK}L)"
 
 
-def joined_parts(high: Column, low: Column) -> Column:
+def joined_parts(high: str, low: str) -> str:
     """The exact total from the two summed halves."""
-    return high.cast("decimal(20,0)") * F.lit(1 << LOW_BITS) + low.cast("decimal(20,0)")
+    return f"(cast({high} as decimal(20,0)) * {1 << LOW_BITS} + cast({low} as decimal(20,0)))"
 
 
-def total(units: Column) -> Column:
-    """Exact sum of a ``bigint`` column (aggregate)."""
-    return joined_parts(F.sum(high_part(units)), F.sum(low_part(units)))
+def total(whole: str) -> str:
+    """Exact sum of whole units (aggregate)."""
+    return joined_parts(f"sum({high_part(whole)})", f"sum({low_part(whole)})")
 
 
-def whole_ratio(numerator: Column, denominator: Column, places: int) -> Column:
-    """``numerator/denominator`` in units of 10**-places, half away from zero.
+def ratio(numerator: str, denominator: str, places: int) -> Column:
+    """``numerator/denominator`` of whole numbers, rounded half away from zero.
 
     Null when the denominator is zero or null. The denominator is never negative.
     """
-    num = numerator.cast("decimal(28,0)")
-    den = F.nullif(denominator.cast("decimal(28,0)"), F.lit(0).cast("decimal(28,0)"))
-    whole = F.call_function("div", F.abs(num) * F.lit(2 * 10**places) + den, den * F.lit(2))
-    return F.when(num < 0, -whole).otherwise(whole)
-
+    num = f"cast({numerator} as decimal(28,0))"
+    den = f"cast({denominator} as decimal(28,0))"
+    whole = f"(abs({num}) * {2 * 10**places} + {den}) div (nullif({den}, 0) * 2)"
+    sign = f"case when {num} < 0 then -1 else 1 end"
+    return F.expr(f"cast({sign} * ({whole}) as double) / {10**places}D")
 
-def ratio(numerator: Column, denominator: Column, places: int) -> Column:
-    """``numerator/denominator`` as a double rounded to ``places`` digits."""
-    return whole_ratio(numerator, denominator, places).cast("double") / F.lit(float(10**places))
 
-
-def percent(part: Column, whole: Column, places: int = 2) -> Column:
+def percent(part: str, whole: str, places: int = 2) -> Column:
     """``100 * part / whole`` rounded to ``places`` digits."""
-    return ratio(part.cast("decimal(20,0)") * F.lit(100), whole, places)
+    return ratio(f"(cast({part} as decimal(20,0)) * 100)", whole, places)
 
 
-def mean_of_parts(high: Column, low: Column, count: Column, places: int) -> Column:
-    return ratio(
-        joined_parts(high, low), count.cast("decimal(20,0)") * F.lit(10**PLACES), places
-    )
+def mean_of_parts(high: str, low: str, count: str, places: int) -> Column:
+    scale = f"(cast({count} as decimal(20,0)) * {10**PLACES})"
+    return ratio(joined_parts(high, low), scale, places)
 
 
-def mean(value: Column, places: int = 2) -> Column:
+def mean(value: str, places: int = 2) -> Column:
     """Average of the non-null values, rounded to ``places`` digits (aggregate)."""
-    units = scaled(value)
+    whole = units(value)
     return mean_of_parts(
-        F.sum(high_part(units)), F.sum(low_part(units)), F.count(value), places
+        f"sum({high_part(whole)})", f"sum({low_part(whole)})", f"count({value})", places
     )
 
 
-def sum_of(value: Column, places: int = 2) -> Column:
+def sum_of(value: str, places: int = 2) -> Column:
     """Sum of the non-null values, rounded to ``places`` digits (aggregate)."""
-    return ratio(total(scaled(value)), F.lit(10**PLACES), places)
+    return ratio(total(units(value)), str(10**PLACES), places)
 
 
-def difference(left: Column, right: Column, places: int = 2) -> Column:
+def difference(left: str, right: str, places: int = 2) -> Column:
     """``left - right`` of two values already rounded to ``places`` digits."""
-    units = scaled(left, places) - scaled(right, places)
-    return units.cast("double") / F.lit(float(10**places))
+    gap = f"{units(left, places)} - {units(right, places)}"
+    return F.expr(f"cast({gap} as double) / {10**places}D")
 
 
-def weighted_mean(value: Column, weight: Column, places: int = 2) -> Column:
+def weighted_mean(value: str, weight: str, places: int = 2) -> Column:
     """``sum(value*weight)/sum(weight)`` of values rounded to ``places`` (aggregate)."""
-    units = scaled(value, places)
+    whole = units(value, places)
     # decimal before the product: a rolled-up weight can be any bigint
-    products = F.sum(units.cast("decimal(18,0)") * weight.cast("decimal(19,0)"))
-    return ratio(products, F.sum(weight).cast("decimal(20,0)") * F.lit(10**places), places)
+    products = f"sum(cast({whole} as decimal(18,0)) * cast({weight} as decimal(19,0)))"
+    return ratio(
+        products, f"(cast(sum({weight}) as decimal(20,0)) * {10**places})", places
+    )
 
 
-def mean_of_rounded(value: Column, places: int = 2) -> Column:
+def mean_of_rounded(value: str, places: int = 2) -> Column:
     """Unweighted average of values already rounded to ``places`` (aggregate)."""
-    units = F.sum(scaled(value, places))
-    return ratio(units, F.count(value).cast("decimal(20,0)") * F.lit(10**places), places)
+    count = f"(cast(count({value}) as decimal(20,0)) * {10**places})"
+    return ratio(f"sum({units(value, places)})", count, places)

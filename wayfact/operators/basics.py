@@ -44,7 +44,7 @@ def busiest_hours(trips: DataFrame, k: int = 5) -> DataFrame:
 def fare_by_passengers(trips: DataFrame) -> DataFrame:
     return (
         trips.groupBy("passenger_count")
-        .agg(exact.mean(F.col("fare_amount")).alias("avg_fare_usd"), row_count("n_trips"))
+        .agg(exact.mean("fare_amount").alias("avg_fare_usd"), row_count("n_trips"))
         .orderBy("passenger_count")
     )
 
@@ -61,8 +61,8 @@ def tip_by_payment(trips: DataFrame) -> DataFrame:
         with_tip_pct(trips)
         .groupBy("payment_type")
         .agg(
-            exact.mean(F.col("tip_pct")).alias("avg_tip_pct"),
-            exact.mean(F.col("tip_amount")).alias("avg_tip_usd"),
+            exact.mean("tip_pct").alias("avg_tip_pct"),
+            exact.mean("tip_amount").alias("avg_tip_usd"),
             row_count("n_trips"),
         )
         .orderBy("payment_type")
@@ -73,7 +73,7 @@ def card_tip_by_hour(trips: DataFrame) -> DataFrame:
     return (
         with_tip_pct(trips.where(F.col("payment_type") == conditions.CARD))
         .groupBy(F.hour("pickup_timestamp").alias("hour"))
-        .agg(exact.mean(F.col("tip_pct")).alias("avg_tip_pct"), row_count("n_trips"))
+        .agg(exact.mean("tip_pct").alias("avg_tip_pct"), row_count("n_trips"))
         .orderBy("hour")
     )
 
@@ -88,9 +88,9 @@ def revenue_by_method(trips: DataFrame) -> DataFrame:
         .groupBy("payment_label")
         .agg(
             row_count("n_trips"),
-            exact.sum_of(F.col("total_amount"), 0).alias("revenue_usd"),
-            exact.mean(F.col("total_amount")).alias("avg_total_usd"),
-            exact.mean(F.col("fare_amount")).alias("avg_fare_usd"),
+            exact.sum_of("total_amount", 0).alias("revenue_usd"),
+            exact.mean("total_amount").alias("avg_total_usd"),
+            exact.mean("fare_amount").alias("avg_fare_usd"),
         )
         .orderBy(F.desc("n_trips"), "payment_label")
     )
@@ -115,7 +115,7 @@ def top_zones(joined: DataFrame, k: int = 10) -> DataFrame:
 def fare_by_borough(joined: DataFrame) -> DataFrame:
     return (
         joined.groupBy("pickup_borough")
-        .agg(exact.mean(F.col("fare_amount")).alias("avg_fare_usd"), row_count("n_trips"))
+        .agg(exact.mean("fare_amount").alias("avg_fare_usd"), row_count("n_trips"))
         .orderBy(F.desc("n_trips"), "pickup_borough")
     )
 
@@ -129,16 +129,16 @@ def rides_by_type(rides: DataFrame, kind: str, member: str) -> DataFrame:
     return grouped_count(rides, kind, member).orderBy(kind, member)
 
 
-def no_tip_rate(tip: Column) -> Column:
+def no_tip_rate(tip: str) -> Column:
     """Percentage of rows without a tip (aggregate)."""
-    return exact.percent(F.count_if(tip <= 0), F.count(F.lit(1)))
+    return exact.percent(f"count_if({tip} <= 0)", "count(*)")
 
 
 def global_stats(df: DataFrame, column: str) -> DataFrame:
     value = F.col(column)
     return df.agg(
         row_count("row_count"),
-        exact.mean(value).alias("mean"),
+        exact.mean(column).alias("mean"),
         F.min(value).alias("minimum"),
         F.max(value).alias("maximum"),
     )

@@ -175,7 +175,7 @@ def quality_report(raw: DataFrame, kept: Column) -> DataFrame:
         "raw_rows",
         "clean_rows",
         removed.alias("removed_rows"),
-        F.coalesce(percent(removed, F.col("raw_rows")), F.lit(0.0)).alias("removed_rate_pct"),
+        F.coalesce(percent("raw_rows - clean_rows", "raw_rows"), F.lit(0.0)).alias("removed_rate_pct"),
     )
 
 
@@ -186,7 +186,7 @@ def refund_share(trips: DataFrame, amount: str) -> DataFrame:
         F.count(F.lit(1)).alias("total_rows"),
     )
     return counts.withColumn(
-        "negative_pct", percent(F.col("negative_rows"), F.col("total_rows"))
+        "negative_pct", percent("negative_rows", "total_rows")
     )
 
 

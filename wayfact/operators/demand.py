@@ -155,7 +155,7 @@ def label_distribution(labelled: DataFrame) -> DataFrame:
         labelled.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("row_count"),
-            exact.mean(F.col("trip_count")).alias("avg_trip_count"),
+            exact.mean("trip_count").alias("avg_trip_count"),
             F.min("trip_count").alias("min_trip_count"),
             F.max("trip_count").alias("max_trip_count"),
         )
@@ -171,5 +171,5 @@ def dataset_summary(labelled: DataFrame) -> DataFrame:
         F.count_if(F.col("label") == 1.0).alias("high_demand_rows"),
     )
     return summary.withColumn(
-        "high_demand_row_pct", exact.percent(F.col("high_demand_rows"), F.col("dataset_rows"))
+        "high_demand_row_pct", exact.percent("high_demand_rows", "dataset_rows")
     )

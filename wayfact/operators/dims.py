@@ -271,11 +271,11 @@ def daily_from_hourly(hours: DataFrame) -> DataFrame:
         return F.bool_or(condition == name)
 
     return hours.groupBy(F.to_date("weather_hour").alias("weather_date")).agg(
-        exact.mean(F.col("temperature_c"), exact.PLACES).alias("temperature_c"),
-        exact.sum_of(F.col("precipitation_mm"), exact.PLACES).alias("precipitation_mm"),
+        exact.mean("temperature_c", exact.PLACES).alias("temperature_c"),
+        exact.sum_of("precipitation_mm", exact.PLACES).alias("precipitation_mm"),
         F.bool_or("precipitation_trace").alias("precipitation_trace"),
-        exact.mean(F.col("relative_humidity_pct"), exact.PLACES).alias("relative_humidity_pct"),
-        exact.mean(F.col("wind_speed_mps"), exact.PLACES).alias("wind_speed_mps"),
+        exact.mean("relative_humidity_pct", exact.PLACES).alias("relative_humidity_pct"),
+        exact.mean("wind_speed_mps", exact.PLACES).alias("wind_speed_mps"),
         F.array_join(F.sort_array(F.collect_set("present_weather")), " | ").alias(
             "present_weather"
         ),

@@ -152,7 +152,7 @@ def _report_columns() -> Sequence[Column]:
         return [F.col(name) for name in names]
 
     def sized(name: str, megabytes: str) -> list[Column]:
-        return [F.col(name), exact.ratio(F.col(name), F.lit(MEGABYTE), 3).alias(megabytes)]
+        return [F.col(name), exact.ratio(name, str(MEGABYTE), 3).alias(megabytes)]
 
     return [
         *plain(
@@ -175,7 +175,7 @@ def _report_columns() -> Sequence[Column]:
         *sized("memory_bytes_spilled", "memory_megabytes_spilled"),
         *sized("disk_bytes_spilled", "disk_megabytes_spilled"),
         *sized("peak_execution_memory_bytes", "peak_execution_memory_megabytes"),
-        exact.ratio(F.col("run_time_ms"), F.lit(1000), 3).alias("executor_run_time_seconds"),
-        exact.ratio(F.col("cpu_time_ns"), F.lit(10**9), 3).alias("executor_cpu_time_seconds"),
+        exact.ratio("run_time_ms", "1000", 3).alias("executor_run_time_seconds"),
+        exact.ratio("cpu_time_ns", str(10**9), 3).alias("executor_cpu_time_seconds"),
         *plain("malformed_event_lines"),
     ]

@@ -124,7 +124,7 @@ def match_report(joined: DataFrame, zone: str, condition: str) -> DataFrame:
     return counts.select(
         "*",
         *[
-            F.coalesce(percent(F.col(matches), F.col("joined_rows")), F.lit(0.0)).alias(rate)
+            F.coalesce(percent(matches, "joined_rows"), F.lit(0.0)).alias(rate)
             for matches, rate in (
                 ("zone_matches", "zone_match_rate_pct"),
                 ("condition_matches", "condition_match_rate_pct"),

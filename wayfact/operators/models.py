@@ -17,7 +17,7 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wayfact.functions import conditions, exact
 from wayfact.operators.clean import drop_nulls
@@ -117,20 +117,21 @@ def confusion_counts(predictions: DataFrame, label: str, prediction: str) -> Dat
 def binary_metrics(predictions: DataFrame, label: str, prediction: str) -> DataFrame:
     """Counts, accuracy, precision, recall and F1; zero on an empty denominator."""
     counts = confusion_counts(predictions, label, prediction)
-    tp, tn = F.col("true_positive"), F.col("true_negative")
-    fp, fn = F.col("false_positive"), F.col("false_negative")
+    everything = "(true_positive + true_negative + false_positive + false_negative)"
 
-    def rate(part, whole):
+    def rate(part: str, whole: str) -> Column:
         return F.coalesce(exact.ratio(part, whole, 6), F.lit(0.0))
 
     return counts.select(
-        (tp + tn + fp + fn).alias("test_rows"),
+        F.expr(everything).alias("test_rows"),
         "*",
-        rate(tp + tn, tp + tn + fp + fn).alias("accuracy"),
-        rate(tp, tp + fp).alias("precision"),
-        rate(tp, tp + fn).alias("recall"),
+        rate("true_positive + true_negative", everything).alias("accuracy"),
+        rate("true_positive", "true_positive + false_positive").alias("precision"),
+        rate("true_positive", "true_positive + false_negative").alias("recall"),
         # harmonic mean of precision and recall, in counts
-        rate(tp * 2, tp * 2 + fp + fn).alias("f1_score"),
+        rate("2 * true_positive", "2 * true_positive + false_positive + false_negative").alias(
+            "f1_score"
+        ),
     )
 
 

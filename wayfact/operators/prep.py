@@ -45,9 +45,11 @@ def zscore(df: DataFrame, column: str, out: str, places: int = 2) -> DataFrame:
     Sums and squares are added as whole units, so the result is the same for every
     partitioning. ``places`` is the number of decimals the column carries.
     """
-    units = exact.scaled(F.col(column), places)
+    units = exact.units(column, places)
     n = F.count(column).cast("double")
-    first, second = exact.total(units).cast("double"), exact.total(units * units).cast("double")
+    first, second = (
+        F.expr(exact.total(whole)).cast("double") for whole in (units, f"({units} * {units})")
+    )
     variance = (n * second - first * first) / F.nullif(n * (n - 1.0), F.lit(0.0))
     unit = F.lit(float(10**places))
     stats = df.agg(

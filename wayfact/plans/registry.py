@@ -388,7 +388,7 @@ def global_stats(v: Views) -> DataFrame:
 @query
 def no_tip_rate(v: Views) -> DataFrame:
     return v.canonical_trips().groupBy("payment_type").agg(
-        basics.no_tip_rate(F.col("tip_amount")).alias("no_tip_rate_pct")
+        basics.no_tip_rate("tip_amount").alias("no_tip_rate_pct")
     )
 
 

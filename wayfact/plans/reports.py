@@ -28,8 +28,7 @@ def _condition_rank(column: str = "weather_condition") -> Column:
 
 def _share(count: str, keys: Sequence[str]) -> Column:
     """A row's percentage of its group's total."""
-    whole = F.sum(count).over(Window.partitionBy(*keys))
-    return exact.percent(F.col(count), whole)
+    return exact.percent(count, f"sum({count}) over (partition by {', '.join(keys)})")
 
 
 def _dry_baseline(summary: DataFrame, keys: Sequence[str], columns: dict[str, str]) -> DataFrame:
@@ -38,7 +37,7 @@ def _dry_baseline(summary: DataFrame, keys: Sequence[str], columns: dict[str, st
 
 
 def _change(column: str, baseline: str) -> Column:
-    return exact.difference(F.col(column), F.col(baseline))
+    return exact.difference(column, baseline)
 
 
 def period_compare(
@@ -85,16 +84,15 @@ def seasonal_shares(seasonal: DataFrame) -> DataFrame:
 
 def _hour_measures() -> list[Column]:
     """Totals and means of hourly rows; the tip rate is averaged without weights."""
-    trips = F.col("trip_count")
     return [
         F.sum("trip_count").alias("total_trips"),
         F.count(F.lit(1)).alias("observed_rows"),
-        exact.ratio(F.sum("trip_count"), F.count(F.lit(1)), 2).alias("avg_trips_per_observed_hour"),
-        exact.weighted_mean(F.col("avg_fare_amount"), trips).alias("weighted_avg_fare_amount"),
-        exact.weighted_mean(F.col("avg_duration_minutes"), trips).alias(
+        exact.ratio("sum(trip_count)", "count(*)", 2).alias("avg_trips_per_observed_hour"),
+        exact.weighted_mean("avg_fare_amount", "trip_count").alias("weighted_avg_fare_amount"),
+        exact.weighted_mean("avg_duration_minutes", "trip_count").alias(
             "weighted_avg_duration_minutes"
         ),
-        exact.mean_of_rounded(F.col("avg_card_tip_percentage")).alias(
+        exact.mean_of_rounded("avg_card_tip_percentage").alias(
             "avg_hourly_card_tip_percentage"
         ),
     ]
@@ -188,14 +186,10 @@ def daily_vs_hourly(hourly: DataFrame, daily: DataFrame) -> DataFrame:
         }
     )
     hourly_n, daily_n = F.col("hourly_trip_count"), F.col("daily_trip_count")
-    hourly_all, daily_all = F.col("hourly_total"), F.col("daily_total")
-    wide = "decimal(20,0)"
-    cross = daily_n.cast(wide) * hourly_all - hourly_n.cast(wide) * daily_all
-    shift = exact.ratio(
-        cross.cast("decimal(25,0)") * F.lit(100),
-        hourly_all.cast("decimal(14,0)") * daily_all.cast("decimal(14,0)"),
-        2,
-    )
+    hourly_share = "cast(hourly_trip_count as decimal(14,0)) * cast(daily_total as decimal(14,0))"
+    daily_share = "cast(daily_trip_count as decimal(14,0)) * cast(hourly_total as decimal(14,0))"
+    both = "(cast(hourly_total as decimal(14,0)) * cast(daily_total as decimal(14,0)))"
+    shift = exact.percent(f"({daily_share} - {hourly_share})", both)
     measures = []
     for out, change in compared.values():
         measures += [
@@ -210,8 +204,8 @@ def daily_vs_hourly(hourly: DataFrame, daily: DataFrame) -> DataFrame:
         "hourly_trip_count",
         "daily_trip_count",
         (daily_n - hourly_n).alias("trip_count_difference"),
-        exact.percent(hourly_n, hourly_all).alias("hourly_trip_share_pct"),
-        exact.percent(daily_n, daily_all).alias("daily_trip_share_pct"),
+        exact.percent("hourly_trip_count", "hourly_total").alias("hourly_trip_share_pct"),
+        exact.percent("daily_trip_count", "daily_total").alias("daily_trip_share_pct"),
         shift.alias("trip_share_change_pct_points"),
         *measures,
     ).orderBy(_condition_rank())
@@ -241,7 +235,7 @@ def intraday_changes(hourly: DataFrame) -> DataFrame:
         )
         .withColumn(
             "multi_weather_day_pct",
-            exact.percent(F.col("multi_weather_days"), F.col("total_days")),
+            exact.percent("multi_weather_days", "total_days"),
         )
         .orderBy("pickup_date")
     )
@@ -348,7 +342,7 @@ def top_zones(zone: DataFrame, k: int = 10) -> DataFrame:
             "weather_condition",
             "zone_total_trips",
             "trip_count",
-            exact.percent(F.col("trip_count"), F.col("zone_total_trips")).alias(
+            exact.percent("trip_count", "zone_total_trips").alias(
                 "zone_weather_trip_share_pct"
             ),
             "avg_fare_amount",

@@ -131,7 +131,7 @@ def _sorted(df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> DataFra
 def summarize(joined: DataFrame, name: str) -> DataFrame:
     """One summary straight from joined trips."""
     plan = SUMMARIES[name]
-    averages = [exact.mean(F.col(m.column), m.places).alias(m.name) for m in plan.measures]
+    averages = [exact.mean(m.column, m.places).alias(m.name) for m in plan.measures]
     grouped = joined.where(_known(plan.known)).groupBy(*plan.keys)
     rows = grouped.agg(F.count(F.lit(1)).alias("trip_count"), *averages)
     return _sorted(rows, plan.order, plan.keys)
@@ -139,15 +139,14 @@ def summarize(joined: DataFrame, name: str) -> DataFrame:
 
 def tipping_summary(joined: DataFrame) -> DataFrame:
     """Monthly card tipping by condition."""
-    tip = F.col("tip_amount")
     rows = (
         joined.where((F.col("payment_type") == conditions.CARD) & _known(("weather_condition",)))
         .groupBy(*TIPPING_KEYS)
         .agg(
             F.count(F.lit(1)).alias("credit_card_trip_count"),
-            exact.mean(tip).alias("avg_tip_amount"),
-            exact.mean(F.col("card_tip_percentage")).alias("avg_tip_percentage"),
-            no_tip_rate(tip).alias("no_tip_rate_pct"),
+            exact.mean("tip_amount").alias("avg_tip_amount"),
+            exact.mean("card_tip_percentage").alias("avg_tip_percentage"),
+            no_tip_rate("tip_amount").alias("no_tip_rate_pct"),
         )
     )
     order = ("pickup_year", "pickup_month", "-credit_card_trip_count")
@@ -172,10 +171,10 @@ def trip_rollup(joined: DataFrame) -> DataFrame:
     """
     sums = []
     for name in ROLLUP_COLUMNS:
-        units = exact.scaled(F.col(name))
+        units = exact.units(name)
         sums += [
-            F.sum(exact.high_part(units)).alias(f"{name}_high"),
-            F.sum(exact.low_part(units)).alias(f"{name}_low"),
+            F.expr(f"sum({exact.high_part(units)})").alias(f"{name}_high"),
+            F.expr(f"sum({exact.low_part(units)})").alias(f"{name}_low"),
             F.count(name).alias(f"{name}_n"),
         ]
     card = F.coalesce(F.col("payment_type") == conditions.CARD, F.lit(False))
@@ -191,7 +190,7 @@ def trip_rollup(joined: DataFrame) -> DataFrame:
 
 
 def _rolled_mean(column: str, places: int = 2) -> Column:
-    parts = (F.sum(f"{column}_{part}") for part in ("high", "low", "n"))
+    parts = (f"sum({column}_{part})" for part in ("high", "low", "n"))
     return exact.mean_of_parts(*parts, places)
 
 
@@ -224,7 +223,7 @@ def tipping_rollup(rollup: DataFrame) -> DataFrame:
             F.sum("trips").alias("credit_card_trip_count"),
             _rolled_mean("tip_amount").alias("avg_tip_amount"),
             _rolled_mean("card_tip_percentage").alias("avg_tip_percentage"),
-            exact.percent(F.sum("untipped"), F.sum("trips")).alias("no_tip_rate_pct"),
+            exact.percent("sum(untipped)", "sum(trips)").alias("no_tip_rate_pct"),
         )
     )
     order = ("pickup_year", "pickup_month", "-credit_card_trip_count")
@@ -241,12 +240,11 @@ def match_rollup(rollup: DataFrame) -> DataFrame:
         F.coalesce(F.sum("temperature_c_n"), F.lit(0)).alias("condition_matches"),
     )
     zero = F.lit(0.0)
-    joined = F.col("joined_rows")
     return counts.withColumns(
         {
-            "zone_match_rate_pct": F.coalesce(exact.percent(F.col("zone_matches"), joined), zero),
+            "zone_match_rate_pct": F.coalesce(exact.percent("zone_matches", "joined_rows"), zero),
             "condition_match_rate_pct": F.coalesce(
-                exact.percent(F.col("condition_matches"), joined), zero
+                exact.percent("condition_matches", "joined_rows"), zero
             ),
         }
     )
@@ -258,10 +256,10 @@ def demand_by_condition(joined: DataFrame) -> DataFrame:
         joined.groupBy("weather_condition")
         .agg(
             F.count(F.lit(1)).alias("trip_count"),
-            exact.mean(F.col("avg_temp_f")).alias("avg_temperature_f"),
-            exact.mean(F.col("trip_distance_miles")).alias("avg_distance_miles"),
-            exact.mean(F.col("fare_amount")).alias("avg_fare_usd"),
-            exact.mean(F.col("trip_duration_minutes")).alias("avg_duration_minutes"),
+            exact.mean("avg_temp_f").alias("avg_temperature_f"),
+            exact.mean("trip_distance_miles").alias("avg_distance_miles"),
+            exact.mean("fare_amount").alias("avg_fare_usd"),
+            exact.mean("trip_duration_minutes").alias("avg_duration_minutes"),
         )
         .orderBy(F.desc("trip_count"), "weather_condition")
     )
@@ -282,23 +280,22 @@ def daily_demand(joined: DataFrame) -> DataFrame:
         joined.groupBy(*DAY_KEYS)
         .agg(
             F.count(F.lit(1)).alias("daily_trip_count"),
-            exact.mean(F.col("fare_amount")).alias("avg_fare_usd"),
-            exact.mean(F.col("trip_duration_minutes")).alias("avg_duration_minutes"),
+            exact.mean("fare_amount").alias("avg_fare_usd"),
+            exact.mean("trip_duration_minutes").alias("avg_duration_minutes"),
         )
         .orderBy("pickup_date")
     )
 
 
 def tipping_by_condition(joined: DataFrame) -> DataFrame:
-    tip = F.col("tip_amount")
     return (
         joined.where(F.col("payment_type") == conditions.CARD)
         .groupBy("weather_condition")
         .agg(
             F.count(F.lit(1)).alias("credit_card_trips"),
-            exact.mean(tip).alias("avg_tip_usd"),
-            exact.mean(F.col("tip_percentage")).alias("avg_tip_percentage"),
-            no_tip_rate(tip).alias("no_tip_rate_pct"),
+            exact.mean("tip_amount").alias("avg_tip_usd"),
+            exact.mean("tip_percentage").alias("avg_tip_percentage"),
+            no_tip_rate("tip_amount").alias("no_tip_rate_pct"),
         )
         .orderBy(F.desc("credit_card_trips"), "weather_condition")
     )
@@ -309,8 +306,8 @@ def borough_by_condition(joined: DataFrame) -> DataFrame:
         joined.groupBy("pickup_borough", "weather_condition")
         .agg(
             F.count(F.lit(1)).alias("trip_count"),
-            exact.mean(F.col("fare_amount")).alias("avg_fare_usd"),
-            exact.mean(F.col("trip_duration_minutes")).alias("avg_duration_minutes"),
+            exact.mean("fare_amount").alias("avg_fare_usd"),
+            exact.mean("trip_duration_minutes").alias("avg_duration_minutes"),
         )
         .orderBy(F.desc("trip_count"), "pickup_borough", "weather_condition")
     )

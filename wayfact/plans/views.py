@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayfact.functions import conditions, text
 from wayfact.functions.calendar import calendar_fields
-from wayfact.operators import clean, demand, dims, joins
+from wayfact.operators import clean, demand, dims, eventlog, joins
 from wayfact.session import configure, materialize
 
 FIRST_HOUR, LAST_HOUR = "2024-01-01 00:00:00", "2024-01-30 23:00:00"
@@ -37,6 +37,11 @@ TRIP_DAILY_LIMITS = clean.DailyLimits(
 KEY_TYPES = {"pickup_location_id": "bigint"}
 
 
+def _record(fields: dict[str, Column]) -> Column:
+    """A struct from named columns."""
+    return F.named_struct(*[part for n, c in fields.items() for part in (F.lit(n), c)])
+
+
 class Views:
     """Lazily built views over one directory of tables."""
 
@@ -340,53 +345,43 @@ class Views:
         """Events as lines of a run log: jobs, SQL runs, stages, tasks and broken text."""
         kind = F.col("event_type")
         n = F.col("number").cast("bigint")
-        shuffle_read = F.struct(
-            (n * 5).alias("Remote Bytes Read"),
-            (n * 6).alias("Local Bytes Read"),
-            (n + 1).alias("Total Records Read"),
-        )
-        metrics = F.struct(
-            n.alias("Executor Run Time"),
-            (n * 1000000).alias("Executor CPU Time"),
-            (n * 7).alias("Memory Bytes Spilled"),
-            (n * 3).alias("Disk Bytes Spilled"),
-            (n * 1024).alias("Peak Execution Memory"),
-            F.struct((n * 4096).alias("Bytes Read"), (n * 2).alias("Records Read")).alias(
-                "Input Metrics"
-            ),
-            F.struct((n * 512).alias("Bytes Written"), n.alias("Records Written")).alias(
-                "Output Metrics"
-            ),
-            shuffle_read.alias("Shuffle Read Metrics"),
-            F.struct(
-                (n * 9).alias("Shuffle Bytes Written"), (n * 8).alias("Shuffle Records Written")
-            ).alias("Shuffle Write Metrics"),
+        metrics = _record(
+            {
+                "Executor Run Time": n,
+                "Executor CPU Time": n * 1000000,
+                "Memory Bytes Spilled": n * 7,
+                "Disk Bytes Spilled": n * 3,
+                "Peak Execution Memory": n * 1024,
+                "Input Metrics": _record({"Bytes Read": n * 4096, "Records Read": n * 2}),
+                "Output Metrics": _record({"Bytes Written": n * 512, "Records Written": n}),
+                "Shuffle Read Metrics": _record(
+                    {
+                        "Remote Bytes Read": n * 5,
+                        "Local Bytes Read": n * 6,
+                        "Total Records Read": n + 1,
+                    }
+                ),
+                "Shuffle Write Metrics": _record(
+                    {"Shuffle Bytes Written": n * 9, "Shuffle Records Written": n * 8}
+                ),
+            }
         )
         reason = F.when(kind == "click", "Success").otherwise("ExceptionFailure")
-        task = F.struct(
-            F.lit("SparkListenerTaskEnd").alias("Event"),
-            F.col("user_id").alias("Stage ID"),
-            F.lit(0).alias("Stage Attempt ID"),
-            F.struct(reason.alias("Reason")).alias("Task End Reason"),
-            F.struct(F.col("event_id").alias("Task ID"), F.lit(0).alias("Attempt")).alias(
-                "Task Info"
-            ),
-            metrics.alias("Task Metrics"),
-        )
-        stage = F.struct(
-            F.lit("SparkListenerStageCompleted").alias("Event"),
-            F.struct(
-                F.col("user_id").alias("Stage ID"),
-                F.lit(0).alias("Stage Attempt ID"),
-                F.lit(4).alias("Number of Tasks"),
-            ).alias("Stage Info"),
-        )
-        job = F.struct(
-            F.lit("SparkListenerJobStart").alias("Event"), F.col("user_id").alias("Job ID")
-        )
-        sql = F.struct(
-            F.lit("org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart").alias("Event")
+        user, zero = F.col("user_id"), F.lit(0)
+        task = _record(
+            {
+                "Event": F.lit(eventlog.TASK_END),
+                "Stage ID": user,
+                "Stage Attempt ID": zero,
+                "Task End Reason": _record({"Reason": reason}),
+                "Task Info": _record({"Task ID": F.col("event_id"), "Attempt": zero}),
+                "Task Metrics": metrics,
+            }
         )
+        stage_info = {"Stage ID": user, "Stage Attempt ID": zero, "Number of Tasks": F.lit(4)}
+        stage = _record({"Event": F.lit(eventlog.STAGE_DONE), "Stage Info": _record(stage_info)})
+        job = _record({"Event": F.lit(eventlog.JOB_START), "Job ID": user})
+        sql = _record({"Event": F.lit(eventlog.SQL_START)})
         line = (
             F.when((kind == "view") & (n >= 90), F.lit('{"Event": '))
             .when((kind == "signup") & (n == 50), F.lit("  "))
