@@ -27,6 +27,5 @@ def trace_amount(text: Column) -> Column:
 
 
 def words(line: Column) -> Column:
-    """Lower-case words of a line as an array, without empty pieces."""
-    pieces = F.split(F.lower(line), WORD_BREAK_PATTERN)
-    return F.filter(pieces, lambda piece: F.length(piece) > 0)
+    """Lower-case words of a line as an array; edges of the line may give empty ones."""
+    return F.split(F.lower(line), WORD_BREAK_PATTERN)

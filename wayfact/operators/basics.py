@@ -146,7 +146,8 @@ def global_stats(df: DataFrame, column: str) -> DataFrame:
 
 def word_count(lines: DataFrame, column: str = "value") -> DataFrame:
     """Occurrences of every word in all lines."""
-    found = lines.select(F.explode(text.words(F.col(column))).alias("word"))
+    pieces = lines.select(F.explode(text.words(F.col(column))).alias("word"))
+    found = pieces.where(F.length("word") > 0)
     return grouped_count(found, "word")
 
 

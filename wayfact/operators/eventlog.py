@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wayfact.functions import exact
 from wayfact.session import materialize
@@ -34,6 +34,7 @@ READ_RECORDS = (
 )
 PEAK = ("Peak Execution Memory",)
 MEGABYTE = 1024 * 1024
+CORRUPT = "_unreadable"
 
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
@@ -47,51 +48,83 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _path(*names: str) -> str:
-    return "$" + "".join(f"['{name}']" for name in names)
+def _record_schema() -> T.StructType:
+    """The few fields the metrics need, out of each record."""
+    text, number = T.StringType(), T.LongType()
+
+    def struct(fields: dict) -> T.StructType:
+        return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+    metrics: dict = {}
+    for place in (*SUMMED.values(), *READ_RECORDS, PEAK):
+        if len(place) == 1:
+            metrics[place[0]] = number
+        else:
+            metrics.setdefault(place[0], {})[place[1]] = number
+    groups = {n: struct(k) if isinstance(k, dict) else k for n, k in metrics.items()}
+    return struct(
+        {
+            "Event": text,
+            "Job ID": number,
+            "Stage ID": number,
+            "Stage Attempt ID": number,
+            "Stage Info": struct(
+                {"Stage ID": number, "Stage Attempt ID": number, "Number of Tasks": number}
+            ),
+            "Task Info": struct({"Task ID": number, "Attempt": number}),
+            "Task End Reason": text,
+            "Task Metrics": struct(groups),
+            CORRUPT: text,
+        }
+    )
 
 
-def _whole(json: Column, *names: str) -> Column:
-    """A number inside the record, 0 where absent or not a number."""
-    return F.coalesce(F.try_variant_get(json, _path(*names), "bigint"), F.lit(0).cast("bigint"))
+def _field(*names: str) -> Column:
+    field = F.col("record")
+    for name in names:
+        field = field.getField(name)
+    return field
 
 
-def _id(json: Column, *names: str) -> Column:
-    return F.try_variant_get(json, _path(*names), "bigint")
+def _whole(*names: str) -> Column:
+    """A number inside the record, 0 where absent or not a number."""
+    return F.coalesce(_field(*names), F.lit(0).cast("bigint"))
 
 
 def parsed_events(lines: DataFrame) -> DataFrame:
     """One row per line with the few fields the metrics need; malformed lines flagged."""
-    json = F.col("json")
-    kind = F.try_variant_get(json, "$.Event", "string")
-    read = lines.where(F.trim("value") != "").withColumn("json", F.try_parse_json("value"))
-    reason = F.coalesce(
-        F.try_variant_get(json, _path("Task End Reason", "Reason"), "string"),
-        F.try_variant_get(json, _path("Task End Reason"), "string"),
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    read = lines.where(F.trim("value") != "").withColumn(
+        "record", F.from_json("value", _record_schema(), options)
     )
-    task = {
-        name: _whole(json, "Task Metrics", *place) for name, place in SUMMED.items()
-    }
-    read_records = F.greatest(*[_whole(json, "Task Metrics", *place) for place in READ_RECORDS])
+    kind = _field("Event")
     is_stage, is_task = kind == STAGE_DONE, kind == TASK_END
+    # a record with an odd field is kept; only text that is no JSON at all is malformed
+    malformed = F.when(
+        _field(CORRUPT).isNotNull(), F.try_parse_json("value").isNull()
+    ).otherwise(False)
+    reason = _field("Task End Reason")
+    reason = F.coalesce(F.get_json_object(reason, "$.Reason"), reason)
     return read.select(
         "file",
-        json.isNull().alias("malformed"),
+        malformed.alias("malformed"),
         kind.alias("kind"),
-        _id(json, "Job ID").alias("job_id"),
-        F.when(is_stage, _id(json, "Stage Info", "Stage ID"))
-        .when(is_task, _id(json, "Stage ID"))
+        _field("Job ID").alias("job_id"),
+        F.when(is_stage, _field("Stage Info", "Stage ID"))
+        .when(is_task, _field("Stage ID"))
         .alias("stage_id"),
-        F.when(is_stage, _whole(json, "Stage Info", "Stage Attempt ID"))
-        .when(is_task, _whole(json, "Stage Attempt ID"))
+        F.when(is_stage, _whole("Stage Info", "Stage Attempt ID"))
+        .when(is_task, _whole("Stage Attempt ID"))
         .alias("stage_attempt"),
-        _whole(json, "Stage Info", "Number of Tasks").alias("stage_tasks"),
-        _id(json, "Task Info", "Task ID").alias("task_id"),
-        _whole(json, "Task Info", "Attempt").alias("task_attempt"),
+        _whole("Stage Info", "Number of Tasks").alias("stage_tasks"),
+        _field("Task Info", "Task ID").alias("task_id"),
+        _whole("Task Info", "Attempt").alias("task_attempt"),
         (F.lower(reason) == "success").alias("succeeded"),
-        *[value.alias(name) for name, value in task.items()],
-        read_records.alias("shuffle_read_records"),
-        _whole(json, "Task Metrics", *PEAK).alias("peak_execution_memory_bytes"),
+        *[_whole("Task Metrics", *place).alias(name) for name, place in SUMMED.items()],
+        F.greatest(*[_whole("Task Metrics", *place) for place in READ_RECORDS]).alias(
+            "shuffle_read_records"
+        ),
+        _whole("Task Metrics", *PEAK).alias("peak_execution_memory_bytes"),
     )
 
 

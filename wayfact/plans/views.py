@@ -108,10 +108,18 @@ class Views:
             (price * (1 - off) * (1 + F.col("l_tax"))).alias("total_amount"),
         )
 
+    def numbered_events(self) -> DataFrame:
+        """Events with the number in their text.
+
+        The one-element explode keeps filters on the number above the pattern match,
+        which otherwise would be repeated inside every pushed condition.
+        """
+        number = F.array(text.numeric_text(F.col("props")))
+        return self.table("events").withColumn("number", F.explode(number))
+
     def rides_raw(self) -> DataFrame:
         """Events as raw rides; the number in the text gives length, distance and tip."""
         kind = F.col("event_type")
-        number = text.numeric_text(F.col("props"))
         payment = (
             F.when(kind == "purchase", 1)
             .when(kind == "view", 2)
@@ -119,22 +127,18 @@ class Views:
             .when(kind == "signup", 4)
             .when(kind == "error", 5)
         )
-        return (
-            self.table("events")
-            .withColumn("number", number)
-            .select(
-                F.col("ts").alias("tpep_pickup_datetime"),
-                F.timestamp_add("MINUTE", F.col("number").cast("int"), "ts").alias(
-                    "tpep_dropoff_datetime"
-                ),
-                F.col("user_id").alias("PULocationID"),
-                F.floor(F.col("number") / F.lit(25.0)).alias("passenger_count"),
-                (F.col("number") * F.lit(0.5)).alias("trip_distance"),
-                payment.alias("payment_type"),
-                F.col("value").alias("fare_amount"),
-                (F.col("number") / F.lit(20.0)).alias("tip_amount"),
-                (F.col("value") + F.col("number") / F.lit(20.0)).alias("total_amount"),
-            )
+        number = F.col("number")
+        tip = number / F.lit(20.0)
+        return self.numbered_events().select(
+            F.col("ts").alias("tpep_pickup_datetime"),
+            F.timestamp_add("MINUTE", number.cast("int"), "ts").alias("tpep_dropoff_datetime"),
+            F.col("user_id").alias("PULocationID"),
+            F.floor(number / F.lit(25.0)).alias("passenger_count"),
+            (number * F.lit(0.5)).alias("trip_distance"),
+            payment.alias("payment_type"),
+            F.col("value").alias("fare_amount"),
+            tip.alias("tip_amount"),
+            (F.col("value") + tip).alias("total_amount"),
         )
 
     def canonical_trips(self) -> DataFrame:
@@ -157,7 +161,7 @@ class Views:
         Two event types carry usable report types, some values are blank, flagged or
         not numeric, and some times lack the clock part.
         """
-        kind, number = F.col("event_type"), text.numeric_text(F.col("props"))
+        kind = F.col("event_type")
         report = (
             F.when(kind == "error", " FM-15").when(kind == "signup", "FM-16 ").otherwise("FM-12")
         )
@@ -166,8 +170,7 @@ class Views:
         value = F.col("value").cast("string")
         amount = F.greatest(n - F.lit(60.0), F.lit(0.0)) / F.lit(10.0)
         return (
-            self.table("events")
-            .withColumn("number", number)
+            self.numbered_events()
             .select(
                 F.lit(STATION).alias("STATION"),
                 F.when(n == 13, F.date_format("ts", "yyyy-MM-dd"))
@@ -319,13 +322,12 @@ class Views:
 
     def ride_file(self) -> DataFrame:
         """Events and their customers in the columns of a ride file."""
-        number = text.numeric_text(F.col("props"))
         start = F.date_trunc("second", "ts").cast("timestamp_ntz")
-        rides = self.table("events").withColumn("LocationID", F.col("user_id"))
+        rides = self.numbered_events().withColumn("LocationID", F.col("user_id"))
         joined = joins.attach(
             rides, self.ride_zones_raw(), "LocationID", "left", self.lookup_rows("customer")
         )
-        return joined.withColumn("number", number).select(
+        return joined.select(
             F.col("event_id").cast("string").alias("ride_id"),
             F.col("event_type").alias("rideable_type"),
             start.alias("started_at"),
@@ -392,8 +394,7 @@ class Views:
         )
         copies = F.when(kind == "click", 2).otherwise(1)
         return (
-            self.table("events")
-            .withColumn("number", text.numeric_text(F.col("props")))
+            self.numbered_events()
             .select(
                 line.alias("value"),
                 F.concat(F.lit("events_"), kind).alias("file"),

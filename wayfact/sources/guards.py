@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,7 +35,7 @@ def _check(
 ) -> tuple:
     try:
         fields = spark.read.parquet(path).schema.fields
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:  # a broken footer fails inside a task
         return (label, "FAIL", 0, "", "", str(error).splitlines()[0])
     types = {field.name: field.dataType.simpleString().lower() for field in fields}
     missing = [name for name in (*times, *numbers) if name not in types]
