@@ -209,6 +209,22 @@ def test_every_job_parses():
         assert set(options) == {"job", *required, *optional}
 
 
+@pytest.mark.parametrize(
+    "name", ["borough_weather_summary", "zone_weather_summary", "monthly_borough_weather_summary"]
+)
+def test_large_lookup_is_joined_after_reduction(spark, raw, built, name):
+    joined = table(spark, raw, "hourly", "joined_trips")
+    zones = pipeline.joins.zone_lookup(spark.read.csv(str(raw / "zones.csv"), header=True, inferSchema=True))
+    trips = joined.drop("pickup_borough", "pickup_zone", "pickup_service_zone")
+    late = summaries.summarize_by_zone(trips, zones, name, limit_bytes=0)
+    early = summaries.summarize_by_zone(trips, zones, name)
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortMergeJoin") < plan.index("partial_count(1)")
+    wanted = table(spark, raw, "hourly", name).select(late.columns)
+    for found in (late, early):
+        assert found.exceptAll(wanted).count() == wanted.exceptAll(found).count() == 0
+
+
 def test_join_and_rollup_do_not_shuffle_the_trips(spark, raw, built):
     """Between the scan of the trips and the partial aggregate there is no exchange."""
     trips = pipeline._fact(spark, str(raw / "trips"), str(raw / "zones.csv"), START, END, HourlyLimits())

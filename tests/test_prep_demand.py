@@ -124,6 +124,10 @@ def test_complete_demand_has_every_cell(spark):
     cells = demand.complete_demand(demand_rows(spark), ("A", "B")).collect()
     found = {(r.pickup_hour.hour, r.pickup_borough): r.trip_count for r in cells}
     assert found == {(7, "A"): 3, (7, "B"): 0, (8, "A"): 1, (8, "B"): 2, (12, "A"): 5, (12, "B"): 0}
+    plan = demand.complete_demand(demand_rows(spark), ("A",))
+    lines = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+    # the aggregate nearest the trips hashes, it does not sort them
+    assert "HashAggregate" in [line for line in lines if "Aggregate" in line][-1]
     eight = next(r for r in cells if r.pickup_hour.hour == 8)
     assert (eight.weather_condition, eight.present_weather, eight.precipitation_trace) == (
         "Unknown",

@@ -23,7 +23,7 @@ JOBS: dict[str, tuple[Callable, tuple[str, ...], dict[str, object]]] = {
     "hourly-summaries": (
         pipeline.hourly_summaries,
         ("trips", "zones", "hours", "start", "end", "output"),
-        {"rebalance": False},
+        {"rebalance": False, "explain": False},
     ),
     "daily-summaries": (
         pipeline.daily_summaries,

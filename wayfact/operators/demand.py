@@ -47,18 +47,33 @@ def demand_source(joined: DataFrame, start: str, end: str, groups: Sequence[str]
     ).select("pickup_hour", "pickup_borough", *HOUR_ATTRIBUTES)
 
 
-def hour_attributes(source: DataFrame) -> DataFrame:
-    """The calendar and condition of each hour that has a trip.
+def _per_hour(source: DataFrame, counts: Sequence[Column] = ()) -> DataFrame:
+    """One row per hour with its attributes and some trip counts.
 
-    They are constant within an hour, so the maximum equals any non-null value.
+    The attributes are constant within an hour, so the maximum equals any non-null
+    value. They are grouping keys of the pass over the trips, which then hashes; a
+    maximum of text there would make Spark sort all trips. The second aggregation sees
+    about one row per hour.
     """
+    names = [f"_count_{i}" for i in range(len(counts))]
+    measures = [count.alias(name) for count, name in zip(counts, names)]
+    grouped = source.groupBy("pickup_hour", *HOUR_ATTRIBUTES)
+    combos = grouped.agg(*measures) if measures else grouped.agg(F.count(F.lit(1)).alias("_rows"))
     return (
-        source.groupBy("pickup_hour")
-        .agg(*[F.max(name).alias(name) for name in HOUR_ATTRIBUTES])
+        combos.groupBy("pickup_hour")
+        .agg(
+            *[F.max(name).alias(name) for name in HOUR_ATTRIBUTES],
+            *[F.sum(name).alias(name) for name in names],
+        )
         .fillna(ATTRIBUTE_DEFAULTS)
     )
 
 
+def hour_attributes(source: DataFrame) -> DataFrame:
+    """The calendar and condition of each hour that has a trip."""
+    return _per_hour(source)
+
+
 def hour_group_grid(hours: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Every hour with every group; the groups are a short literal list."""
     return hours.withColumn("pickup_borough", F.explode(F.array(*[F.lit(g) for g in groups])))
@@ -67,18 +82,13 @@ def hour_group_grid(hours: DataFrame, groups: Sequence[str]) -> DataFrame:
 def complete_demand(source: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Trips per hour and group, zero where there were none.
 
-    One aggregation per hour counts every group of the short literal list beside
-    the hour's attributes, so the grid comes out complete without a join.
+    One pass counts every group of the short literal list beside the hour's
+    attributes, so the grid comes out complete without a join.
     """
-    counts = [F.count_if(F.col("pickup_borough") == group).alias(group) for group in groups]
-    hours = (
-        source.groupBy("pickup_hour")
-        .agg(*[F.max(name).alias(name) for name in HOUR_ATTRIBUTES], *counts)
-        .fillna(ATTRIBUTE_DEFAULTS)
-    )
+    hours = _per_hour(source, [F.count_if(F.col("pickup_borough") == g) for g in groups])
     cells = [
-        F.struct(F.lit(group).alias("pickup_borough"), F.col(group).alias("trip_count"))
-        for group in groups
+        F.struct(F.lit(group).alias("pickup_borough"), F.col(f"_count_{i}").alias("trip_count"))
+        for i, group in enumerate(groups)
     ]
     return hours.select("pickup_hour", *HOUR_ATTRIBUTES, F.inline(F.array(*cells)))
 

@@ -116,9 +116,12 @@ def hourly_summaries(
     output: str,
     limits: clean.HourlyLimits = clean.HourlyLimits(),
     rebalance: bool = False,
+    explain: bool = False,
 ) -> DataFrame:
     """Joined trips and the eight summaries; returns the join quality."""
     joined = joins.attach_hourly(_fact(spark, trips, zones, start, end, limits), _hours(spark, hours))
+    if explain:
+        joined.select(*summaries.JOINED_COLUMNS).explain("formatted")
     return _publish(spark, joined, output, SUMMARY_NAMES, rebalance)
 
 

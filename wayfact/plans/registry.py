@@ -143,7 +143,7 @@ def roundtrip_partitioned(v: Views) -> DataFrame:
 
 @query
 def roundtrip_json(v: Views) -> DataFrame:
-    small = basics.fare_by_passengers(v.canonical_trips())
+    small = basics.fare_by_passengers(v.line_trips())
     path = writers.write_json(small, scratch_path(v.spark, "roundtrip"), "fares")
     return v.spark.read.schema(small.schema).json(path)
 
@@ -309,7 +309,7 @@ def enrich_zones(v: Views) -> DataFrame:
 @query
 def enrich_zones_keys(v: Views) -> DataFrame:
     zones = v.trip_zones_raw()
-    trips = v.canonical_trips()
+    trips = v.line_trips()
     same = trips["pickup_location_id"] == zones["LocationID"]
     joined = joins.attach(trips, zones, same, "left", v.lookup_rows("supplier"))
     return joined.select("pickup_location_id", "LocationID", "Borough", "Zone", "fare_amount")
@@ -371,13 +371,13 @@ def busiest_hours(v: Views) -> DataFrame:
 
 @query
 def fare_by_passengers(v: Views) -> DataFrame:
-    return basics.fare_by_passengers(v.canonical_trips())
+    return basics.fare_by_passengers(v.line_trips())
 
 
 @query
 def longest_trips(v: Views) -> DataFrame:
     columns = ("trip_distance_miles", "fare_amount", "total_amount")
-    return basics.largest(v.canonical_trips().select(*columns), "trip_distance_miles", 10)
+    return basics.largest(v.line_trips().select(*columns), "trip_distance_miles", 10)
 
 
 @query
@@ -413,7 +413,7 @@ def card_tip_by_hour(v: Views) -> DataFrame:
 
 
 def _zoned_trips(v: Views) -> DataFrame:
-    return joins.attach_zones(v.canonical_trips(), v.trip_zones(), v.lookup_rows("supplier"))
+    return joins.attach_zones(v.line_trips(), v.trip_zones(), v.lookup_rows("supplier"))
 
 
 @query
@@ -552,7 +552,7 @@ def temperature_bin(v: Views) -> DataFrame:
 def _sparse_passengers(v: Views) -> DataFrame:
     """Trips whose passenger count is unknown for one of its values."""
     count = F.col("passenger_count")
-    return v.canonical_trips().select(
+    return v.line_trips().select(
         F.when(count != 3, count).alias("passenger_count"), "fare_amount"
     )
 
@@ -570,12 +570,12 @@ def iqr_outliers(v: Views) -> DataFrame:
 
 @query
 def zscore(v: Views) -> DataFrame:
-    return prep.zscore(v.canonical_trips().select("fare_amount"), "fare_amount", "fare_z")
+    return prep.zscore(v.line_trips().select("fare_amount"), "fare_amount", "fare_z")
 
 
 @query
 def quartile_bins(v: Views) -> DataFrame:
-    trips = v.canonical_trips().select("trip_distance_miles")
+    trips = v.line_trips().select("trip_distance_miles")
     return prep.quartile_bins(trips, "trip_distance_miles", "distance_bin")
 
 
@@ -609,7 +609,7 @@ def condition_summary(v: Views) -> DataFrame:
 
 @query
 def borough_condition_summary(v: Views) -> DataFrame:
-    return summaries.summarize(v.joined_rides(), "borough_weather_summary")
+    return v.ride_zone_summary(v.conditioned_rides(), "borough_weather_summary")
 
 
 @query
@@ -619,7 +619,7 @@ def hourly_demand(v: Views) -> DataFrame:
 
 @query
 def zone_condition_summary(v: Views) -> DataFrame:
-    return summaries.summarize(v.joined_rides(), "zone_weather_summary")
+    return v.ride_zone_summary(v.conditioned_rides(), "zone_weather_summary")
 
 
 @query
@@ -634,7 +634,7 @@ def seasonal_condition_summary(v: Views) -> DataFrame:
 
 @query
 def monthly_borough_summary(v: Views) -> DataFrame:
-    return summaries.summarize(v.joined_trips(), "monthly_borough_weather_summary")
+    return v.trip_zone_summary(v.conditioned_trips(), "monthly_borough_weather_summary")
 
 
 @query
@@ -654,7 +654,7 @@ def condition_summary_daily(v: Views) -> DataFrame:
 
 @query
 def borough_condition_summary_daily(v: Views) -> DataFrame:
-    return summaries.summarize(v.joined_rides_daily(), "borough_weather_summary")
+    return v.ride_zone_summary(v.conditioned_rides_daily(), "borough_weather_summary")
 
 
 @query
@@ -664,7 +664,7 @@ def hourly_demand_daily(v: Views) -> DataFrame:
 
 @query
 def zone_condition_summary_daily(v: Views) -> DataFrame:
-    return summaries.summarize(v.joined_rides_daily(), "zone_weather_summary")
+    return v.ride_zone_summary(v.conditioned_rides_daily(), "zone_weather_summary")
 
 
 @query

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfact.functions import calendar, conditions, exact
+from wayfact.operators import joins
 from wayfact.operators.basics import no_tip_rate
 
 # The columns of the joined trip table.
@@ -164,19 +165,23 @@ ROLLUP_KEYS = (
 ROLLUP_COLUMNS = (*[m.column for m in ALL_MEASURES], "tip_amount")
 
 
-def trip_rollup(joined: DataFrame) -> DataFrame:
-    """Counts and exact sums at the finest grain any summary needs.
-
-    The trips are read once; each summary then reads these rows instead.
-    """
+def _partial_sums(columns: Sequence[str]) -> list[Column]:
     sums = []
-    for name in ROLLUP_COLUMNS:
+    for name in columns:
         units = exact.units(name)
         sums += [
             F.expr(f"sum({exact.high_part(units)})").alias(f"{name}_high"),
             F.expr(f"sum({exact.low_part(units)})").alias(f"{name}_low"),
             F.count(name).alias(f"{name}_n"),
         ]
+    return sums
+
+
+def trip_rollup(joined: DataFrame) -> DataFrame:
+    """Counts and exact sums at the finest grain any summary needs.
+
+    The trips are read once; each summary then reads these rows instead.
+    """
     card = F.coalesce(F.col("payment_type") == conditions.CARD, F.lit(False))
     return (
         joined.withColumn("is_card", card)
@@ -184,7 +189,7 @@ def trip_rollup(joined: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("trips"),
             F.count_if(F.col("tip_amount") <= 0).alias("untipped"),
-            *sums,
+            *_partial_sums(ROLLUP_COLUMNS),
         )
     )
 
@@ -205,15 +210,46 @@ def _with_periods(rollup: DataFrame) -> DataFrame:
     )
 
 
-def summarize_rollup(rollup: DataFrame, name: str) -> DataFrame:
-    """The same summary from the roll-up."""
-    plan = SUMMARIES[name]
+def _finish(partial: DataFrame, plan: Summary) -> DataFrame:
     averages = [_rolled_mean(m.column, m.places).alias(m.name) for m in plan.measures]
-    grouped = _with_periods(rollup).where(_known(plan.known)).groupBy(*plan.keys)
+    grouped = partial.where(_known(plan.known)).groupBy(*plan.keys)
     rows = grouped.agg(F.sum("trips").alias("trip_count"), *averages)
     return _sorted(rows, plan.order, plan.keys)
 
 
+def summarize_rollup(rollup: DataFrame, name: str) -> DataFrame:
+    """The same summary from the roll-up."""
+    return _finish(_with_periods(rollup), SUMMARIES[name])
+
+
+ZONE_KEYS = ("pickup_borough", "pickup_zone")
+
+
+def summarize_by_zone(
+    trips: DataFrame,
+    zones: DataFrame,
+    name: str,
+    max_rows: int | None = None,
+    limit_bytes: int | None = None,
+) -> DataFrame:
+    """A summary whose keys come from the zone lookup, from trips without zones.
+
+    A small lookup is broadcast to the trips. A large one is joined after the trips
+    have been reduced per location, so a location holding a third of all trips has
+    become a few rows before anything is shuffled by it.
+    """
+    if joins.may_broadcast(zones, max_rows, limit_bytes):
+        return summarize(joins.attach_zones(trips, zones, max_rows, limit_bytes), name)
+    plan = SUMMARIES[name]
+    own = [key for key in plan.keys if key not in ZONE_KEYS]
+    located = (
+        trips.where(_known([key for key in plan.known if key not in ZONE_KEYS]))
+        .groupBy("pickup_location_id", *own)
+        .agg(F.count(F.lit(1)).alias("trips"), *_partial_sums([m.column for m in plan.measures]))
+    )
+    return _finish(joins.attach_zones(located, zones, max_rows, limit_bytes), plan)
+
+
 def tipping_rollup(rollup: DataFrame) -> DataFrame:
     rows = (
         _with_periods(rollup)

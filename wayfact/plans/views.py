@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wayfact.functions import conditions, text
 from wayfact.functions.calendar import calendar_fields
 from wayfact.operators import clean, demand, dims, eventlog, joins
+from wayfact.plans import summaries
 from wayfact.session import configure, materialize
 
 FIRST_HOUR, LAST_HOUR = "2024-01-01 00:00:00", "2024-01-30 23:00:00"
@@ -117,6 +118,21 @@ class Views:
         number = F.array(text.numeric_text(F.col("props")))
         return self.table("events").withColumn("number", F.explode(number))
 
+    def line_trips(self) -> DataFrame:
+        """The trip columns that come from order lines alone, without the join to orders.
+
+        Every line has one order, so the rows are those of ``canonical_trips``.
+        """
+        price, off = F.col("l_extendedprice"), F.col("l_discount")
+        return self.table("lineitem").select(
+            F.col("l_suppkey").alias("pickup_location_id"),
+            F.col("l_linenumber").cast("double").alias("passenger_count"),
+            F.col("l_quantity").alias("trip_distance_miles"),
+            price.alias("fare_amount"),
+            (price * off).alias("tip_amount"),
+            (price * (1 - off) * (1 + F.col("l_tax"))).alias("total_amount"),
+        )
+
     def rides_raw(self) -> DataFrame:
         """Events as raw rides; the number in the text gives length, distance and tip."""
         kind = F.col("event_type")
@@ -301,6 +317,14 @@ class Views:
     def conditioned_rides_daily(self) -> DataFrame:
         return joins.attach_daily(self.rides(), self.days(), HOURS // 24)
 
+    def ride_zone_summary(self, rides: DataFrame, name: str) -> DataFrame:
+        rows = self.lookup_rows("customer")
+        return summaries.summarize_by_zone(rides, self.ride_zones(), name, rows)
+
+    def trip_zone_summary(self, trips: DataFrame, name: str) -> DataFrame:
+        rows = self.lookup_rows("supplier")
+        return summaries.summarize_by_zone(trips, self.trip_zones(), name, rows)
+
     # demand
 
     def demand_source(self) -> DataFrame:
