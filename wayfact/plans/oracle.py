@@ -711,8 +711,9 @@ SELECTS = {
     FROM trips_c, (SELECT s1 / n / CAST(100 AS DOUBLE) AS m,
         sqrt((n * s2 - s1 * s1) / (n * (n - CAST(1 AS DOUBLE)))) / CAST(100 AS DOUBLE) AS sd
       FROM (SELECT CAST(count(fare_amount) AS DOUBLE) AS n,
-        CAST(sum({units('fare_amount', 2)}) AS DOUBLE) AS s1,
-        CAST(sum({units('fare_amount', 2)} * {units('fare_amount', 2)}) AS DOUBLE) AS s2
+        CAST(CAST(sum({units('fare_amount', 2)}) AS VARCHAR) AS DOUBLE) AS s1,
+        CAST(CAST(sum({units('fare_amount', 2)} * {units('fare_amount', 2)}) AS VARCHAR) AS DOUBLE)
+          AS s2
         FROM trips_c))""",
     "quartile_bins": f"""
     SELECT trip_distance_miles,
