@@ -163,7 +163,8 @@ def test_skewed_merge_join_is_split(spark):
             F.when(F.col("id") % 50 == 0, F.col("id")).otherwise(7).alias("key"),
             F.sha2(F.col("id").cast("string"), 256).alias("payload"),
         )
-        lookup = spark.range(0, 400000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("v"))
+        pairs = spark.range(0, 400000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("v"))
+        lookup = joins.dedupe(pairs, ["key"])
         joined = joins.attach(fact, lookup, "key", limit_bytes=0)
         grouped = joined.groupBy("v").agg(F.count("payload").alias("n"))
         rows = {r.v: r.n for r in grouped.collect()}
@@ -174,6 +175,22 @@ def test_skewed_merge_join_is_split(spark):
             spark.conf.unset(key)
 
 
+def test_measured_size_counts_the_texts(spark):
+    df = spark.createDataFrame([(1, "é" * 50), (2, None)], "k int, t string")
+    assert joins.measured_bytes(df) == 2 * 2 * joins.OTHER_BYTES + 100
+    assert joins.may_broadcast(df, limit_bytes=164) and not joins.may_broadcast(df, limit_bytes=163)
+    assert joins.may_broadcast(df.limit(0), limit_bytes=0)
+
+
+def test_keys_of_different_names(spark):
+    trips = clean.canonical_trips(raw_trips(spark, {}, {"PULocationID": 9}))
+    for limit in (0, None):
+        rows = joins.attach(
+            trips, zones(spark), {"pickup_location_id": "LocationID"}, limit_bytes=limit
+        ).collect()
+        assert sorted((r.pickup_location_id, r.LocationID or 0) for r in rows) == [(1, 1), (1, 1), (9, 0)]
+
+
 def test_match_report(spark):
     df = spark.createDataFrame([("a", 1.0), (None, 2.0), ("b", None)], "zone string, t double")
     assert tuple(joins.match_report(df, "zone", "t").first()) == (3, 2, 2, 66.67, 66.67)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from wayfact.functions.exact import percent
+from wayfact.session import materialize
 
 # A lookup is shipped to every executor only below this size.
 BROADCAST_LIMIT_BYTES = 128 * 1024 * 1024
@@ -14,6 +17,9 @@ STRING_BYTES = 96
 OTHER_BYTES = 16
 
 
+Keys = str | Sequence[str] | Mapping[str, str]
+
+
 def row_bytes(df: DataFrame) -> int:
     """An upper estimate of one row of a lookup."""
     return sum(
@@ -22,45 +28,63 @@ def row_bytes(df: DataFrame) -> int:
     )
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Rows times fixed widths plus the texts' real lengths, by one aggregation."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    fixed = F.count(F.lit(1)) * F.lit(OTHER_BYTES * len(df.columns))
+    lengths = [F.coalesce(F.sum(F.octet_length(name)), F.lit(0)) for name in texts]
+    return df.agg(reduce(add, lengths, fixed)).first()[0]
+
+
 def may_broadcast(
     lookup: DataFrame, max_rows: int | None = None, limit_bytes: int | None = None
 ) -> bool:
     """Whether a lookup is known to be small.
 
     ``max_rows`` is a bound the caller can prove, such as the hours of a spine or
-    the row count of the table the lookup was made from. Without one the rows
-    are counted.
+    the row count of the table the lookup was made from. Without one the lookup is
+    measured.
     """
     limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
-    rows = lookup.count() if max_rows is None else max_rows
-    return rows * row_bytes(lookup) <= limit
+    size = measured_bytes(lookup) if max_rows is None else max_rows * row_bytes(lookup)
+    return size <= limit
+
+
+def _condition(on: Keys) -> list[str] | Column:
+    if isinstance(on, str):
+        return [on]
+    if isinstance(on, Mapping):
+        return reduce(and_, [F.col(left) == F.col(right) for left, right in on.items()])
+    return list(on)
 
 
 def attach(
     fact: DataFrame,
     lookup: DataFrame,
-    on: str | Sequence[str] | Column,
+    on: Keys,
     how: str = "left",
     max_rows: int | None = None,
     limit_bytes: int | None = None,
 ) -> DataFrame:
-    """Join a fact to a lookup.
+    """Join a fact to a lookup on shared names, or on a map of fact to lookup names.
 
     A lookup of checked small size is broadcast, and the fact is not shuffled.
-    A larger one is joined by a shuffle on the key; adaptive execution then
-    splits the partitions of hot fact keys, because a left or inner join may split
-    its left side freely.
+    A larger one is joined by sort and merge.
     """
     if may_broadcast(lookup, max_rows, limit_bytes):
-        return fact.join(F.broadcast(lookup), on, how)
-    return fact.join(lookup.hint("merge"), on, how)
+        return fact.join(F.broadcast(lookup), _condition(on), how)
+    return attach_by_merge(fact, lookup, on, how)
 
 
-def attach_by_merge(
-    fact: DataFrame, lookup: DataFrame, on: str | Sequence[str] | Column, how: str = "left"
-) -> DataFrame:
-    """The same join by sort and merge, for comparison."""
-    return fact.join(lookup.hint("merge"), on, how)
+def attach_by_merge(fact: DataFrame, lookup: DataFrame, on: Keys, how: str = "left") -> DataFrame:
+    """The same join by a shuffle of both sides.
+
+    Adaptive execution splits the partitions of hot fact keys, because a left or inner
+    join may split its left side freely. It does so only where each side comes straight
+    from its own shuffle, so a lookup that was itself made by key is stored first.
+    """
+    stored = materialize(lookup, "lookup")
+    return fact.join(stored.hint("merge"), _condition(on), how)
 
 
 def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:

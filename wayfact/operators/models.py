@@ -57,10 +57,7 @@ def preparation_stages(
     encoded = [f"{name}_ohe" for name in categorical]
     imputed = [f"{name}_imputed" for name in numeric]
     return [
-        *[
-            StringIndexer(inputCol=name, outputCol=out, handleInvalid="keep")
-            for name, out in zip(categorical, indexed)
-        ],
+        StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"),
         OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep", dropLast=True),
         Imputer(inputCols=list(numeric), outputCols=imputed, strategy="median"),
         VectorAssembler(inputCols=imputed + encoded, outputCol="features", handleInvalid="keep"),

@@ -308,10 +308,9 @@ def enrich_zones(v: Views) -> DataFrame:
 
 @query
 def enrich_zones_keys(v: Views) -> DataFrame:
-    zones = v.trip_zones_raw()
-    trips = v.line_trips()
-    same = trips["pickup_location_id"] == zones["LocationID"]
-    joined = joins.attach(trips, zones, same, "left", v.lookup_rows("supplier"))
+    keys = {"pickup_location_id": "LocationID"}
+    rows = v.lookup_rows("supplier")
+    joined = joins.attach(v.line_trips(), v.trip_zones_raw(), keys, "left", rows)
     return joined.select("pickup_location_id", "LocationID", "Borough", "Zone", "fare_amount")
 
 
