@@ -71,6 +71,18 @@ def test_period_is_half_open(spark):
     assert clean.clean_hourly(trips, "2024-01-01", "2024-02-01").count() == 1
 
 
+def test_daily_period_includes_both_dates(spark):
+    def at(*day):
+        start = dt.datetime(*day)
+        end = start + dt.timedelta(minutes=5)
+        return {"tpep_pickup_datetime": start, "tpep_dropoff_datetime": end}
+
+    moments = [at(2023, 12, 31, 23, 59), at(2024, 1, 1), at(2024, 1, 31, 23, 59), at(2024, 2, 1)]
+    trips = clean.canonical_trips(raw_trips(spark, *moments))
+    kept = clean.clean_daily(trips, "2024-01-01", "2024-01-31")
+    assert sorted(str(r.pickup_date) for r in kept.collect()) == ["2024-01-01", "2024-01-31"]
+
+
 @pytest.mark.parametrize(
     "change, kept",
     [

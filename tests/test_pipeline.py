@@ -181,6 +181,14 @@ def test_demand_dataset(spark, raw, built):
     assert spark.read.json(str(raw / "ml" / "demand_thresholds")).count() == 4
 
 
+def test_demand_reads_only_the_years_it_needs(spark, raw, built):
+    from wayfact.operators.demand import demand_source
+
+    joined = table(spark, raw, "hourly", "joined_trips")
+    plan = demand_source(joined, START, END, ("Bronx",))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pickup_year" in plan
+
+
 def test_outputs_as_tables(spark, raw, built):
     names = [pipeline.JOINED, *pipeline.SUMMARY_NAMES]
     pipeline.register_outputs(spark, "outputs", str(raw / "hourly"), names)

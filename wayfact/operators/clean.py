@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -160,9 +161,13 @@ def within_dates(date: Column, first: str, last: str) -> Column:
 def clean_daily(
     trips: DataFrame, first: str, last: str, limits: DailyLimits = DailyLimits()
 ) -> DataFrame:
-    """Canonical trips between two dates (both included) that pass the daily bounds."""
-    rows = with_daily_columns(trips)
-    return rows.where(within_dates(F.col("pickup_date"), first, last) & plausible_daily(limits))
+    """Canonical trips between two dates (both included) that pass the daily bounds.
+
+    The dates are compared as a period of the timestamp, which a scan can use.
+    """
+    after_last = (dt.date.fromisoformat(last) + dt.timedelta(days=1)).isoformat()
+    period = trips.where(in_period(F.col("pickup_timestamp"), first, after_last))
+    return with_daily_columns(period).where(plausible_daily(limits))
 
 
 def quality_report(raw: DataFrame, kept: Column) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -38,10 +39,15 @@ HIGH, NORMAL = "High Demand", "Normal Demand"
 
 
 def demand_source(joined: DataFrame, start: str, end: str, groups: Sequence[str]) -> DataFrame:
-    """Joined trips of a half-open date range and the given groups, only needed columns."""
+    """Joined trips of a half-open date range and the given groups, only needed columns.
+
+    The year test repeats the range for the folders of a stored table.
+    """
     date = F.col("pickup_date")
+    years = [dt.date.fromisoformat(edge).year for edge in (start, end)]
     return joined.where(
-        (date >= F.lit(start).cast("date"))
+        F.col("pickup_year").between(*years)
+        & (date >= F.lit(start).cast("date"))
         & (date < F.lit(end).cast("date"))
         & F.col("pickup_borough").isin(*groups)
     ).select("pickup_hour", "pickup_borough", *HOUR_ATTRIBUTES)
