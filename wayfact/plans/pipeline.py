@@ -216,6 +216,7 @@ def validate_schemas(spark: SparkSession, root: str, year: int, pattern: str) ->
 
 
 def log_metrics(spark: SparkSession, folder: str, output: str) -> DataFrame:
+    """Run metrics of the event logs in a folder, as JSON."""
     metrics = eventlog.event_log_metrics(eventlog.read_event_log(spark, folder))
     writers.write_json(metrics, output, "spark_metrics")
     return metrics

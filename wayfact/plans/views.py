@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayfact.functions import conditions, text
-from wayfact.functions.calendar import calendar_fields
 from wayfact.operators import clean, demand, dims, eventlog, joins
 from wayfact.plans import summaries
 from wayfact.session import configure, materialize
