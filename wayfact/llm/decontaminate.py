@@ -21,7 +21,8 @@ from wayfact.session import materialize
 
 K1, B = 1.2, 0.75
 BLOCK = 64
-THRESHOLD = 0.5  # share of an item's own full score
+THRESHOLD = 0.6  # share of an item's own full score
+COMMON_SHARE = 0.5  # of the threshold: what an item's commonest terms may make up unseen
 SHINGLE = 5
 MIN_OVERLAP = 0.8
 MIN_PASSAGE = 64
@@ -76,13 +77,22 @@ class Index:
     items: list[Item]
     number: dict[bytes, int] = field(default_factory=dict)
     postings: list[tuple[list[int], list[float], list[float], float]] = field(default_factory=list)
-    ceiling: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    threshold: float = THRESHOLD
     passage: int = MIN_PASSAGE
 
     @classmethod
-    def build(cls, items: list[Item], frequency: dict[bytes, int], n_items: int, mean_length: float) -> Index:
+    def build(
+        cls,
+        items: list[Item],
+        frequency: dict[bytes, int],
+        n_items: int,
+        mean_length: float,
+        threshold: float = THRESHOLD,
+    ) -> Index:
         """``frequency``: in how many of all ``n_items`` a term occurs, for these items' terms."""
-        index = cls([item for item in items if item.words])
+        index = cls([item for item in items if item.words], threshold=threshold)
+        rare: dict[bytes, list[tuple[int, float]]] = {}
+        index.need = np.zeros(len(index.items))
         gathered: dict[bytes, list[tuple[int, float]]] = {}
         for k, item in enumerate(index.items):
             norm = K1 * (1 - B + B * len(item.words) / mean_length)
@@ -93,17 +103,51 @@ class Index:
             whole = sum(weights.values())
             for word, weight in weights.items():
                 gathered.setdefault(word, []).append((k, weight / whole))
+            unseen = 0.0
+            for word in sorted(weights, key=lambda w: (-frequency[w], w)):
+                if unseen + weights[word] / whole <= COMMON_SHARE * threshold:
+                    unseen += weights[word] / whole
+                else:
+                    rare.setdefault(word, []).append((k, weights[word] / whole))
+            index.need[k] = threshold - unseen - 1e-6
         for word, found in gathered.items():
             index.number[word] = len(index.postings)
             ids, impacts = [k for k, _ in found], [w for _, w in found]
             blocks = [max(impacts[i : i + BLOCK]) for i in range(0, len(impacts), BLOCK)]
             index.postings.append((ids, impacts, blocks, max(blocks)))
         # The last place stands for words outside the index.
-        index.ceiling = np.array([top for _, _, _, top in index.postings] + [0.0])
+        counts = [len(rare.get(word, ())) for word in index.number] + [0]
+        index.rare_starts = np.concatenate(([0], np.cumsum(counts)))
+        listed = [entry for word in index.number for entry in rare.get(word, ())]
+        index.rare_items = np.array([k for k, _ in listed], np.int64)
+        index.rare_impacts = np.array([w for _, w in listed], np.float64)
         longest = max((len(item.words) for item in index.items), default=0)
         index.passage = max(MIN_PASSAGE, 2 * longest)
         return index
 
+    def hopeful(self, ids: np.ndarray, step: int, windows: int) -> np.ndarray:
+        """Windows (two steps of words each) in which some item can reach the threshold.
+
+        Only postings of an item's rarer terms are read. Its common terms could add a
+        fixed share at most, so the rarer ones must make up the rest.
+        """
+        counts = self.rare_starts[ids + 1] - self.rare_starts[ids]
+        places = np.flatnonzero(counts)
+        if not len(places):
+            return places
+        counts = counts[places]
+        first = np.repeat(self.rare_starts[ids[places]] - np.cumsum(counts) + counts, counts)
+        entries = first + np.arange(len(first))
+        impacts = self.rare_impacts[entries]
+        if impacts.sum() < self.need.min():
+            return places[:0]
+        items, at = self.rare_items[entries], np.repeat(places // step, counts)
+        keys = np.concatenate((items * windows + np.minimum(at, windows - 1), items * windows + at - 1))
+        held = np.concatenate((np.ones(len(at), bool), (at > 0) & (at < windows)))
+        keys, inverse = np.unique(keys[held], return_inverse=True)
+        sums = np.bincount(inverse, weights=np.concatenate((impacts, impacts))[held])
+        return np.unique(keys[sums >= self.need[keys // windows]] % windows)
+
     def search(self, query: list[int], threshold: float) -> list[tuple[int, float]]:
         """All items whose score for the distinct terms of ``query`` reaches ``threshold``.
 
@@ -172,27 +216,20 @@ def _block_of(ids: list[int], at: int, item: int) -> int:
     return block
 
 
-def matches_in(text: bytes, index: Index, numbers: Memo, threshold: float, min_overlap: float):
+def matches_in(text: bytes, index: Index, numbers: Memo, min_overlap: float = MIN_OVERLAP):
     """(item, score, question overlap, answer overlap) for each item found in the text."""
     words = text.split()
     if not words:
         return
     outside = len(index.postings)
     ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-    ceilings = index.ceiling[ids]
-    sums = np.concatenate(([0.0], np.cumsum(ceilings)))
-    size, step = index.passage, index.passage // 2
-    starts = np.arange(0, max(1, len(words) - step), step)
-    ends = np.minimum(starts + size, len(words))
-    # No passage can score above the sum of its terms' maxima.
-    hopeful = np.flatnonzero(sums[ends] - sums[starts] >= threshold - 1e-6)
+    step = index.passage // 2
+    windows = max(1, -(-len(words) // step) - 1)
     best: dict[int, float] = {}
-    for k in hopeful.tolist():
-        own = np.unique(ids[starts[k] : ends[k]])
+    for k in index.hopeful(ids, step, windows).tolist():
+        own = np.unique(ids[k * step : k * step + index.passage])
         own = own[own < outside]
-        if index.ceiling[own].sum() < threshold - 1e-6:
-            continue
-        for item, score in index.search(own.tolist(), threshold):
+        for item, score in index.search(own.tolist(), index.threshold):
             best[item] = max(score, best.get(item, 0.0))
     if not best:
         return
@@ -236,7 +273,7 @@ def _item_words(batches):
         )
 
 
-def indexes(benchmark: DataFrame):
+def indexes(benchmark: DataFrame, threshold: float = THRESHOLD):
     """One index after another, each over a bounded number of items and bytes.
 
     Term frequencies and the mean length are those of all items. Null and empty items
@@ -253,7 +290,7 @@ def indexes(benchmark: DataFrame):
         read = _items(items.orderBy("item_id").collect())
         counts = Counter(word for item in read for word in set(item.words))
         length = sum(len(item.words) for item in read) / size["n"]
-        yield Index.build(read, counts, size["n"], max(1.0, length))
+        yield Index.build(read, counts, size["n"], max(1.0, length), threshold)
         return
     words = materialize(map_batches(items, _item_words, "item_id bigint, word string, n bigint"), "item-words")
     length = words.agg(F.sum("n")).first()[0] / size["n"]
@@ -263,7 +300,7 @@ def indexes(benchmark: DataFrame):
         here = words.where(mine).select("word").distinct()
         counts = {word.encode(): n for word, n in frequency.join(here, "word").collect()}
         read = _items(items.where(mine).orderBy("item_id").collect())
-        yield Index.build(read, counts, size["n"], max(1.0, length))
+        yield Index.build(read, counts, size["n"], max(1.0, length), threshold)
 
 
 def benchmark_matches(
@@ -280,7 +317,7 @@ def benchmark_matches(
     spark = docs.sparkSession
     schema = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double"
     result = None
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, threshold):
         shared = spark.sparkContext.broadcast(index)
 
         def scan(batches, shared=shared):
@@ -291,7 +328,7 @@ def benchmark_matches(
                 rows = [
                     (doc_id, index.items[item].item_id, *rest)
                     for doc_id, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch))
-                    for item, *rest in matches_in(text, index, numbers, threshold, min_overlap)
+                    for item, *rest in matches_in(text, index, numbers, min_overlap)
                 ]
                 names = ("doc_id", "item_id", "score", "question_overlap", "answer_overlap")
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
