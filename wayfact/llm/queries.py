@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfact.llm import bpe, chunk_dedup, decontaminate, quality_rules, simhash
+from wayfact.llm import (
+    bpe,
+    chunk_dedup,
+    decontaminate,
+    licences,
+    pu_quality,
+    quality_rules,
+    simhash,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from wayfact.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -25,6 +36,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept")
 
 
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.benchmark_matches(
@@ -37,11 +59,28 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.pu_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = token_files.write_token_files(docs, public_tokenizers.path(TOKENIZER))
+    return token_files.read_token_files(files)
+
+
 def token_digests(docs: DataFrame) -> DataFrame:
     coded = bpe.transcode(docs, public_tokenizers.path(TOKENIZER))
     return coded.select(
