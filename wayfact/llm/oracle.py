@@ -1,9 +1,129 @@
-"""The text queries as DuckDB SQL, where SQL can express them."""
+"""The text queries as DuckDB SQL, where SQL can express them.
+
+The rest (fitted models, rolling hashes, fingerprints by XXH64, merges and files) is
+tested against brute force, round trips and held-out labels.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from wayfact.llm import licences
+
+QUALITY_RULES = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+words AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM words)
+),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice)
+    GROUP BY doc_id
+),
+base AS (
+    SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+        length(array_to_string(w, ''))
+            - length(regexp_replace(array_to_string(w, ''), '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        len([l FOR l IN string_split(text, chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')])
+            - len(list_distinct([l FOR l IN string_split(text, chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')]))
+            AS n_dup_lines,
+        coalesce(covered.n, 0) AS n_repeat_words
+    FROM words LEFT JOIN covered USING (doc_id)
+),
+points AS (
+    SELECT doc_id, [unicode(c)::BIGINT FOR c IN string_split(text, '')] AS p
+    FROM docs WHERE length(text) >= 4
+),
+grams AS (
+    SELECT doc_id, (p[i] * 44235 + p[i + 1] * 13849 + p[i + 2] * 40503 + p[i + 3]) % 65536 AS bucket
+    FROM (SELECT doc_id, p, unnest(range(1, len(p) - 2)) AS i FROM points)
+),
+per_doc AS (SELECT doc_id, bucket, count(*) AS n FROM grams GROUP BY ALL),
+trusted AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+counts AS (
+    SELECT bucket, sum(n) AS raw, coalesce(sum(n) FILTER (WHERE doc_id IN (SELECT doc_id FROM trusted)), 0) AS good
+    FROM per_doc GROUP BY bucket
+),
+totals AS (SELECT sum(raw) AS raw_all, sum(good) AS good_all FROM counts),
+ratios AS (
+    SELECT bucket, CASE WHEN good_all = 0 THEN 0 ELSE
+        ln((good + 1.0) / (good_all + 65536)) - ln((raw + 1.0) / (raw_all + 65536)) END AS ratio
+    FROM counts, totals
+),
+scores AS (
+    SELECT doc_id, sum(n * ratio) / sum(n) AS score FROM per_doc JOIN ratios USING (bucket) GROUP BY doc_id
+),
+judged AS (
+    SELECT base.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, coalesce(score, 0) AS score
+    FROM base LEFT JOIN scores USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND score >= -0.25 AS kept
+FROM judged
+"""
+
+URL_FILTER = r"""
+WITH rules(action, host, path) AS (
+    VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+        ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+),
+rests AS (
+    SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0
+        THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+parts AS (
+    SELECT page_id,
+        translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rests
+),
+fits AS (
+    SELECT p.page_id, max_by(r.host || r.path, length(r.host || r.path)) AS rule,
+        max_by(r.action, length(r.host || r.path)) AS action
+    FROM parts p JOIN rules r
+        ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+    GROUP BY p.page_id
+)
+SELECT p.page_id, p.host, p.path, f.rule,
+    coalesce(f.action, CASE WHEN regexp_matches(p.host, '(^|[.-])(casino|bets|pills|ads|spam|adult)([.-]|$)')
+        THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts p LEFT JOIN fits f USING (page_id)
+"""
+
+
+def _canonical(text: str) -> str:
+    text = f"translate({text}, '{licences.UPPER}', '{licences.LOWER}')"
+    text = (
+        rf"regexp_replace({text}, '(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*', '\1', 'g')"
+    )
+    text = rf"' ' || regexp_replace({text}, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g') || ' '"
+    for spelling, common in licences.SPELLINGS:
+        text = f"replace({text}, ' {spelling} ', ' {common} ')"
+    return f"trim(regexp_replace({text}, ' +', ' ', 'g'))"
+
+
+def _licences() -> str:
+    rows = ", ".join(
+        "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licences.KNOWN
+    )
+    return f"""
+WITH listed(licence, text) AS (VALUES {rows}),
+known AS (SELECT {_canonical("text")} AS canon, min(licence) AS licence FROM listed GROUP BY 1),
+lines AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l, coalesce(text, '') AS text FROM documents),
+units AS (
+    SELECT doc_id, 0::BIGINT AS place, text FROM lines
+    UNION ALL
+    SELECT doc_id, i AS place, l[i] AS text
+    FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM lines WHERE len(l) > 1)
+)
+SELECT doc_id, place, licence FROM (SELECT doc_id, place, {_canonical("text")} AS canon FROM units)
+JOIN known USING (canon)
+"""
 
 
 def oracle() -> dict[str, str]:
-    return dict(ORACLE)
+    return {
+        "op1_quality_rules": QUALITY_RULES,
+        "op2_url_filter": URL_FILTER,
+        "op7_licences": _licences(),
+    }
