@@ -136,3 +136,28 @@ def test_rush_hour(spark):
     column = calendar.is_rush_hour(F.col("d"), F.col("h"))
     found = values(spark, rows, "d date, h int", column)
     assert found == [True, True, False, True, False, False]
+
+
+@pytest.mark.parametrize(
+    "numbers",
+    [
+        [1.0, float("nan"), 3.0],
+        [1.0, float("inf")],
+        [float("-inf"), 2.0, None],
+        [float("inf"), float("-inf")],
+        [1.5, 2.25, None],
+        [8e12, 8e12],
+        [1e-7, 3e-7],
+    ],
+)
+def test_means_and_sums_are_those_of_avg_and_sum(spark, numbers):
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    row = df.agg(exact.mean("x"), F.avg("x"), exact.sum_of("x"), F.sum("x")).first()
+    assert row[0] == pytest.approx(row[1], abs=0.0051, nan_ok=True)
+    assert row[2] == pytest.approx(row[3], abs=0.0051, nan_ok=True)
+
+
+def test_values_too_large_to_be_exact_raise(spark):
+    df = spark.createDataFrame([(1e13,)], "x double")
+    with pytest.raises(Exception, match="too large"):
+        df.agg(exact.mean("x")).collect()

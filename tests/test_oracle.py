@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_check import compare, duck
+from wayfact.plans.oracle import oracle
+from wayfact.plans.registry import registered
 
 DIRECTORY = "/root/testdata/sf0.001"
 SAMPLE = """
@@ -21,7 +23,7 @@ SAMPLE = """
 """.split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIRECTORY), reason="no test tables")
-CHOSEN = sorted(entry.oracle_sql()) if os.environ.get("WAYFACT_ALL") else SAMPLE
+CHOSEN = sorted(oracle()) if os.environ.get("WAYFACT_ALL") else SAMPLE
 
 
 @pytest.fixture(scope="module")
@@ -36,8 +38,9 @@ def test_matches_sql(spark, connection, name):
 
 
 def test_names_agree():
-    without_sql = set(entry.queries()) - set(entry.oracle_sql())
+    without_sql = set(registered()) - set(oracle())
     assert without_sql == {"demand_models", "feature_ranking", "storage_footprint", "tip_classifier"}
+    assert set(registered()) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

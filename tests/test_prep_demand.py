@@ -26,13 +26,22 @@ def shapes():
     yield "constant", [3.5] * 10
     yield "single", [1.0]
     yield "neighbouring doubles", [1.0, np.nextafter(1.0, 2.0), 1e300, -1e300]
+    yield "infinities", [1.0, 2.0, 3.0, math.inf, -math.inf]
+    yield "full range", [-1.7e308, 1.7e308, 0.0, 5e-324] * 50
+    yield "heavy tail", [10.0 ** random.uniform(-300, 300) for _ in range(2000)]
 
 
 @pytest.mark.parametrize("name, values", list(shapes()), ids=lambda v: v if isinstance(v, str) else "")
 def test_exact_quantiles(spark, name, values):
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
-    found = exact_quantiles(df, "x", PROBABILITIES, cells=64)
-    assert found == [discrete(values, p) for p in PROBABILITIES]
+    expected = [discrete(values, p) for p in PROBABILITIES]
+    assert exact_quantiles(df, "x", PROBABILITIES) == expected
+    assert exact_quantiles(df, "x", PROBABILITIES, small=20, accuracy=100) == expected
+
+
+def test_nan_is_no_value_of_a_quantile(spark):
+    df = spark.createDataFrame([(math.nan,), (1.0,), (2.0,)], "x double")
+    assert exact_quantiles(df, "x", [0.5, 1.0]) == [1.0, 2.0]
 
 
 def test_quantiles_of_nothing(spark):
@@ -67,6 +76,21 @@ def test_zscore(spark):
     assert [r.z for r in prep.zscore(constant, "x", "z").collect()] == [None, None]
 
 
+@pytest.mark.parametrize("values", [[1.23456789 + 1e-5 * i for i in range(50)], [1e300, -1e300, 3.0]])
+def test_zscore_of_any_scale(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    sd = df.agg(F.stddev_samp("x")).first()[0]
+    for r in prep.zscore(df, "x", "z").collect():
+        expected = (r.x - sum(values) / len(values)) / sd
+        assert r.z == pytest.approx(expected, rel=1e-9, nan_ok=True)
+
+
+def test_zscore_of_many_large_values(spark):
+    df = spark.range(200_000).selectExpr("2.9e7 + id % 7 as x")
+    row = prep.zscore(df, "x", "z").agg(F.avg("z"), F.stddev_samp("z")).first()
+    assert abs(row[0]) < 1e-6 and abs(row[1] - 1) < 1e-9
+
+
 def test_one_hot(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "p int")
     rows = prep.one_hot(df, "p", {2: "cash", 3: "free"}, "pay_").collect()

@@ -1,11 +1,16 @@
 """Sums, averages and ratios that do not depend on the order of the rows.
 
 Adding doubles gives a different last digit for every partitioning, and a
-rounded average then flips. Each value is therefore put on a fixed scale as a
-``bigint`` and summed in two halves: the high part and the low 16 bits. Both
-halves stay in ``bigint`` inside generated code (decimal sums were about eight
-times slower when measured), and neither can overflow before 1e14 rows. The halves
-meet in a decimal only once per group.
+rounded average then flips. Each value is therefore rounded to six decimals, kept as
+a ``bigint`` of whole units, and summed in two halves: the high part and the low 16
+bits. Both halves stay in ``bigint`` inside generated code (decimal sums were about
+eight times slower when measured) and meet in a decimal only once per group. The low
+half overflows after 1.4e14 rows, the high half after 6e23 divided by the largest
+unit: 6e12 rows of values of 1e5.
+
+Values beyond ``LIMIT`` raise an error. NaN and infinities are not counted in units;
+``unusual`` adds them up by themselves, and an average or sum takes its value from
+there if it has any, as ``avg`` and ``sum`` would.
 
 Arguments are SQL expressions, results are columns.
 """
@@ -17,11 +22,27 @@ from pyspark.sql import Column, functions as F
 PLACES = 6
 LOW_BITS = 16
 LOW_MASK = (1 << LOW_BITS) - 1
+LIMIT_UNITS = 9e18
 
 
 def units(value: str, places: int = PLACES) -> str:
-    """``value`` as whole units of 10**-places, half rounded up."""
-    return f"floor(({value}) * {10**places}D + 0.5D)"
+    """``value`` as whole units of 10**-places, half rounded up.
+
+    Null for NaN and infinities; an error for finite values too large for a bigint.
+    """
+    number = f"cast(({value}) as double)"
+    return (
+        f"(case when abs({number}) <= {LIMIT_UNITS / 10**places!r}D "
+        f"then floor({number} * {10**places}D + 0.5D) "
+        f"when abs({number}) < double('Infinity') "
+        f"then cast(raise_error('a value is too large to be summed exactly') as bigint) end)"
+    )
+
+
+def unusual(value: str) -> str:
+    """Sum of the NaN and infinite values, null without any (aggregate)."""
+    number = f"cast(({value}) as double)"
+    return f"sum(case when isnan({number}) or abs({number}) = double('Infinity') then {number} end)"
 
 
 def high_part(whole: str) -> str:
@@ -59,22 +80,28 @@ def percent(part: str, whole: str, places: int = 2) -> Column:
     return ratio(f"(cast({part} as decimal(20,0)) * 100)", whole, places)
 
 
-def mean_of_parts(high: str, low: str, count: str, places: int) -> Column:
+def mean_of_parts(high: str, low: str, count: str, places: int, odd: str = "null") -> Column:
+    """The average from the two summed halves, the count and the sum of unusual values."""
     scale = f"(cast({count} as decimal(20,0)) * {10**PLACES})"
-    return ratio(joined_parts(high, low), scale, places)
+    return F.coalesce(F.expr(f"cast({odd} as double)"), ratio(joined_parts(high, low), scale, places))
 
 
 def mean(value: str, places: int = 2) -> Column:
     """Average of the non-null values, rounded to ``places`` digits (aggregate)."""
     whole = units(value)
     return mean_of_parts(
-        f"sum({high_part(whole)})", f"sum({low_part(whole)})", f"count({value})", places
+        f"sum({high_part(whole)})",
+        f"sum({low_part(whole)})",
+        f"count({value})",
+        places,
+        unusual(value),
     )
 
 
 def sum_of(value: str, places: int = 2) -> Column:
     """Sum of the non-null values, rounded to ``places`` digits (aggregate)."""
-    return ratio(total(units(value)), str(10**PLACES), places)
+    finite = ratio(total(units(value)), str(10**PLACES), places)
+    return F.coalesce(F.expr(unusual(value)), finite)
 
 
 def difference(left: str, right: str, places: int = 2) -> Column:

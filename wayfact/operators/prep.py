@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wayfact.functions import exact
 from wayfact.operators.quantiles import exact_quantiles
 
 # Fixed values.
@@ -39,27 +38,16 @@ def quartile_bins(df: DataFrame, column: str, out: str) -> DataFrame:
     return df.withColumn(out, label)
 
 
-def zscore(df: DataFrame, column: str, out: str, places: int = 2) -> DataFrame:
+def zscore(df: DataFrame, column: str, out: str) -> DataFrame:
     """Distance from the mean in sample standard deviations.
 
-    Sums and squares are added as whole units, so the result is the same for every
-    partitioning. ``places`` is the number of decimals the column carries.
+    Null where the deviation is zero or unknown. Mean and deviation are doubles from one
+    aggregation; their last digits can depend on the partitioning.
     """
-    units = exact.units(column, places)
-    n = F.count(column).cast("double")
-    first, second = (
-        F.expr(exact.total(whole)).cast("double") for whole in (units, f"({units} * {units})")
-    )
-    variance = (n * second - first * first) / F.nullif(n * (n - 1.0), F.lit(0.0))
-    unit = F.lit(float(10**places))
-    stats = df.agg(
-        F.struct(
-            (first / F.nullif(n, F.lit(0.0)) / unit).alias("mean"),
-            (F.sqrt(variance) / unit).alias("sd"),
-        )
-    ).scalar()
+    value = F.col(column).cast("double")
+    stats = df.agg(F.struct(F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"))).scalar()
     spread = F.nullif(stats.getField("sd"), F.lit(0.0))
-    return df.withColumn(out, (F.col(column) - stats.getField("mean")) / spread)
+    return df.withColumn(out, (value - stats.getField("mean")) / spread)
 
 
 def one_hot(df: DataFrame, column: str, levels: Mapping[int, str], prefix: str) -> DataFrame:

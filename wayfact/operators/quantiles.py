@@ -6,77 +6,116 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-CELLS = 4096
+from wayfact.session import materialize
+
+ACCURACY = 10_000  # percentile_approx is off by n / ACCURACY ranks at most
+SMALL = 100_000  # values that one exact aggregation may hold
 
 
 @dataclass
 class _Search:
-    """Where one quantile lies: between two values, ``rank`` counted from the lower."""
+    """The value of 1-based ``rank`` among the values strictly between two bounds."""
 
-    low: float
-    high: float
     rank: int
+    low: float | None = None
+    high: float | None = None
+    found: float | None = None
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], cells: int = CELLS
+    df: DataFrame, column: str, probabilities: Sequence[float], small: int = SMALL, accuracy: int = ACCURACY
 ) -> list[float | None]:
     """The values at the given ranks (``percentile_disc``), without sorting the column.
 
-    Each round counts the values per equal-width cell, which combines on the map
-    side to a few thousand rows per task, and keeps the one cell that holds the
-    rank, narrowed to the smallest and largest value found there. It ends when a
-    cell holds a single value. Only one row per quantile reaches the driver, and
-    the next round's range is a literal that scans can use to skip data.
+    The column alone is stored and read. A round takes a bracket around each rank from
+    ``percentile_approx``, whose error is bounded for any distribution, and counts what
+    lies below, on and between its ends. A rank on an end is found; otherwise the values
+    strictly between are at most a small share of those before. Once they are few, one
+    exact aggregation picks the value: three reads for up to ``small`` times ``accuracy``
+    / 8 rows, two more for each such factor beyond. One row a round reaches the driver.
+    NaN and nulls are left out; infinities are values like others.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where(
-        F.col("v").isNotNull() & ~F.isnan("v")
-    )
-    span = values.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n"))
-    low, high, count = span.first()
+    values = df.select(F.col(column).cast("double").alias("v"))
+    values = materialize(values.where(F.col("v").isNotNull() & ~F.isnan("v")), "values")
+    count = values.count()
     if not count:
         return [None] * len(probabilities)
-    searches = [_Search(low, high, max(1, math.ceil(p * count))) for p in probabilities]
-    while any(s.low < s.high for s in searches):
-        _narrow(values, [s for s in searches if s.low < s.high], cells)
-    return [s.low for s in searches]
-
-
-def _narrow(values: DataFrame, searches: list[_Search], cells: int) -> None:
-    """Replace each search by the cell of its range that holds its rank."""
-    ranges = sorted({(s.low, s.high) for s in searches})
-    v = F.col("v")
-    within, cell = F.lit(None).cast("int"), F.lit(None).cast("bigint")
-    for index, (low, high) in enumerate(ranges):
-        here = v.between(low, high)
-        step = F.floor((v - low) / F.lit(high - low) * F.lit(float(cells)))
-        within = F.when(here, index).otherwise(within)
-        cell = F.when(here, F.least(step, F.lit(cells - 1))).otherwise(cell)
-    # ranges are disjoint or equal, so a value belongs to one at most
-    outer = v.between(ranges[0][0], ranges[-1][1])
-    counts = (
-        values.where(outer)
-        .select(within.alias("range"), cell.alias("cell"), "v")
-        .where("range is not null")
-        .groupBy("range", "cell")
-        .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-    )
-    upto = Window.partitionBy("range").orderBy("cell")
-    running = counts.withColumn("through", F.sum("n").over(upto))
-    found = running.agg(
-        *[
-            F.min(
-                F.when(
-                    (F.col("range") == ranges.index((s.low, s.high)))
-                    & (F.col("through") >= s.rank),
-                    F.struct("cell", "low", "high", (F.col("through") - F.col("n")).alias("before")),
-                )
-            ).alias(f"s{i}")
-            for i, s in enumerate(searches)
-        ]
-    ).first()
-    for search, hit in zip(searches, found):
-        search.low, search.high = hit["low"], hit["high"]
-        search.rank -= hit["before"]
+    searches = [_Search(max(1, math.ceil(p * count))) for p in probabilities]
+    sizes = [count] * len(searches)
+    while any(s.found is None for s in searches):
+        open_ = [i for i, s in enumerate(searches) if s.found is None]
+        few = [i for i in open_ if sizes[i] <= small]
+        many = [i for i in open_ if sizes[i] > small]
+        if few:
+            _pick(values, [searches[i] for i in few], [sizes[i] for i in few])
+        if many:
+            narrowed = _narrow(values, [searches[i] for i in many], [sizes[i] for i in many], accuracy)
+            for i, size in zip(many, narrowed):
+                sizes[i] = size
+    return [s.found for s in searches]
+
+
+def _inside(search: _Search) -> str:
+    tests = [
+        f"v {sign} double('{bound!r}')"
+        for sign, bound in ((">", search.low), ("<", search.high))
+        if bound is not None
+    ]
+    return " and ".join(tests) or "true"
+
+
+def _pick(values: DataFrame, searches: list[_Search], sizes: list[int]) -> None:
+    """Finds ranks among few values."""
+    picks = [
+        F.expr(
+            f"percentile_disc({(s.rank - 0.5) / size!r}D) within group (order by v) filter (where {_inside(s)})"
+        ).alias(f"s{i}")
+        for i, (s, size) in enumerate(zip(searches, sizes))
+    ]
+    for search, value in zip(searches, values.agg(*picks).first()):
+        search.found = value
+
+
+def _narrow(values: DataFrame, searches: list[_Search], sizes: list[int], accuracy: int) -> list[int]:
+    """Moves the bounds towards each rank; the numbers of values left between them."""
+    brackets = []
+    for i, (s, size) in enumerate(zip(searches, sizes)):
+        share, margin = s.rank / size, 2 / accuracy
+        ends = [max(0.0, share - margin), min(1.0, share + margin)]
+        brackets.append(
+            F.expr(f"percentile_approx(v, array({ends[0]!r}D, {ends[1]!r}D), {accuracy}) filter (where {_inside(s)})")
+            .alias(f"s{i}")
+        )
+    counts = []
+    ends = [tuple(pair) for pair in values.agg(*brackets).first()]
+    for i, (s, (low, high)) in enumerate(zip(searches, ends)):
+        a, b = (f"double('{x!r}')" for x in (low, high))
+        for name, test in (
+            ("below", f"v < {a}"),
+            ("low", f"v = {a}"),
+            ("inner", f"v > {a} and v < {b}"),
+            ("high", f"v = {b} and {b} > {a}"),
+        ):
+            counts.append(F.expr(f"count_if({_inside(s)} and {test})").alias(f"{name}{i}"))
+    row = values.agg(*counts).first()
+    left = []
+    for i, (s, (low, high), size) in enumerate(zip(searches, ends, sizes)):
+        rank = s.rank
+        for part, bounds, value in (
+            ("below", (s.low, low), None),
+            ("low", None, low),
+            ("inner", (low, high), None),
+            ("high", None, high),
+            ("above", (high, s.high), None),
+        ):
+            held = size - sum(row[f"{n}{i}"] for n in ("below", "low", "inner", "high")) if part == "above" else row[f"{part}{i}"]
+            if rank <= held:
+                s.rank, s.found = rank, value
+                if bounds:
+                    s.low, s.high = bounds
+                left.append(held)
+                break
+            rank -= held
+    return left

@@ -706,15 +706,9 @@ SELECTS = {
       FROM trips_c)""",
     "iqr_outliers": f"SELECT pickup_timestamp, fare_amount, fare_amount < {_fence('low')}"
     f" OR fare_amount > {_fence('high')} AS is_fare_outlier FROM rides_c",
-    "zscore": f"""
-    SELECT fare_amount, (fare_amount - m) / sd AS fare_z
-    FROM trips_c, (SELECT s1 / n / CAST(100 AS DOUBLE) AS m,
-        sqrt((n * s2 - s1 * s1) / (n * (n - CAST(1 AS DOUBLE)))) / CAST(100 AS DOUBLE) AS sd
-      FROM (SELECT CAST(count(fare_amount) AS DOUBLE) AS n,
-        CAST(CAST(sum({units('fare_amount', 2)}) AS VARCHAR) AS DOUBLE) AS s1,
-        CAST(CAST(sum({units('fare_amount', 2)} * {units('fare_amount', 2)}) AS VARCHAR) AS DOUBLE)
-          AS s2
-        FROM trips_c))""",
+    "zscore": """
+    SELECT fare_amount, round((fare_amount - m) / sd, 6) AS fare_z
+    FROM trips_c, (SELECT avg(fare_amount) AS m, stddev_samp(fare_amount) AS sd FROM trips_c)""",
     "quartile_bins": f"""
     SELECT trip_distance_miles,
       CASE WHEN trip_distance_miles < {_quartile('trip_distance_miles', 0.25, 'trips_c')}

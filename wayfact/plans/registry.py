@@ -569,7 +569,8 @@ def iqr_outliers(v: Views) -> DataFrame:
 
 @query
 def zscore(v: Views) -> DataFrame:
-    return prep.zscore(v.line_trips().select("fare_amount"), "fare_amount", "fare_z")
+    scored = prep.zscore(v.line_trips().select("fare_amount"), "fare_amount", "fare_z")
+    return scored.withColumn("fare_z", F.round("fare_z", 6))
 
 
 @query

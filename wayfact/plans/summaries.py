@@ -173,6 +173,7 @@ def _partial_sums(columns: Sequence[str]) -> list[Column]:
             F.expr(f"sum({exact.high_part(units)})").alias(f"{name}_high"),
             F.expr(f"sum({exact.low_part(units)})").alias(f"{name}_low"),
             F.count(name).alias(f"{name}_n"),
+            F.expr(exact.unusual(name)).alias(f"{name}_odd"),
         ]
     return sums
 
@@ -195,8 +196,8 @@ def trip_rollup(joined: DataFrame) -> DataFrame:
 
 
 def _rolled_mean(column: str, places: int = 2) -> Column:
-    parts = (f"sum({column}_{part})" for part in ("high", "low", "n"))
-    return exact.mean_of_parts(*parts, places)
+    high, low, n, odd = (f"sum({column}_{part})" for part in ("high", "low", "n", "odd"))
+    return exact.mean_of_parts(high, low, n, places, odd)
 
 
 def _with_periods(rollup: DataFrame) -> DataFrame:
