@@ -6,48 +6,63 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from wayfact.functions.exact import percent
 from wayfact.session import materialize
 
 # A lookup is shipped to every executor only below this size.
 BROADCAST_LIMIT_BYTES = 128 * 1024 * 1024
-STRING_BYTES = 96
 OTHER_BYTES = 16
+FIXED_WIDTH = (
+    T.NumericType,
+    T.BooleanType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
 
 
 Keys = str | Sequence[str] | Mapping[str, str]
 
 
-def row_bytes(df: DataFrame) -> int:
-    """An upper estimate of one row of a lookup."""
-    return sum(
-        STRING_BYTES if isinstance(field.dataType, T.StringType) else OTHER_BYTES
-        for field in df.schema.fields
-    )
+def _text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, FIXED_WIDTH)]
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Rows times fixed widths plus the texts' real lengths, by one aggregation."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+def bytes_of(df: DataFrame) -> Column:
+    """Rows times fixed widths plus the real lengths of texts and the like (aggregate)."""
     fixed = F.count(F.lit(1)) * F.lit(OTHER_BYTES * len(df.columns))
-    lengths = [F.coalesce(F.sum(F.octet_length(name)), F.lit(0)) for name in texts]
-    return df.agg(reduce(add, lengths, fixed)).first()[0]
+    texts = [
+        F.col(name) if isinstance(df.schema[name].dataType, T.StringType) else F.to_json(F.struct(name))
+        for name in _text_columns(df)
+    ]
+    return reduce(add, [F.coalesce(F.sum(F.octet_length(text)), F.lit(0)) for text in texts], fixed)
+
+
+def sized(lookup: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int]:
+    """The lookup and a bound of its bytes.
+
+    ``max_rows`` is a bound the caller can prove, such as the hours of a spine. It is
+    enough for columns of fixed width. Otherwise the lookup is stored, measured while it
+    is written, and read from there, so it is computed once.
+    """
+    if max_rows is not None and not _text_columns(lookup):
+        return lookup, max_rows * OTHER_BYTES * len(lookup.columns)
+    seen = Observation()
+    stored = materialize(lookup.observe(seen, bytes_of(lookup).alias("bytes")), "lookup")
+    return stored, seen.get["bytes"]
 
 
 def may_broadcast(
     lookup: DataFrame, max_rows: int | None = None, limit_bytes: int | None = None
 ) -> bool:
-    """Whether a lookup is known to be small.
+    """Whether a lookup is known to be small; see ``sized``."""
+    return sized(lookup, max_rows)[1] <= _limit(limit_bytes)
 
-    ``max_rows`` is a bound the caller can prove, such as the hours of a spine or
-    the row count of the table the lookup was made from. Without one the lookup is
-    measured.
-    """
-    limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
-    size = measured_bytes(lookup) if max_rows is None else max_rows * row_bytes(lookup)
-    return size <= limit
+
+def _limit(limit_bytes: int | None) -> int:
+    return BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
 
 
 def _condition(on: Keys) -> list[str] | Column:
@@ -71,7 +86,8 @@ def attach(
     A lookup of checked small size is broadcast, and the fact is not shuffled.
     A larger one is joined by sort and merge.
     """
-    if may_broadcast(lookup, max_rows, limit_bytes):
+    lookup, size = sized(lookup, max_rows)
+    if size <= _limit(limit_bytes):
         return fact.join(F.broadcast(lookup), _condition(on), how)
     return attach_by_merge(fact, lookup, on, how)
 

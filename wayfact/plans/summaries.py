@@ -239,7 +239,8 @@ def summarize_by_zone(
     have been reduced per location, so a location holding a third of all trips has
     become a few rows before anything is shuffled by it.
     """
-    if joins.may_broadcast(zones, max_rows, limit_bytes):
+    zones, size = joins.sized(zones, max_rows)
+    if size <= (joins.BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes):
         return summarize(joins.attach_zones(trips, zones, max_rows, limit_bytes), name)
     plan = SUMMARIES[name]
     own = [key for key in plan.keys if key not in ZONE_KEYS]
