@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -44,6 +45,11 @@ HEADLINES = (
 
 
 def main() -> None:
+    with tempfile.TemporaryDirectory(prefix="bench-") as shared:
+        run(shared)
+
+
+def run(shared: str) -> None:
     directory = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (
@@ -53,6 +59,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.checkpoint.dir", shared)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

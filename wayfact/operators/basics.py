@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wayfact.functions import conditions, exact, text
 
 # Frequent words left out of the ranking.
-STOPWORDS = tuple(
-    """
-    the and of to a i my in you is that not with this his for but me be he your it as
-    thou so him have her will what all thy are by we no do shall if thee on from or our
-    they their she would lord now more good us come let was an at had than may well yet
-    go love did should make one know out like up am o hath must doth
-    """.split()
+STOPWORDS = (
+    "the", "and", "of", "to", "a", "i", "my", "in", "you", "is", "that", "not", "with", "this",
+    "his", "for", "but", "me", "be", "he", "your", "it", "as", "thou", "so", "him", "have",
+    "her", "will", "what", "all", "thy", "are", "by", "we", "no", "do", "shall", "if", "thee",
+    "on", "from", "or", "our", "they", "their", "she", "would", "lord", "now", "more", "good",
+    "us", "come", "let", "was", "an", "at", "had", "than", "may", "well", "yet", "go", "love",
+    "did", "should", "make", "one", "know", "out", "like", "up", "am", "o", "hath", "must",
+    "doth",
 )
 
 

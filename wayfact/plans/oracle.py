@@ -767,9 +767,9 @@ SELECTS = {
     ),
     "report_monthly": _share(
         "s_monthly",
-        "pickup_month",
+        "pickup_year, pickup_month",
         "monthly_trip_share_pct",
-        f"pickup_month, weather_condition, trip_count, @, {AVERAGES}",
+        f"pickup_year, pickup_month, weather_condition, trip_count, @, {AVERAGES}",
     ),
     "report_seasonal": _share(
         "s_seasonal",

@@ -60,16 +60,16 @@ def period_compare(
 
 
 def monthly_shares(monthly: DataFrame) -> DataFrame:
-    """Shares within each calendar month."""
+    """Shares within each month of each year."""
     shares = monthly.select(
         "pickup_year",
         "pickup_month",
         "weather_condition",
         "trip_count",
-        _share("trip_count", ["pickup_month"]).alias("monthly_trip_share_pct"),
+        _share("trip_count", ["pickup_year", "pickup_month"]).alias("monthly_trip_share_pct"),
         *AVERAGES,
     )
-    return shares.orderBy("pickup_month", _condition_rank(), "pickup_year").drop("pickup_year")
+    return shares.orderBy("pickup_year", "pickup_month", _condition_rank())
 
 
 def seasonal_shares(seasonal: DataFrame) -> DataFrame:
