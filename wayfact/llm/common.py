@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayfact.session import configure, materialize
 
 # Texts differ in length by orders of magnitude, so batches are bounded by bytes too.
 BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
+MAX_BROADCAST = 2_000_000  # numbers of eight bytes: some 64 MB once hashed
 
 # Splitting a byte string without an argument cuts at 0x20 and 0x09 to 0x0D, which
 # is the word rule [^\x20\x09-\x0D]+ used throughout.
@@ -50,7 +53,7 @@ class Memo(dict):
     whatever the vocabulary; ``long`` keys are computed and not stored.
     """
 
-    def __init__(self, function: Callable, limit: int = 400_000, long: int = 64) -> None:
+    def __init__(self, function: Callable, limit: int = 150_000, long: int = 64) -> None:
         super().__init__()
         self.function, self.limit, self.long = function, limit, long
 
@@ -63,15 +66,91 @@ class Memo(dict):
         return value
 
 
+class PieceIds(dict):
+    """Ids of texts, encoded piece by piece between white space.
+
+    Every piece met lately has a number, and its ids stand in one array; so a text's ids
+    are gathered without a step per id. ``encode`` gives the ids of new pieces, many at a
+    time. When the pieces held take ``limit`` bytes, all are dropped: memory is bounded by
+    that and one batch.
+    """
+
+    ENTRY = 160  # bytes of a dictionary's entry, a number and two offsets
+
+    def __init__(self, encode: Callable[[list[bytes]], list[Sequence[int]]], limit: int = 64 << 20) -> None:
+        super().__init__()
+        self.encode, self.limit = encode, limit
+        self._new: list[bytes] = []
+        self._reset()
+
+    def _reset(self) -> None:
+        self.clear()
+        self.held = 0
+        self._ids, self._ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def __missing__(self, piece: bytes) -> int:
+        self[piece] = number = len(self)
+        self._new.append(piece)
+        return number
+
+    def _learn(self) -> None:
+        ids = self.encode(self._new)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self._ids = np.concatenate((self._ids, np.fromiter(chain.from_iterable(ids), np.int32)))
+        self._ends = np.concatenate((self._ends, self._ends[-1] + np.cumsum(lengths)))
+        self.held += sum(map(len, self._new)) + self.ENTRY * len(ids) + 4 * int(lengths.sum())
+        self._new.clear()
+
+    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+        if self.held > self.limit:
+            self._reset()
+        split = [text.split() for text in texts]
+        sizes = np.cumsum([0, *map(len, split)])
+        numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, sizes[-1])
+        if self._new:
+            self._learn()
+        starts = self._ends[numbers]
+        counts = self._ends[numbers + 1] - starts
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        flat = self._ids[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], counts)]
+        cuts = ends[sizes]
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def with_ids(rows: DataFrame, ids: DataFrame, how: str, values: Column | None = None) -> DataFrame:
+    """Join of ``rows`` to ``ids`` on doc_id.
+
+    ``ids`` is stored and its numbers are counted (``values`` of them a row, one if not
+    given). Up to ``MAX_BROADCAST`` it is sent to the executors, so the texts stay where
+    they are; beyond that both sides are shuffled and merged.
+    """
+    ids = materialize(ids.where("doc_id is not null"), "ids")
+    total = ids.agg(F.sum(F.lit(1) if values is None else values)).first()[0] or 0
+    if total <= MAX_BROADCAST:
+        ids = F.broadcast(ids)
+    return rows.join(ids, "doc_id", how)
+
+
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` less the rows whose doc_id is in ``dropped``; rows without an id stay."""
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return with_ids(docs, dropped.select("doc_id").distinct(), "left_anti").select(*docs.columns)
+
+
+def keep_rows(docs: DataFrame, verdicts: Callable[[list[bytes]], list[bool]]) -> DataFrame:
+    """The rows of ``docs`` whose text is kept, with all their columns and no shuffle."""
+    prepare(docs.sparkSession)
+
+    def scan(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(verdicts(byte_texts(batch)), pa.bool_()))
+
+    return docs.mapInArrow(scan, docs.schema)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -47,8 +47,8 @@ counts AS (
 totals AS (SELECT sum(raw) AS raw_all, sum(good) AS good_all FROM counts),
 ratios AS (
     SELECT bucket, CASE WHEN good_all = 0 THEN 0 ELSE
-        ln((good + 1.0) / (good_all + 65536)) - ln((raw + 1.0) / (raw_all + 65536)) END AS ratio
-    FROM counts, totals
+        ln((good + 2000 * share) / (good_all + 2000)) - ln(share) END AS ratio
+    FROM (SELECT *, (raw + 1.0::DOUBLE) / (raw_all + 65536) AS share FROM counts, totals)
 ),
 scores AS (
     SELECT doc_id, sum(n * ratio) / sum(n) AS score FROM per_doc JOIN ratios USING (bucket) GROUP BY doc_id

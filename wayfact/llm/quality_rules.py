@@ -11,11 +11,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wayfact.llm.common import byte_texts, ids_and_texts, map_batches, prepare
+from wayfact.llm.common import byte_texts, ids_and_texts, keep_rows, map_batches, prepare, with_ids
 
 GRAM = 4
 BUCKETS = 1 << 16  # the model: two counts a bucket, whatever the size of the corpus
 FACTORS = (44235, 13849, 40503, 1)  # weights of the code points of one n-gram
+PRIOR_GRAMS = 2000.0
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_SCORE = -0.25
@@ -36,7 +37,7 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     if len(number) == len(words):
         return 0
     names = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-    span = 1
+    counts, span = np.bincount(names), 1
     while span < window:
         step = min(span, window - span)
         pairs = names[:-step] * (int(names.max()) + 1) + names[step:]
@@ -101,24 +102,41 @@ def gram_counts(texts: DataFrame) -> np.ndarray:
 
 
 def log_ratios(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Log ratio per bucket of the two multinomials, one added to every count.
+    """Log ratio per bucket of the two multinomials.
 
-    All zero when there is no trusted n-gram: no text is then rejected by its score.
+    The trusted one has the raw one as its prior, worth ``PRIOR_GRAMS`` n-grams, so that
+    few trusted texts say little. All zero when there is no trusted n-gram: no text is
+    then rejected by its score.
     """
     if not trusted.sum():
         return np.zeros(len(raw))
-    p = np.log((trusted + 1.0) / (trusted.sum() + len(trusted)))
-    return p - np.log((raw + 1.0) / (raw.sum() + len(raw)))
+    share = (raw + 1.0) / (raw.sum() + len(raw))
+    return np.log((trusted + PRIOR_GRAMS * share) / (trusted.sum() + PRIOR_GRAMS)) - np.log(share)
 
 
 def fit(docs: DataFrame, trusted_ids: DataFrame) -> np.ndarray:
     """The log ratios, from every text and from those whose doc_id is in ``trusted_ids``."""
     texts = ids_and_texts(docs)
     ids = trusted_ids.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
-    trusted = texts.join(ids, "doc_id", "left_semi")
+    trusted = with_ids(texts, ids, "left_semi")
     return log_ratios(gram_counts(trusted), gram_counts(texts))
 
 
+def judge_texts(texts: list[bytes], ratios: np.ndarray, min_score: float) -> dict[str, np.ndarray]:
+    """The measures, score, base_failed and kept of each text."""
+    columns = np.array([text_stats(text) for text in texts], np.int64).reshape(-1, len(STATS))
+    named = {name: np.ascontiguousarray(column) for name, column in zip(STATS, columns.T)}
+    score = np.zeros(len(texts))
+    for i, text in enumerate(texts):
+        buckets = gram_buckets(text)
+        if len(buckets):
+            score[i] = ratios[buckets].sum() / len(buckets)
+    failed = (named["n_words"] < MIN_WORDS) | (
+        100 * named["n_repeat_words"] > MAX_REPEAT_PERCENT * named["n_words"]
+    )
+    return {**named, "score": score, "base_failed": failed, "kept": ~failed & (score >= min_score)}
+
+
 def score_documents(docs: DataFrame, ratios: np.ndarray, min_score: float = MIN_SCORE) -> DataFrame:
     """One row per row of ``docs``: doc_id, the measures, score, base_failed, kept.
 
@@ -129,28 +147,10 @@ def score_documents(docs: DataFrame, ratios: np.ndarray, min_score: float = MIN_
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def judge(batches):
-        table = shared.value
         for batch in batches:
-            rows = byte_texts(batch)
-            columns = np.array([text_stats(text) for text in rows], np.int64).reshape(-1, len(STATS))
-            score = np.zeros(len(rows))
-            for i, text in enumerate(rows):
-                buckets = gram_buckets(text)
-                if len(buckets):
-                    score[i] = table[buckets].sum() / len(buckets)
-            named = dict(zip(STATS, columns.T))
-            failed = (named["n_words"] < MIN_WORDS) | (
-                100 * named["n_repeat_words"] > MAX_REPEAT_PERCENT * named["n_words"]
-            )
-            yield pa.record_batch(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    **{name: pa.array(np.ascontiguousarray(column)) for name, column in named.items()},
-                    "score": pa.array(score),
-                    "base_failed": pa.array(failed),
-                    "kept": pa.array(~failed & (score >= min_score)),
-                }
-            )
+            judged = judge_texts(byte_texts(batch), shared.value, min_score)
+            columns = {name: pa.array(values) for name, values in judged.items()}
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), **columns})
 
     schema = "doc_id bigint, " + ", ".join(f"{name} bigint" for name in STATS)
     return map_batches(texts, judge, f"{schema}, score double, base_failed boolean, kept boolean")
@@ -165,3 +165,9 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Every document judged against the trusted ones; see ``score_documents``."""
     return score_documents(docs, fit(docs, trusted_ids(labels)))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, trusted_ids(labels)))
+    return keep_rows(docs, lambda texts: judge_texts(texts, shared.value, min_score)["kept"].tolist())
