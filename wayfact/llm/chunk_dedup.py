@@ -11,11 +11,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wayfact.llm.common import byte_texts, ids_and_texts, map_batches, prepare
+from wayfact.llm.common import byte_texts, ids_and_texts, map_batches, prepare, with_ids
 
 GEAR_STEPS = 3  # the hash spans 2 ** 3 bytes
 CUT_BELOW = (1 << 16) // 6  # of 65536: about one white space in six ends a chunk
@@ -74,8 +75,16 @@ def chunk_ends(text: bytes) -> np.ndarray:
     return np.array(whole, np.int64)
 
 
+def chunk_words(text: bytes, ends: np.ndarray) -> np.ndarray:
+    """Words that start in each chunk."""
+    space = _SPACE[np.frombuffer(text, np.uint8)]
+    starts = ~space
+    starts[1:] &= space[:-1]
+    return np.diff(np.cumsum(starts)[ends - 1], prepend=0)
+
+
 def _digests(batches):
-    """One row per chunk: its digest, document and place, and whether the task has an earlier one."""
+    """One row per chunk: its digest, document, place and words, and whether the task has an earlier one."""
     rows: list[np.ndarray] = []
     held = 0
 
@@ -86,8 +95,10 @@ def _digests(batches):
         held = 0
         order = np.lexsort((found["place"], found["doc_id"], found["low"], found["high"]))
         found = found[order]
-        again = np.zeros(len(found), bool)
-        again[1:] = (found["high"][1:] == found["high"][:-1]) & (found["low"][1:] == found["low"][:-1])
+        same = np.zeros(len(found), bool)
+        same[1:] = (found["high"][1:] == found["high"][:-1]) & (found["low"][1:] == found["low"][:-1])
+        first = found[np.maximum.accumulate(np.where(same, 0, np.arange(len(found))))]
+        again = (found["doc_id"] != first["doc_id"]) | (found["place"] != first["place"])
         # A repeat needs no company: it is dealt by its own place, not by its digest.
         found["high"][again], found["low"][again] = found["doc_id"][again], found["place"][again]
         for start in range(0, len(found), 1 << 16):
@@ -99,11 +110,12 @@ def _digests(batches):
                 }
             )
 
-    kind = np.dtype([("high", "i8"), ("low", "i8"), ("doc_id", "i8"), ("place", "i4")])
+    kind = np.dtype([("high", "i8"), ("low", "i8"), ("doc_id", "i8"), ("place", "i4"), ("words", "i2")])
     digest = xxhash.xxh3_128_digest
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch)):
-            ends = chunk_ends(text).tolist()
+            cuts = chunk_ends(text)
+            ends = cuts.tolist()
             if not ends:
                 continue
             own = np.zeros(len(ends), kind)
@@ -111,6 +123,7 @@ def _digests(batches):
             halves = np.frombuffer(packed, "<i8").reshape(-1, 2)
             own["high"], own["low"] = halves[:, 0], halves[:, 1]
             own["doc_id"], own["place"] = doc_id, np.arange(len(ends))
+            own["words"] = chunk_words(text, cuts)
             rows.append(own)
             held += len(own)
             if held >= FLUSH_CHUNKS:
@@ -119,35 +132,49 @@ def _digests(batches):
         yield from flush()
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id and the sorted places of its chunks that occur earlier; others are left out.
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, firsts and lasts: runs of chunks that occur earlier, of ``min_words`` or more.
 
-    Within a task all copies of a chunk but the first are marked at once, so a chunk of
-    any number of copies sends one row a task (and million chunks) to its digest.
+    Documents without such a run are left out. Within a task all copies of a chunk but the
+    first are marked at once, so a chunk of any number of copies sends one row a task (and
+    million chunks) to its digest.
     """
     texts = ids_and_texts(docs).where("doc_id is not null")
-    schema = "high bigint, low bigint, doc_id bigint, place int, again boolean"
+    schema = "high bigint, low bigint, doc_id bigint, place int, words smallint, again boolean"
     chunks = map_batches(texts, _digests, schema)
-    earlier = F.row_number().over(Window.partitionBy("again", "high", "low").orderBy("doc_id", "place"))
-    repeats = chunks.withColumn("n", earlier).where("again or n > 1")
-    return repeats.groupBy("doc_id").agg(F.array_sort(F.collect_set("place")).alias("places"))
-
+    here = F.struct("doc_id", "place")
+    chunks = chunks.withColumn("first", F.min(here).over(Window.partitionBy("again", "high", "low")))
+    repeats = chunks.where("again or doc_id <> first.doc_id or place <> first.place")
+    repeats = repeats.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("place", "words"))).alias("chunks"))
 
-def repeated_spans(text: bytes, places: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-    """(start, end, words) in bytes of each run of repeated chunks of ``min_words`` or more."""
+    def runs(batches):
+        for batch in batches:
+            out = [], [], []
+            for doc_id, chunks in zip(batch.column("doc_id").to_pylist(), batch.column("chunks").to_pylist()):
+                places = np.array([chunk["place"] for chunk in chunks])
+                totals = np.cumsum([0, *(chunk["words"] for chunk in chunks)])
+                starts = np.flatnonzero(np.diff(places, prepend=-2) != 1)
+                ends = np.append(starts[1:], len(places))
+                kept = totals[ends] - totals[starts] >= min_words
+                if kept.any():
+                    out[0].append(doc_id)
+                    out[1].append(places[starts[kept]].tolist())
+                    out[2].append(places[ends[kept] - 1].tolist())
+            kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+            columns = [pa.array(values, kind) for values, kind in zip(out, kinds)]
+            yield pa.record_batch(columns, ["doc_id", "firsts", "lasts"])
+
+    return map_batches(repeats, runs, "doc_id bigint, firsts array<int>, lasts array<int>")
+
+
+def run_spans(text: bytes, firsts: list[int], lasts: list[int]) -> list[tuple[int, int, int]]:
+    """(start, end, words) in bytes of each run of chunks."""
     ends = [0, *chunk_ends(text).tolist()]
     spans = []
-    first = last = None
-    for place in [*places, None]:
-        if first is not None and place != last + 1:
-            start, end = ends[first], ends[last + 1]
-            words = len(text[start:end].split())
-            if words >= min_words:
-                spans.append((start, end, words))
-            first = None
-        if place is not None:
-            first = place if first is None else first
-            last = place
+    for first, last in zip(firsts, lasts):
+        start, end = ends[min(first, len(ends) - 1)], ends[min(last + 1, len(ends) - 1)]
+        if start < end:
+            spans.append((start, end, len(text[start:end].split())))
     return spans
 
 
@@ -167,14 +194,16 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     doc_id the first with any of its text is used. Rows without a doc_id are not compared.
     """
     texts = ids_and_texts(docs)
-    found = repeated_chunks(docs)
+    found = repeated_runs(docs, min_words)
 
     def cut(batches):
         for batch in batches:
             out = {"doc_id": [], "starts": [], "ends": [], "n_words_removed": [], "text": []}
-            rows = zip(batch.column("doc_id").to_pylist(), byte_texts(batch), batch.column("places").to_pylist())
-            for doc_id, text, places in rows:
-                spans = repeated_spans(text, places, min_words)
+            names = ("doc_id", "firsts", "lasts")
+            for text, doc_id, firsts, lasts in zip(
+                byte_texts(batch), *(batch.column(name).to_pylist() for name in names)
+            ):
+                spans = run_spans(text, firsts, lasts)
                 if spans:
                     values = (
                         doc_id,
@@ -188,7 +217,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.string())
             yield pa.record_batch({k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
 
-    joined = texts.join(found, "doc_id").select("doc_id", "text", "places")
+    joined = with_ids(texts, found, "inner", F.size("firsts") + 1).select("doc_id", "text", "firsts", "lasts")
     schema = "doc_id bigint, starts array<bigint>, ends array<bigint>, n_words_removed bigint, text string"
     return map_batches(joined, cut, schema)
 
@@ -199,29 +228,20 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     An n_chars column follows the new text. Rows that lose nothing are passed on as they are.
     """
     prepare(docs.sparkSession)
-    found = repeated_chunks(docs).select(F.col("doc_id").alias("__id"), "places")
+    found = repeated_runs(docs, min_words).select("doc_id", F.struct("firsts", "lasts").alias("__runs"))
 
     @F.pandas_udf("string")
-    def cut(texts, places):
-        out = texts.copy()
-        for i, (text, own) in enumerate(zip(texts, places)):
-            if text is not None and own is not None:
-                data = text.encode()
-                spans = repeated_spans(data, list(own), min_words)
-                if spans:
-                    out.iloc[i] = cut_spans(data, spans).decode("utf-8", "replace")
-        return out
-
-    joined = docs.join(found, docs["doc_id"] == found["__id"], "left")
-    new = F.when(F.col("places").isNull(), F.col("text")).otherwise(cut("text", "places"))
-    columns = []
-    for name in docs.columns:
-        if name == "text":
-            columns.append(F.col("__text").alias("text"))
-        elif name == "n_chars":
-            changed = F.col("places").isNotNull()
-            length = F.length("__text").cast(docs.schema["n_chars"].dataType)
-            columns.append(F.when(changed, length).otherwise(F.col("n_chars")).alias("n_chars"))
-        else:
-            columns.append(F.col(name))
-    return joined.withColumn("__text", new).select(*columns)
+    def cut(texts: pd.Series, runs: pd.DataFrame) -> pd.Series:
+        rows = []
+        for text, firsts, lasts in zip(texts, runs["firsts"], runs["lasts"]):
+            data = (text or "").encode()
+            rows.append(cut_spans(data, run_spans(data, firsts, lasts)).decode("utf-8", "replace"))
+        return pd.Series(rows, dtype=object)
+
+    joined = with_ids(docs, found, "left", F.size("__runs.firsts") + 1).select(*docs.columns, "__runs")
+    untouched = joined.where("__runs is null").select(*docs.columns)
+    touched = joined.where("__runs is not null").withColumn("text", cut("text", "__runs"))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        touched = touched.withColumn("n_chars", F.length("text").cast(kind))
+    return untouched.union(touched.select(*docs.columns))
