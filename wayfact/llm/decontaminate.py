@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wayfact.llm.common import Memo, byte_texts, ids_and_texts, map_batches, without
+from wayfact.llm.common import Memo, byte_texts, ids_and_texts, keep_rows, map_batches
 from wayfact.session import materialize
 
 K1, B = 1.2, 0.75
@@ -216,6 +216,18 @@ def _block_of(ids: list[int], at: int, item: int) -> int:
     return block
 
 
+_numbers: tuple[Index | None, Memo | None] = (None, None)
+
+
+def word_numbers(index: Index) -> Memo:
+    """Numbers of words as they stand in texts; kept by a worker for the index used last."""
+    global _numbers
+    if _numbers[0] is not index:
+        outside = len(index.postings)
+        _numbers = index, Memo(lambda word: index.number.get(term(word), outside))
+    return _numbers[1]
+
+
 def matches_in(text: bytes, index: Index, numbers: Memo, min_overlap: float = MIN_OVERLAP):
     """(item, score, question overlap, answer overlap) for each item found in the text."""
     words = text.split()
@@ -322,8 +334,7 @@ def benchmark_matches(
 
         def scan(batches, shared=shared):
             index = shared.value
-            outside = len(index.postings)
-            numbers = Memo(lambda word: index.number.get(term(word), outside))
+            numbers = word_numbers(index)
             for batch in batches:
                 rows = [
                     (doc_id, index.items[item].item_id, *rest)
@@ -340,6 +351,17 @@ def benchmark_matches(
     return spark.createDataFrame([], schema) if result is None else result
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a test item. Rows without a doc_id stay."""
-    return without(docs, benchmark_matches(docs, benchmark))
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, min_overlap: float = MIN_OVERLAP
+) -> DataFrame:
+    """The rows of ``docs`` without a test item in their text, with all their columns."""
+    for index in indexes(benchmark, threshold):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def clean(texts, shared=shared):
+            index = shared.value
+            numbers = word_numbers(index)
+            return [next(matches_in(text, index, numbers, min_overlap), None) is None for text in texts]
+
+        docs = keep_rows(docs, clean)
+    return docs

@@ -63,6 +63,7 @@ SPELLINGS = (
     ("licence", "license"),
     ("licenced", "licensed"),
     ("sub license", "sublicense"),
+    ("sublicence", "sublicense"),
     ("non commercial", "noncommercial"),
     ("non infringement", "noninfringement"),
     ("merchantibility", "merchantability"),
