@@ -13,21 +13,21 @@ import codecs
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from wayfact.llm.common import Memo, byte_texts, ids_and_texts, map_batches
+from wayfact.llm.common import Memo, PieceIds, byte_texts, ids_and_texts, map_batches
 
 FLUSH = 4096  # symbols by which a long pre-token's buffer exceeds the lookahead
 SHORT = 48
 NEVER = 1 << 60
-MEMO_PIECES = 400_000
+WIDE = 20  # bits of an id where two numbers are packed into one
+MASK = (1 << WIDE) - 1
 MEMO_WORDS = 200_000
 
 
@@ -53,7 +53,6 @@ class Bpe:
     special: dict[str, int]
 
     def __post_init__(self) -> None:
-        self.symbols = byte_symbols()
         self.lookahead = self._lookahead()
         self.token_bytes = {
             number: token.encode() for token, number in (self.vocab | self.special).items()
@@ -63,23 +62,30 @@ class Bpe:
         if any(self._space.search(mark) for mark in self.special):
             raise ValueError("special tokens with white space are not supported")
         self._marks = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
-        self._open()
-
-    def _open(self) -> None:
+        if max(self.token_bytes) > MASK:
+            raise ValueError(f"ids above {MASK} are not supported")
+        symbols = byte_symbols()
+        self._inner = [self.vocab[s] for s in symbols]
+        self._final = [self.vocab[s + self.suffix] for s in symbols]
+        self._length = {number: len(self._parts(token)) for token, number in self.vocab.items()}
+        self._pairs = {
+            self.vocab[a] << WIDE | self.vocab[b]: rank << WIDE | self.vocab[a + b]
+            for (a, b), rank in self.ranks.items()
+        }
+        self._heads = {mark[:1] for mark in self.special}
         self._known = Memo(self.word_ids, MEMO_WORDS)
-        self.pieces = Memo(lambda piece: self.piece_ids(piece.decode("utf-8", "replace")), MEMO_PIECES)
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_known", "pieces")}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self._open()
+        self.encode_all = PieceIds(
+            lambda pieces: [self.piece_ids(piece.decode("utf-8", "replace")) for piece in pieces]
+        )
 
     @classmethod
     def read(cls, path: str) -> Bpe:
         with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+            return cls.parse(file.read())
+
+    @classmethod
+    def parse(cls, text: str) -> Bpe:
+        spec = json.loads(text)
         model = spec["model"]
         kinds = [step["type"] for step in spec["normalizer"]["normalizers"]]
         if kinds != ["NFC", "Replace", "Lowercase"] or model["type"] != "BPE":
@@ -126,97 +132,129 @@ class Bpe:
             longest, greatest = max(longest, len(whole)), max(greatest, far)
         return longest + greatest
 
-    def merge(self, parts: list[str]) -> list[str]:
+    def merge(self, ids: list[int]) -> list[int]:
         """Merges applied in rank order, leftmost first, until none is left."""
-        if len(parts) > SHORT:
-            return self._merge_long(parts)
-        rank = self.ranks.get
-        found = [rank(pair, NEVER) for pair in zip(parts, parts[1:])]
+        if len(ids) > SHORT:
+            return self._merge_long(ids)
+        pair = self._pairs.get
+        found = [pair(a << WIDE | b, NEVER) for a, b in zip(ids, ids[1:])]
         while found:
             best = min(found)
             if best == NEVER:
                 break
             i = found.index(best)
-            parts[i] += parts.pop(i + 1)
-            del found[i]
+            ids[i] = new = best & MASK
+            del ids[i + 1], found[i]
             if i < len(found):
-                found[i] = rank((parts[i], parts[i + 1]), NEVER)
+                found[i] = pair(new << WIDE | ids[i + 1], NEVER)
             if i:
-                found[i - 1] = rank((parts[i - 1], parts[i]), NEVER)
-        return parts
+                found[i - 1] = pair(ids[i - 1] << WIDE | new, NEVER)
+        return ids
 
-    def _merge_long(self, parts: list[str]) -> list[str]:
+    def _merge_long(self, ids: list[int]) -> list[int]:
         """The same by a heap of pairs over linked places."""
-        rank, n = self.ranks.get, len(parts)
+        pair, n = self._pairs.get, len(ids)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(rank(pair, NEVER), i) for i, pair in enumerate(zip(parts, parts[1:]))]
+        heap = [(pair(a << WIDE | b, NEVER), i) for i, (a, b) in enumerate(zip(ids, ids[1:]))]
         heap = [entry for entry in heap if entry[0] != NEVER]
         heapq.heapify(heap)
         while heap:
             best, i = heapq.heappop(heap)
             j = after[i]
-            if not parts[i] or j < 0 or rank((parts[i], parts[j]), NEVER) != best:
+            if ids[i] < 0 or j < 0 or pair(ids[i] << WIDE | ids[j], NEVER) != best:
                 continue
-            parts[i] += parts[j]
-            parts[j] = ""
+            ids[i], ids[j] = best & MASK, -1
             after[i] = after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for k in (before[i], i):
                 if k >= 0 and after[k] >= 0:
-                    new = rank((parts[k], parts[after[k]]), NEVER)
+                    new = pair(ids[k] << WIDE | ids[after[k]], NEVER)
                     if new != NEVER:
                         heapq.heappush(heap, (new, k))
-        return [part for part in parts if part]
+        return [number for number in ids if number >= 0]
 
-    def stream(self, symbols: Iterable[str]) -> Iterator[str]:
-        """Tokens of one pre-token's symbols, each as soon as it is final.
+    def stream(self, data: Iterable[int]) -> Iterator[int]:
+        """Ids of one pre-token's bytes, each as soon as it is final.
 
         Holds lookahead plus ``FLUSH`` symbols, whatever the length of the pre-token.
         """
-        held: list[str] = []
+        held: list[int] = []
         limit = self.lookahead + FLUSH
-        source = iter(symbols)
+        source = iter(data)
         ahead = next(source, None)
         while ahead is not None:
-            held.append(ahead)
-            ahead = next(source, None)
+            byte, ahead = ahead, next(source, None)
+            held.append(byte)
             if len(held) < limit or ahead is None:
                 continue
             sure = 0
-            for token in self.merge(list(held)):
-                if sure + len(token) > len(held) - self.lookahead:
+            for number in self.merge([self._inner[b] for b in held]):
+                if sure + self._length[number] > len(held) - self.lookahead:
                     break
-                sure += len(token)
-                yield token
+                sure += self._length[number]
+                yield number
             held = held[sure:]
         if held:
-            held[-1] += self.suffix
-            yield from self.merge(held)
+            yield from self._last(held)
 
-    def word_ids(self, word: str) -> list[int]:
-        symbols = self.symbols
-        return [self.vocab[t] for t in self.stream(symbols[b] for b in word.encode())]
+    def _last(self, data: Sequence[int]) -> list[int]:
+        """Ids of what ends a pre-token: its end is known, so all of them are final."""
+        ids = [*map(self._inner.__getitem__, data)]
+        ids[-1] = self._final[data[-1]]
+        return self.merge(ids)
 
-    def piece_ids(self, piece: str) -> list[int]:
+    def word_ids(self, word: str) -> tuple[int, ...]:
+        data = word.encode()
+        return tuple(self._last(data) if len(data) <= self.lookahead + FLUSH else self.stream(data))
+
+    def piece_ids(self, piece: str) -> Sequence[int]:
         """Ids of a text without white space, not yet normalised."""
+        if not self.has_special(piece):
+            return self._plain_ids(piece)
         out: list[int] = []
         start = 0
         for mark in self._marks.finditer(piece):
-            out += self._plain_ids(piece[start : mark.start()])
+            out.extend(self._plain_ids(piece[start : mark.start()]))
             out.append(self.special[mark.group()])
             start = mark.end()
-        return out + self._plain_ids(piece[start:])
-
-    def _plain_ids(self, piece: str) -> list[int]:
-        text = self._space.sub(" ", unicodedata.normalize("NFC", piece))
-        text = "".join(map(str.lower, text))  # character by character: no rule for word ends
-        known = self._known
-        return [number for word in self._words.findall(text) for number in known[word]]
+        return [*out, *self._plain_ids(piece[start:])]
+
+    def has_special(self, piece: str) -> bool:
+        for head in self._heads:
+            if head in piece:
+                return self._marks.search(piece) is not None
+        return False
+
+    def _plain_ids(self, piece: str) -> Sequence[int]:
+        known, words = self._known, self.words(piece)
+        if len(words) == 1:
+            return known[words[0]]
+        return [number for word in words for number in known[word]]
+
+    def words(self, piece: str) -> list[str]:
+        """Pre-tokens of a text without special tokens, normalised."""
+        if piece.isascii():
+            text = piece.lower()
+        else:
+            text = self._space.sub(" ", unicodedata.normalize("NFC", piece))
+            text = "".join(map(str.lower, text))  # character by character: no rule for word ends
+        return self._words.findall(text)
 
     def encode(self, text: bytes) -> np.ndarray:
-        """Ids of a whole text. White space separates pieces, so they are encoded one by one."""
-        return np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, text.split())), np.int32)
+        """Ids of a whole text. White space separates pieces, so each is encoded by itself."""
+        return self.encode_all([text])[0]
+
+
+_opened: tuple[str, Bpe | None] = ("", None)
+
+
+def opened(spec: str) -> Bpe:
+    """The vocabulary of a tokenizer's file; a worker keeps the one used last, with its memory of words."""
+    global _opened
+    if _opened[0] != spec:
+        _opened = spec, Bpe.parse(spec)
+    return _opened[1]
 
 
 class TextDecoder:
@@ -233,7 +271,10 @@ class TextDecoder:
 
     def push(self, numbers: Iterable[int]) -> str:
         """The text that the next tokens complete."""
-        known = [token for token in map(self._tokens.get, numbers) if token is not None]
+        try:
+            known = [*map(self._tokens.__getitem__, numbers)]
+        except KeyError:
+            known = [token for token in map(self._tokens.get, numbers) if token is not None]
         if not known:
             return ""
         lead = b"" if self._first else b" "
@@ -256,12 +297,13 @@ def transcode(docs: DataFrame, path: str) -> DataFrame:
     ``path`` names the tokenizer's file. A null text is empty: no ids, empty text.
     Repeated rows and null ids are passed on; an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Bpe.read(path))
+    with open(path, encoding="utf-8") as file:
+        shared = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def scan(batches):
-        bpe = shared.value
+        bpe = opened(shared.value)
         for batch in batches:
-            rows = [bpe.encode(text) for text in byte_texts(batch)]
+            rows = bpe.encode_all(byte_texts(batch))
             offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
             values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
             yield pa.record_batch(

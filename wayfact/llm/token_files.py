@@ -25,8 +25,10 @@ import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
+from tokenizers import Tokenizer
 
-from wayfact.llm.common import byte_texts, ids_and_texts, map_batches
+from wayfact.llm.bpe import Bpe
+from wayfact.llm.common import Memo, PieceIds, byte_texts, ids_and_texts, map_batches
 from wayfact.session import materialize, scratch_path
 
 MAGIC = b"WFPLANE1"
@@ -35,7 +37,7 @@ LEVEL = 3
 END_ID = 1
 NULL_ID = -(1 << 63)  # stands for a null doc_id in the document index
 FOOTER = struct.Struct("<QQQIIBxxx8s")
-MEMO_PIECES = 400_000
+MEMO_WORDS = 150_000
 
 
 def to_planes(ids: np.ndarray, bits: bool = False) -> list[bytes]:
@@ -158,51 +160,70 @@ class PlaneReader:
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library, piece by piece between white space.
+    """Ids by the tokenizers library, each piece between white space encoded once in a while.
 
     The tokenizer drops white space and splits at it, so the pieces of a text give its
-    ids; ids of pieces met lately are kept, which saves most of the library's work.
+    ids. Pieces new to a batch go to the library in a few long texts; the number of the
+    word that each id belongs to tells them apart. A piece of several words, or one that
+    holds a special token's text, goes by itself.
     """
 
-    def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as file:
-            self._spec = file.read()
-        self._tokenizer = None
+    JOINED = 64
 
-    def __getstate__(self) -> dict:
-        return {"_spec": self._spec, "_tokenizer": None}
-
-    def _open(self) -> None:
+    def __init__(self, spec: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_str(self._spec)
+        self._tokenizer = Tokenizer.from_str(spec)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self._kept: dict[bytes, list[int]] = {}
-
-    def __call__(self, texts: list[bytes], end_id: int | None = END_ID) -> list[np.ndarray]:
-        if self._tokenizer is None:
-            self._open()
-        split = [text.split() for text in texts]
-        missing = list(set(chain.from_iterable(split)) - self._kept.keys())
-        if len(self._kept) + len(missing) > MEMO_PIECES:
-            self._kept.clear()
-            missing = list(set(chain.from_iterable(split)))
-        coded = self._tokenizer.encode_batch_fast(
-            [piece.decode("utf-8", "replace") for piece in missing], add_special_tokens=False
-        )
-        self._kept.update((piece, one.ids) for piece, one in zip(missing, coded))
-        tail = () if end_id is None else (end_id,)
+        self._split = Bpe.parse(spec)
+        self._words = Memo(self._one, MEMO_WORDS)
+        self.encode_all = PieceIds(self._encode)
+
+    def _one(self, word: str) -> list[int]:
+        return self._tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
+        known, split = self._words, self._split
+        texts = [piece.decode("utf-8", "replace") for piece in pieces]
+        words = [None if split.has_special(text) else split.words(text) for text in texts]
+        if len(known) > known.limit:
+            known.clear()
+        missing = list(dict.fromkeys(w for own in words if own for w in own if w not in known))
+        starts = range(0, len(missing), self.JOINED)
+        joined = [" ".join(missing[i : i + self.JOINED]) for i in starts]
+        long = [word for word in missing if len(word) > known.long]
+        for i, coded in zip(starts, self._tokenizer.encode_batch(joined, add_special_tokens=False)):
+            own: list[list[int]] = [[] for _ in missing[i : i + self.JOINED]]
+            for number, word in zip(coded.ids, coded.word_ids):
+                own[word].append(number)
+            known.update(zip(missing[i : i + self.JOINED], own))
         out = [
-            np.fromiter(chain(chain.from_iterable(map(self._kept.__getitem__, pieces)), tail), "<u4")
-            for pieces in split
+            self._one(text)
+            if own is None
+            else known[own[0]]
+            if len(own) == 1
+            else [x for word in own for x in known[word]]
+            for text, own in zip(texts, words)
         ]
-        for piece in missing:
-            if len(piece) > 64:
-                del self._kept[piece]
+        for word in long:
+            known.pop(word, None)
         return out
 
+    def __call__(self, texts: list[bytes], end_id: int | None = END_ID) -> list[np.ndarray]:
+        tail = np.array([] if end_id is None else [end_id], np.int32)
+        return [np.concatenate((ids, tail)).astype("<u4") for ids in self.encode_all(texts)]
+
+
+_encoder: tuple[str, LibraryEncoder | None] = ("", None)
+
+
+def encoder(spec: str) -> LibraryEncoder:
+    """The encoder of a tokenizer's file; a worker keeps the one used last."""
+    global _encoder
+    if _encoder[0] != spec:
+        _encoder = spec, LibraryEncoder(spec)
+    return _encoder[1]
+
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, bits: bool = False) -> DataFrame:
     """Writes all documents' ids in ascending doc_id order; one row per file.
@@ -217,7 +238,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, bits: bool = False)
     root = scratch_path(spark, "token-files")
     filesystem, base = pafs.FileSystem.from_uri(root)
     filesystem.create_dir(base)
-    shared = spark.sparkContext.broadcast(LibraryEncoder(tokenizer_path))
+    with open(tokenizer_path, encoding="utf-8") as file:
+        shared = spark.sparkContext.broadcast(file.read())
 
     def write(batches):
         first = next(batches, None)
@@ -226,11 +248,11 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, bits: bool = False)
         task = TaskContext.get()
         filesystem, base = pafs.FileSystem.from_uri(root)
         path = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
-        n_docs = 0
+        n_docs, encode = 0, encoder(shared.value)
         with filesystem.open_output_stream(f"{base}/{path}") as stream:
             writer = PlaneWriter(stream, bits=bits)
             for batch in chain([first], batches):
-                coded = shared.value(byte_texts(batch))
+                coded = encode(byte_texts(batch))
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coded):
                     writer.add(doc_id, ids)
                 n_docs += len(coded)
