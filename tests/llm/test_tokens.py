@@ -8,6 +8,7 @@ from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import awkward, empty, words
 from hypothesis import given, settings, strategies as st
@@ -33,7 +34,7 @@ def library_ids(text: str) -> list[int]:
 
 
 def check(text: str) -> None:
-    ids = own().encode(text.encode())
+    ids = own().encode(text)
     assert ids.tolist() == library_ids(text)
     assert bpe.decode(own(), ids) == library().decode(ids.tolist(), skip_special_tokens=False)
 
@@ -84,8 +85,22 @@ def test_short_and_long_merges_agree():
         assert short == model._merge_long(list(parts))
 
 
+def test_every_plain_character():
+    for start in range(0, 0x300, 16):
+        run = [chr(c) for c in range(start, start + 16)]
+        check("".join(run))
+        check("a".join(run) + " " + " ".join(run))
+        check("'s".join(run))
+
+
+def test_batches_of_mixed_texts():
+    texts = ["", "plain words", " spaced  out\n", "odd　space", "x<|endoftext|>y", "É'LL", "日本"] * 3
+    rows = own().encode_all(pa.array(texts, pa.string()).slice(2))
+    assert [r.tolist() for r in rows] == [library_ids(t) for t in texts[2:]]
+
+
 def test_decoder_is_incremental():
-    ids = own().encode(("naïve café 日本 " * 50).encode()).tolist()
+    ids = own().encode("naïve café 日本 " * 50).tolist()
     decoder = bpe.TextDecoder(own())
     text = "".join(decoder.push([i]) for i in ids) + decoder.end()
     assert text == library().decode(ids, skip_special_tokens=False)

@@ -13,22 +13,23 @@ import codecs
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from wayfact.llm.common import Memo, PieceIds, byte_texts, ids_and_texts, map_batches
+from wayfact.llm.common import IdTable, Memo, ids_and_texts, joined_ids, map_batches, split_words
 
 FLUSH = 4096  # symbols by which a long pre-token's buffer exceeds the lookahead
 SHORT = 48
 NEVER = 1 << 60
 WIDE = 20  # bits of an id where two numbers are packed into one
 MASK = (1 << WIDE) - 1
-MEMO_WORDS = 200_000
+MEMO_WORDS = 50_000
 
 
 def byte_symbols() -> list[str]:
@@ -42,6 +43,44 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+#: Pieces with other characters, or a special token's first one, are normalised in Python:
+#: from U+0300 on normal forms matter; the rest are white space beyond ASCII and one capital
+#: that becomes two characters.
+AWKWARD = r"[^\x{0}-\x{2FF}]|[\x1C-\x1F\x{85}\x{A0}\x{130}<]"
+
+
+class TextIds:
+    """Ids of whole texts, by pieces between white space and the words within them.
+
+    New pieces are lower-cased and split into pre-tokens by Arrow, many at a time, and their
+    words looked up; awkward ones go to ``pieces``. ``words`` and ``pieces`` encode lists.
+    """
+
+    def __init__(self, pattern: str, words: Callable, pieces: Callable) -> None:
+        # The same pattern with white space spelt out, as the expression engine here knows less.
+        spelt = pattern.replace(r"\s", r"\x09-\x0D\x20")
+        self._pattern, self._other = f"({spelt})", pieces
+        self._words = IdTable(lambda new: joined_ids(words(new)))
+        self._pieces = IdTable(self._encode)
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        texts = pa.array(pieces, pa.string())
+        awkward = pc.match_substring_regex(texts, AWKWARD)
+        plain = pc.utf8_lower(texts.filter(pc.invert(awkward)))
+        mixed = pc.invert(pc.utf8_is_alpha(plain))  # letters alone are one pre-token
+        cut = pc.replace_substring_regex(plain.filter(mixed), self._pattern, r" \1 ")
+        ids, cuts = self._words.rows(split_words(pc.replace_with_mask(plain, mixed, cut)))
+        if not awkward.true_count:
+            return ids, np.diff(cuts)
+        rows = iter([ids[a:b] for a, b in zip(cuts, cuts[1:])])
+        others = iter(self._other(texts.filter(awkward).to_pylist()))
+        return joined_ids([next(others if odd else rows) for odd in awkward.to_pylist()])
+
+    def __call__(self, texts: pa.StringArray) -> list[np.ndarray]:
+        ids, cuts = self._pieces.rows(split_words(texts))
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 @dataclass
 class Bpe:
     """A vocabulary with merges, read from a tokenizers file with word ends and no options."""
@@ -74,8 +113,10 @@ class Bpe:
         }
         self._heads = {mark[:1] for mark in self.special}
         self._known = Memo(self.word_ids, MEMO_WORDS)
-        self.encode_all = PieceIds(
-            lambda pieces: [self.piece_ids(piece.decode("utf-8", "replace")) for piece in pieces]
+        self.encode_all = TextIds(
+            self.pattern,
+            lambda words: [self.word_ids(word) for word in words],
+            lambda pieces: [self.piece_ids(piece) for piece in pieces],
         )
 
     @classmethod
@@ -241,9 +282,8 @@ class Bpe:
             text = "".join(map(str.lower, text))  # character by character: no rule for word ends
         return self._words.findall(text)
 
-    def encode(self, text: bytes) -> np.ndarray:
-        """Ids of a whole text. White space separates pieces, so each is encoded by itself."""
-        return self.encode_all([text])[0]
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 _opened: tuple[str, Bpe | None] = ("", None)
@@ -303,7 +343,7 @@ def transcode(docs: DataFrame, path: str) -> DataFrame:
     def scan(batches):
         bpe = opened(shared.value)
         for batch in batches:
-            rows = bpe.encode_all(byte_texts(batch))
+            rows = bpe.encode_all(batch.column("text"))
             offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
             values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
             yield pa.record_batch(

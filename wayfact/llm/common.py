@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayfact.session import configure, materialize
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 # Texts differ in length by orders of magnitude, so batches are bounded by bytes too.
 BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
@@ -21,8 +25,16 @@ MAX_BROADCAST = 2_000_000  # numbers of eight bytes: some 64 MB once hashed
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Runtime settings of the text operators on an existing session."""
+    """Runtime settings of the text operators on an existing session.
+
+    Python workers look for this package where the driver found it; on a cluster that
+    installs or ships it, the extra path does no harm.
+    """
     configure(spark)
+    environment = spark.sparkContext.environment
+    known = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if PACKAGE_ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *known])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
@@ -66,21 +78,20 @@ class Memo(dict):
         return value
 
 
-class PieceIds(dict):
-    """Ids of texts, encoded piece by piece between white space.
+class IdTable(dict):
+    """Ids of words met lately: a number for each word, all ids in one array.
 
-    Every piece met lately has a number, and its ids stand in one array; so a text's ids
-    are gathered without a step per id. ``encode`` gives the ids of new pieces, many at a
-    time. When the pieces held take ``limit`` bytes, all are dropped: memory is bounded by
-    that and one batch.
+    ``encode`` gives the ids of new words, many at a time, as one array and the lengths.
+    When what is held takes ``limit`` bytes, all is dropped: memory is bounded by that and
+    one batch.
     """
 
     ENTRY = 160  # bytes of a dictionary's entry, a number and two offsets
 
-    def __init__(self, encode: Callable[[list[bytes]], list[Sequence[int]]], limit: int = 64 << 20) -> None:
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 64 << 20) -> None:
         super().__init__()
         self.encode, self.limit = encode, limit
-        self._new: list[bytes] = []
+        self._new: list[str] = []
         self._reset()
 
     def _reset(self) -> None:
@@ -88,33 +99,52 @@ class PieceIds(dict):
         self.held = 0
         self._ids, self._ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def __missing__(self, piece: bytes) -> int:
-        self[piece] = number = len(self)
-        self._new.append(piece)
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self._new.append(word)
         return number
 
     def _learn(self) -> None:
-        ids = self.encode(self._new)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self._ids = np.concatenate((self._ids, np.fromiter(chain.from_iterable(ids), np.int32)))
+        ids, lengths = self.encode(self._new)
+        self._ids = np.concatenate((self._ids, ids))
         self._ends = np.concatenate((self._ends, self._ends[-1] + np.cumsum(lengths)))
-        self.held += sum(map(len, self._new)) + self.ENTRY * len(ids) + 4 * int(lengths.sum())
+        self.held += sum(map(len, self._new)) + self.ENTRY * len(lengths) + 4 * len(ids)
         self._new.clear()
 
-    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+    def rows(self, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all lists of words, and where each list's ids begin and end.
+
+        Each distinct word of the lists is looked up once.
+        """
         if self.held > self.limit:
             self._reset()
-        split = [text.split() for text in texts]
-        sizes = np.cumsum([0, *map(len, split)])
-        numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, sizes[-1])
+        coded = words.flatten().dictionary_encode()
+        numbers = np.fromiter(map(self.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)), np.int64)
         if self._new:
             self._learn()
+        numbers = numbers[np.asarray(coded.indices, np.int64)]
         starts = self._ends[numbers]
         counts = self._ends[numbers + 1] - starts
         ends = np.concatenate(([0], np.cumsum(counts)))
         flat = self._ids[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], counts)]
-        cuts = ends[sizes]
-        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+        offsets = np.concatenate(([0], np.cumsum(pc.list_value_length(words)))).astype(np.int64)
+        return flat, ends[offsets]
+
+
+def joined_ids(ids: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """One array of all ids, and the length of each list."""
+    return np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+
+def split_words(texts: pa.StringArray) -> pa.ListArray:
+    """Words between ASCII white space; a text without any gives an empty list."""
+    split = pc.ascii_split_whitespace(texts)
+    words = split.flatten()
+    full = np.asarray(pc.not_equal(words, ""))
+    lengths = np.asarray(pc.list_value_length(split), np.int64)
+    kept = np.concatenate(([0], np.cumsum(full)))
+    offsets = kept[np.concatenate(([0], np.cumsum(lengths)))]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words.filter(pa.array(full)))
 
 
 def map_batches(

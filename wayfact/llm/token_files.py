@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from wayfact.llm.bpe import Bpe
-from wayfact.llm.common import Memo, PieceIds, byte_texts, ids_and_texts, map_batches
+from wayfact.llm.bpe import Bpe, TextIds
+from wayfact.llm.common import ids_and_texts, map_batches
 from wayfact.session import materialize, scratch_path
 
 MAGIC = b"WFPLANE1"
@@ -37,7 +37,6 @@ LEVEL = 3
 END_ID = 1
 NULL_ID = -(1 << 63)  # stands for a null doc_id in the document index
 FOOTER = struct.Struct("<QQQIIBxxx8s")
-MEMO_WORDS = 150_000
 
 
 def to_planes(ids: np.ndarray, bits: bool = False) -> list[bytes]:
@@ -160,12 +159,11 @@ class PlaneReader:
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library, each piece between white space encoded once in a while.
+    """Ids by the tokenizers library, each distinct word encoded once in a while.
 
-    The tokenizer drops white space and splits at it, so the pieces of a text give its
-    ids. Pieces new to a batch go to the library in a few long texts; the number of the
-    word that each id belongs to tells them apart. A piece of several words, or one that
-    holds a special token's text, goes by itself.
+    The tokenizer drops white space and splits at it, so a text's words give its ids. New
+    words go to the library in a few long texts; the number of the word that each id belongs
+    to tells them apart. Texts that need normalising go piece by piece.
     """
 
     JOINED = 64
@@ -175,41 +173,21 @@ class LibraryEncoder:
         self._tokenizer = Tokenizer.from_str(spec)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self._split = Bpe.parse(spec)
-        self._words = Memo(self._one, MEMO_WORDS)
-        self.encode_all = PieceIds(self._encode)
-
-    def _one(self, word: str) -> list[int]:
-        return self._tokenizer.encode(word, add_special_tokens=False).ids
-
-    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
-        known, split = self._words, self._split
-        texts = [piece.decode("utf-8", "replace") for piece in pieces]
-        words = [None if split.has_special(text) else split.words(text) for text in texts]
-        if len(known) > known.limit:
-            known.clear()
-        missing = list(dict.fromkeys(w for own in words if own for w in own if w not in known))
-        starts = range(0, len(missing), self.JOINED)
-        joined = [" ".join(missing[i : i + self.JOINED]) for i in starts]
-        long = [word for word in missing if len(word) > known.long]
-        for i, coded in zip(starts, self._tokenizer.encode_batch(joined, add_special_tokens=False)):
-            own: list[list[int]] = [[] for _ in missing[i : i + self.JOINED]]
-            for number, word in zip(coded.ids, coded.word_ids):
-                own[word].append(number)
-            known.update(zip(missing[i : i + self.JOINED], own))
-        out = [
-            self._one(text)
-            if own is None
-            else known[own[0]]
-            if len(own) == 1
-            else [x for word in own for x in known[word]]
-            for text, own in zip(texts, words)
-        ]
-        for word in long:
-            known.pop(word, None)
+        self.encode_all = TextIds(Bpe.parse(spec).pattern, self._word_ids, self._piece_ids)
+
+    def _piece_ids(self, pieces: list[str]) -> list[list[int]]:
+        return [one.ids for one in self._tokenizer.encode_batch(pieces, add_special_tokens=False)]
+
+    def _word_ids(self, words: list[str]) -> list[list[int]]:
+        parts = [words[i : i + self.JOINED] for i in range(0, len(words), self.JOINED)]
+        out: list[list[int]] = [[] for _ in words]
+        coded = self._tokenizer.encode_batch([" ".join(part) for part in parts], add_special_tokens=False)
+        for i, one in enumerate(coded):
+            for number, word in zip(one.ids, one.word_ids):
+                out[i * self.JOINED + word].append(number)
         return out
 
-    def __call__(self, texts: list[bytes], end_id: int | None = END_ID) -> list[np.ndarray]:
+    def __call__(self, texts: pa.StringArray, end_id: int | None = END_ID) -> list[np.ndarray]:
         tail = np.array([] if end_id is None else [end_id], np.int32)
         return [np.concatenate((ids, tail)).astype("<u4") for ids in self.encode_all(texts)]
 
@@ -252,7 +230,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, bits: bool = False)
         with filesystem.open_output_stream(f"{base}/{path}") as stream:
             writer = PlaneWriter(stream, bits=bits)
             for batch in chain([first], batches):
-                coded = encode(byte_texts(batch))
+                coded = encode(batch.column("text"))
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coded):
                     writer.add(doc_id, ids)
                 n_docs += len(coded)
