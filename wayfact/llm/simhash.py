@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,8 @@ STAGE_WORDS = 5
 STAGE_WIDTH = 2
 STAGE_TABLES = 48
 STAGE_BITS = 24
+FINER_BITS = 44  # for keys that more than ``CROWD`` fingerprints share
+CROWD = 4
 STAGE_RADIUS = 32
 STAGE_SIMILARITY = 0.8
 
@@ -198,8 +200,12 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS, size: int = 3) ->
 # near duplicates of whole texts
 
 
+@cache
 def sampled_bits(tables: int = STAGE_TABLES, bits: int = STAGE_BITS, width: int = STAGE_WIDTH) -> list[list[int]]:
-    """For each table one mask a word of the fingerprint, of ``bits`` bits together."""
+    """For each table one mask a word of the fingerprint, of ``bits`` bits together.
+
+    More bits include those of fewer.
+    """
     masks = []
     for table in range(tables):
         order = sorted(range(64 * width), key=lambda i: hashlib.sha256(f"bit {table} {i}".encode()).digest())
@@ -236,8 +242,10 @@ def near_duplicate_links(
 
     Texts of one fingerprint are linked to the first of them. Others meet where they agree
     on a table's sampled bits; there each is paired with one member, another in every
-    table, so a crowded key gives a pair a member and no more. Pairs pass the reference
-    distances, the bit count and the comparison of all shingles.
+    table, so a crowded key gives a pair a member and no more. Members of crowded keys are
+    also paired with one that agrees on further bits, so that chance company in a large
+    collection does not part near copies. Pairs pass the reference distances, the bit count
+    and the comparison of all shingles.
     """
     width = STAGE_WIDTH
     words = [f"f{k}" for k in range(width)]
@@ -248,18 +256,28 @@ def near_duplicate_links(
     same = prints.join(classes.select(*words, "id"), words).where("doc_id <> id")
     same = same.select(F.col("id").alias("src"), F.col("doc_id").alias("dst"))
 
+    def key(table: int, bits: int) -> Column:
+        masks = sampled_bits(bits=bits)[table]
+        return F.xxhash64(F.lit(table), *(F.col(w).bitwiseAND(F.lit(_signed(m))) for w, m in zip(words, masks)))
+
     keys = F.array(
         *(
-            F.xxhash64(F.lit(i), *(F.col(w).bitwiseAND(F.lit(_signed(m))) for w, m in zip(words, masks)))
-            for i, masks in enumerate(sampled_bits())
+            F.struct(key(i, STAGE_BITS).alias("key"), key(i, FINER_BITS).alias("finer"))
+            for i in range(STAGE_TABLES)
         )
     )
-    keyed = classes.select("id", F.posexplode(keys).alias("place", "key"))
-    # A member is chosen by a hash that differs from table to table.
-    order = F.struct(F.xxhash64("id", "place").alias("rank"), F.col("id").alias("id"))
-    chosen = keyed.groupBy("key").agg(F.min(order)["id"].alias("chosen"), F.count("*").alias("n"))
-    chosen = chosen.where("n > 1").select("key", "chosen")
-    pairs = keyed.join(chosen, "key").where("id <> chosen")
+    keyed = classes.select("id", F.posexplode(keys).alias("place", "keys"))
+    keyed = keyed.select("id", "place", "keys.key", "keys.finer")
+
+    def met(rows: DataFrame, key: str) -> DataFrame:
+        """One member of every key of several, chosen by a hash that differs from table to table."""
+        order = F.struct(F.xxhash64("id", "place").alias("rank"), F.col("id").alias("id"))
+        chosen = rows.groupBy(key).agg(F.min(order)["id"].alias("chosen"), F.count("*").alias("n"))
+        return rows.join(chosen.where("n > 1"), key)
+
+    first = met(keyed, "key")
+    crowded = first.where(F.col("n") > CROWD).select("id", "place", "finer")
+    pairs = first.select("id", "chosen").union(met(crowded, "finer").select("id", "chosen")).where("id <> chosen")
     pairs = pairs.select(
         F.least("id", "chosen").alias("src"), F.greatest("id", "chosen").alias("dst")
     ).distinct()
