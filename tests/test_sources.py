@@ -75,6 +75,18 @@ def test_schema_report(spark, tmp_path):
     guards.require_schemas(report.where("status = 'PASS'"))
 
 
+@pytest.mark.parametrize("names", [("a", "b"), ("b", "a")])
+def test_one_bad_file_fails_its_folder(spark, tmp_path, names):
+    good = spark.range(1).select(F.lit(1).alias("n"))
+    for name, df in zip(names, (good, good.select(F.lit("x").alias("n")))):
+        df.coalesce(1).write.parquet(str(tmp_path / "all" / name))
+    report = guards.schema_report(spark, {"mixed": str(tmp_path / "all")}, [], ["n"]).first()
+    assert report.status == "FAIL" and report.incompatible == "n=string"
+    assert f"/{names[1]}/" in report.error
+    files = guards.file_schemas(spark, {"mixed": str(tmp_path / "all")}, [], ["n"])
+    assert files.count() == 2
+
+
 def test_monthly_paths():
     paths = guards.monthly_paths("s3://b/raw/", 2024, "year={year}/month={month}/f.parquet")
     assert len(paths) == 12
