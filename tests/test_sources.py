@@ -87,6 +87,20 @@ def test_one_bad_file_fails_its_folder(spark, tmp_path, names):
     assert files.count() == 2
 
 
+def test_applications_are_kept_apart(spark):
+    lines = [
+        ("eventlog_v2_a/events_1_a", task(1, "Success", **{"Executor Run Time": 5})),
+        ("eventlog_v2_a/events_1_a", task(1, "Success", **{"Executor Run Time": 7})),
+        ("eventlog_v2_b/events_1_b", task(1, "ExceptionFailure")),
+        ("logs/app-3.inprogress", task(1, "Success", **{"Executor Run Time": 9})),
+    ]
+    rows = [(file, json.dumps(record)) for file, record in lines]
+    found = eventlog.event_log_metrics(spark.createDataFrame(rows, "file string, value string").coalesce(1))
+    got = {r.application: r for r in found.collect()}
+    assert {k: r.successful_task_attempts for k, r in got.items()} == {"a": 1, "b": 0, "app-3": 1}
+    assert got["a"].executor_run_time_seconds == 0.005 and got["b"].failed_task_attempts == 1
+
+
 def test_monthly_paths():
     paths = guards.monthly_paths("s3://b/raw/", 2024, "year={year}/month={month}/f.parquet")
     assert len(paths) == 12

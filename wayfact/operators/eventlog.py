@@ -35,6 +35,7 @@ READ_RECORDS = (
 PEAK = ("Peak Execution Memory",)
 MEGABYTE = 1024 * 1024
 CORRUPT = "_unreadable"
+ROLLING = "eventlog_v2_([^/]+)"
 
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
@@ -91,6 +92,13 @@ def _whole(*names: str) -> Column:
     return F.coalesce(_field(*names), F.lit(0).cast("bigint"))
 
 
+def application() -> Column:
+    """The application of a log file: the name of its rolling folder, or else of the file."""
+    folder = F.regexp_extract("file", ROLLING, 1)
+    name = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.inprogress$", "")
+    return F.when(folder != "", folder).otherwise(name)
+
+
 def parsed_events(lines: DataFrame) -> DataFrame:
     """One row per line with the few fields the metrics need; malformed lines flagged."""
     options = {"columnNameOfCorruptRecord": CORRUPT}
@@ -107,6 +115,8 @@ def parsed_events(lines: DataFrame) -> DataFrame:
     reason = F.coalesce(F.get_json_object(reason, "$.Reason"), reason)
     return read.select(
         "file",
+        application().alias("application"),
+        F.monotonically_increasing_id().alias("line"),
         malformed.alias("malformed"),
         kind.alias("kind"),
         _field("Job ID").alias("job_id"),
@@ -129,14 +139,15 @@ def parsed_events(lines: DataFrame) -> DataFrame:
 
 
 def event_log_metrics(lines: DataFrame) -> DataFrame:
-    """One row of run metrics. Repeated stage and task records count once.
+    """One row of run metrics an application.
 
-    The parsed lines are written once; jobs, stages and tasks are then reduced from
-    those columns, each by its own key, with partial sums before every shuffle.
+    Repeated stage records count once; of repeated task records the first counts. The
+    parsed lines are written once; jobs, stages and tasks are then reduced from those
+    columns, each by its own key, with partial sums before every shuffle.
     """
     events = materialize(parsed_events(lines), "events")
-    task_columns = [*SUMMED, "shuffle_read_records", "peak_execution_memory_bytes"]
-    lines_row = events.agg(
+    summed = (*SUMMED, "shuffle_read_records")
+    rows = events.groupBy("application").agg(
         F.countDistinct("file").alias("event_files"),
         F.countDistinct(F.when(F.col("kind") == JOB_START, F.col("job_id"))).alias("spark_jobs"),
         F.count_if(F.col("kind") == SQL_START).alias("sql_executions"),
@@ -144,40 +155,35 @@ def event_log_metrics(lines: DataFrame) -> DataFrame:
     )
     stages = (
         events.where((F.col("kind") == STAGE_DONE) & F.col("stage_id").isNotNull())
-        .groupBy("stage_id", "stage_attempt")
+        .groupBy("application", "stage_id", "stage_attempt")
         .agg(F.max("stage_tasks").alias("tasks"))
+        .groupBy("application")
         .agg(
             F.count(F.lit(1)).alias("completed_stage_attempts"),
-            F.coalesce(F.sum("tasks"), F.lit(0)).alias("scheduled_stage_tasks"),
+            F.sum("tasks").alias("scheduled_stage_tasks"),
         )
     )
     known = F.col("stage_id").isNotNull() & F.col("task_id").isNotNull()
-    good = F.col("succeeded")
+    good, peak = F.col("record.succeeded"), "peak_execution_memory_bytes"
+    record = F.struct(F.coalesce("succeeded", F.lit(False)).alias("succeeded"), *summed, peak)
     tasks = (
         events.where((F.col("kind") == TASK_END) & known)
-        .groupBy("stage_id", "stage_attempt", "task_id", "task_attempt")
-        .agg(
-            F.max(F.coalesce("succeeded", F.lit(False))).alias("succeeded"),
-            *[F.max(name).alias(name) for name in task_columns],
-        )
+        .groupBy("application", "stage_id", "stage_attempt", "task_id", "task_attempt")
+        .agg(F.min_by(record, F.struct("file", "line")).alias("record"))
+        .groupBy("application")
         .agg(
             F.count_if(good).alias("successful_task_attempts"),
             F.count_if(~good).alias("failed_task_attempts"),
-            *[
-                F.coalesce(F.sum(F.when(good, F.col(name))), F.lit(0)).alias(name)
-                for name in (*SUMMED, "shuffle_read_records")
-            ],
-            F.coalesce(
-                F.max(F.when(good, F.col("peak_execution_memory_bytes"))), F.lit(0)
-            ).alias("peak_execution_memory_bytes"),
+            *[F.sum(F.when(good, F.col(f"record.{name}"))).alias(name) for name in summed],
+            F.max(F.when(good, F.col(f"record.{peak}"))).alias(peak),
         )
     )
-    parts = [part.select(F.struct("*")).scalar() for part in (stages, tasks)]
-    row = lines_row.select("*", *[p.alias(f"_{i}") for i, p in enumerate(parts)]).select(
-        *lines_row.columns, "_0.*", "_1.*"
+    rows = rows.join(stages, "application", "left").join(tasks, "application", "left")
+    rows = rows.select(
+        "application", *[F.coalesce(name, F.lit(0)).alias(name) for name in rows.columns if name != "application"]
     )
-    row = row.withColumn("shuffle_read_bytes", F.col("remote_bytes") + F.col("local_bytes"))
-    return row.select(*_report_columns())
+    rows = rows.withColumn("shuffle_read_bytes", F.col("remote_bytes") + F.col("local_bytes"))
+    return rows.select("application", *_report_columns())
 
 
 def _report_columns() -> Sequence[Column]:

@@ -938,7 +938,7 @@ SELECTS = {
     ),
 }
 SELECTS["event_log_metrics"] = f"""
-    SELECT event_files, spark_jobs, completed_stage_attempts, scheduled_stage_tasks,
+    SELECT application, event_files, spark_jobs, completed_stage_attempts, scheduled_stage_tasks,
       successful_task_attempts, failed_task_attempts, sql_executions, {_LOG},
       {big('s * 2')} AS input_records_read, {big('s')} AS output_records_written,
       {big('s + successful_task_attempts')} AS shuffle_read_records,
@@ -947,7 +947,7 @@ SELECTS["event_log_metrics"] = f"""
       {_mb('peak * 1024')} AS peak_execution_memory_megabytes,
       {ratio('s', '1000', 3)} AS executor_run_time_seconds,
       {ratio('s', '1000', 3)} AS executor_cpu_time_seconds, malformed_event_lines
-    FROM (SELECT
+    FROM (SELECT 'app-' || CAST(user_id % 3 AS VARCHAR) AS application,
       count(DISTINCT event_type) FILTER (NOT (event_type = 'signup' AND n = 50)) AS event_files,
       count(DISTINCT user_id) FILTER (event_type = 'signup' AND n <> 50) AS spark_jobs,
       count(DISTINCT user_id) FILTER (event_type = 'purchase') AS completed_stage_attempts,
@@ -958,7 +958,7 @@ SELECTS["event_log_metrics"] = f"""
       count(*) FILTER (event_type = 'view' AND n >= 90) AS malformed_event_lines,
       coalesce(sum(CAST(n AS BIGINT)) FILTER (event_type = 'click'), 0) AS s,
       coalesce(max(CAST(n AS BIGINT)) FILTER (event_type = 'click'), 0) AS peak
-      FROM numbered)"""
+      FROM numbered GROUP BY 1)"""
 
 
 def _needed(sql: str, seen: list[str]) -> None:

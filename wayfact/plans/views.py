@@ -367,7 +367,7 @@ class Views:
         )
 
     def log_lines(self) -> DataFrame:
-        """Events as lines of a run log: jobs, SQL runs, stages, tasks and broken text."""
+        """Events as lines of three run logs: jobs, SQL runs, stages, tasks and broken text."""
         kind = F.col("event_type")
         n = F.col("number").cast("bigint")
         metrics = _record(
@@ -420,7 +420,9 @@ class Views:
             self.numbered_events()
             .select(
                 line.alias("value"),
-                F.concat(F.lit("events_"), kind).alias("file"),
+                F.concat(
+                    F.lit("eventlog_v2_app-"), (user % 3).cast("string"), F.lit("/events_"), kind
+                ).alias("file"),
                 F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
             )
             .drop("copy")
