@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from wayfact.functions.exact import percent
 from wayfact.session import materialize
@@ -44,14 +44,13 @@ def sized(lookup: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, in
     """The lookup and a bound of its bytes.
 
     ``max_rows`` is a bound the caller can prove, such as the hours of a spine. It is
-    enough for columns of fixed width. Otherwise the lookup is stored, measured while it
-    is written, and read from there, so it is computed once.
+    enough for columns of fixed width. Otherwise the lookup is stored, measured and read
+    from there, so it is computed once.
     """
     if max_rows is not None and not _text_columns(lookup):
         return lookup, max_rows * OTHER_BYTES * len(lookup.columns)
-    seen = Observation()
-    stored = materialize(lookup.observe(seen, bytes_of(lookup).alias("bytes")), "lookup")
-    return stored, seen.get["bytes"]
+    stored = materialize(lookup, "lookup")
+    return stored, stored.agg(bytes_of(stored)).first()[0]
 
 
 def may_broadcast(
