@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from wayfact.llm.common import Memo, byte_texts, ids_and_texts, map_batches
+from wayfact.llm.common import Memo, byte_texts, ids_and_texts, map_batches, with_ids
 from wayfact.llm.folds import held_out, training_labels
 from wayfact.session import materialize
 
@@ -89,7 +89,7 @@ def fit_tokens(texts: DataFrame, labels: DataFrame) -> TokenModel:
     """Counts over all labelled texts; neutral where one label is missing."""
     rows = (
         map_batches(
-            texts.join(labels, "doc_id").select("label", "text"),
+            with_ids(texts, labels, "inner", F.lit(2)).select("label", "text"),
             _count,
             "bucket int, clean bigint, toxic bigint",
         )
@@ -262,10 +262,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts = ids_and_texts(docs)
     known = materialize(training_labels(labels, "toxic"), "labels")
     scanned = materialize(scan_texts(texts, fit_tokens(texts, known)), "scanned")
-    labelled = scanned.join(known, "doc_id")
+    labelled = with_ids(scanned, known, "inner", F.lit(2))
     rate, k = extreme_value_fit(labelled.where("label = 0"))
+    slope, intercept = fit_scores(with_evidence(labelled, rate, k))
     judged = with_evidence(scanned, rate, k)
-    slope, intercept = fit_scores(judged.join(known, "doc_id"))
     score = 1 / (1 + F.exp(-(F.lit(slope) * F.log1p("evidence") + F.lit(intercept))))
     scored = judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), "passages")
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages")
