@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wayfact.llm.common import byte_texts, ids_and_texts, map_batches
+from wayfact.llm.common import byte_texts, ids_and_texts, map_batches, with_ids
 from wayfact.llm.folds import held_out, training_labels
 from wayfact.llm.quality_rules import repeated_words
 from wayfact.session import materialize
@@ -178,9 +178,9 @@ def pu_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     rows = materialize(map_batches(ids_and_texts(docs), _features, "doc_id bigint, features array<float>"), "features")
     good = training_labels(labels, "quality").where("label = 1").select("doc_id")
-    positive = rows.join(good, "doc_id", "left_semi")
+    positive = with_ids(rows, good, "left_semi")
     labelled = labels.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null").distinct()
-    unlabelled = rows.where("doc_id is not null").join(labelled, "doc_id", "left_anti").where(~held_out(F.col("doc_id")))
+    unlabelled = with_ids(rows.where("doc_id is not null"), labelled, "left_anti").where(~held_out(F.col("doc_id")))
     p, u = sample_matrix(positive, MAX_POSITIVE), sample_matrix(unlabelled, MAX_UNLABELLED)
     if len(p) and len(u):
         half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0
