@@ -256,27 +256,30 @@ def near_duplicate_links(
     same = prints.join(classes.select(*words, "id"), words).where("doc_id <> id")
     same = same.select(F.col("id").alias("src"), F.col("doc_id").alias("dst"))
 
-    def key(table: int, bits: int) -> Column:
+    def key(table: int, bits: int, kept: int) -> Column:
         masks = sampled_bits(bits=bits)[table]
-        return F.xxhash64(F.lit(table), *(F.col(w).bitwiseAND(F.lit(_signed(m))) for w, m in zip(words, masks)))
+        whole = F.xxhash64(F.lit(table), *(F.col(w).bitwiseAND(F.lit(_signed(m))) for w, m in zip(words, masks)))
+        return F.shiftrightunsigned(whole, 64 - kept)  # short keys make small shuffles
 
     keys = F.array(
         *(
-            F.struct(key(i, STAGE_BITS).alias("key"), key(i, FINER_BITS).alias("finer"))
+            F.struct(key(i, STAGE_BITS, 40).alias("key"), key(i, FINER_BITS, 52).alias("finer"))
             for i in range(STAGE_TABLES)
         )
     )
-    keyed = classes.select("id", F.posexplode(keys).alias("place", "keys"))
-    keyed = keyed.select("id", "place", "keys.key", "keys.finer")
+    keyed = classes.select("id", F.explode(keys).alias("keys")).select("id", "keys.key", "keys.finer")
 
     def met(rows: DataFrame, key: str) -> DataFrame:
-        """One member of every key of several, chosen by a hash that differs from table to table."""
-        order = F.struct(F.xxhash64("id", "place").alias("rank"), F.col("id").alias("id"))
-        chosen = rows.groupBy(key).agg(F.min(order)["id"].alias("chosen"), F.count("*").alias("n"))
+        """One member of every key of several: that whose id crossed with the key is least.
+
+        Crossing orders the members anew for each key, and gives the id back.
+        """
+        crossed = F.min(F.col("id").bitwiseXOR(F.col(key)))
+        chosen = rows.groupBy(key).agg(crossed.bitwiseXOR(F.col(key)).alias("chosen"), F.count("*").alias("n"))
         return rows.join(chosen.where("n > 1"), key)
 
     first = met(keyed, "key")
-    crowded = first.where(F.col("n") > CROWD).select("id", "place", "finer")
+    crowded = first.where(F.col("n") > CROWD).select("id", "finer")
     pairs = first.select("id", "chosen").union(met(crowded, "finer").select("id", "chosen")).where("id <> chosen")
     pairs = pairs.select(
         F.least("id", "chosen").alias("src"), F.greatest("id", "chosen").alias("dst")
