@@ -129,6 +129,31 @@ def test_drop_near_duplicates_awkward_rows(spark):
     assert simhash.drop_near_duplicates(empty(spark)).collect() == []
 
 
+def shingle_sets(rows: list[tuple[int, str]]) -> dict[int, set[int]]:
+    return {i: set(simhash.shingle_hashes(text.encode(), simhash.STAGE_WORDS).tolist()) for i, text in rows}
+
+
+def jaccard(a: set, b: set) -> float:
+    return len(a & b) / len(a | b)
+
+
+def one_end_changed(seed: int, changed: int, n: int = 204) -> list[str]:
+    """Two texts of 200 shingles of which the last ``changed`` differ."""
+    base = words(n, seed).split()
+    return [" ".join(base), " ".join(base[: n - changed] + [f"z{seed}x{k}" for k in range(changed)])]
+
+
+def test_every_lone_pair_just_above_the_threshold_is_found(spark):
+    pairs = [one_end_changed(s, 17 + s % 6) for s in range(150)]  # 0.80 to 0.84
+    rows = [(2 * s + k, text) for s, two in enumerate(pairs) for k, text in enumerate(two)]
+    sets = shingle_sets(rows)
+    assert all(0.8 <= jaccard(sets[2 * s], sets[2 * s + 1]) < 0.85 for s in range(150))
+    links = {tuple(r) for r in simhash.near_duplicate_links(documents(spark, rows)).collect()}
+    assert links == {(2 * s, 2 * s + 1) for s in range(150)}
+    below = [(2 * s + k, t) for s in range(20) for k, t in enumerate(one_end_changed(s, 23))]
+    assert simhash.drop_near_duplicates(documents(spark, below)).count() == 40
+
+
 # chunks
 
 

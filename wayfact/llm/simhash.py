@@ -11,14 +11,17 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from functools import cache, reduce
+import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wayfact.llm.common import byte_texts, components, ids_and_texts, map_batches, without
+from wayfact.llm.common import (
+    MAX_BROADCAST, byte_texts, components, ids_and_texts, map_batches, with_ids, without
+)
 from wayfact.session import materialize
 
 SEED = 42
@@ -26,16 +29,17 @@ RADIUS = 2
 GROUPS = 5
 REFERENCES = 16
 
-# Near-duplicate stage: 128-bit fingerprints of five-word shingles, compared by the
-# tables of sampled bits below, then by references, bits and shared shingles.
+# Near-duplicate stage: texts meet on their rarest five-word shingles, enough of them that
+# no pair of ``STAGE_SIMILARITY`` is missed; then sizes, references and 128-bit fingerprints
+# discard, and all shingles verify.
 STAGE_WORDS = 5
 STAGE_WIDTH = 2
-STAGE_TABLES = 48
-STAGE_BITS = 24
-FINER_BITS = 44  # for keys that more than ``CROWD`` fingerprints share
-CROWD = 4
-STAGE_RADIUS = 32
+STAGE_RADIUS = 44  # copies at 0.8 differ in about 19 bits (deviation 4), strangers in 64
 STAGE_SIMILARITY = 0.8
+CROWD = 16  # members of a key up to which all pairs of it are tried
+MOST_PIVOTS = 64  # of a crowded key in a round
+SAMPLE = 16  # one text in so many tells which shingles are common; this only orders them
+MAX_COMMON = 1_000_000
 
 
 def _signed(value: int) -> int:
@@ -200,18 +204,63 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS, size: int = 3) ->
 # near duplicates of whole texts
 
 
-@cache
-def sampled_bits(tables: int = STAGE_TABLES, bits: int = STAGE_BITS, width: int = STAGE_WIDTH) -> list[list[int]]:
-    """For each table one mask a word of the fingerprint, of ``bits`` bits together.
+def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
+    """Hashes of shingles that several sampled texts share, rarest first.
 
-    More bits include those of fewer.
+    Any order of shingles brings all pairs together; this one only keeps keys small, so
+    a sample does.
     """
-    masks = []
-    for table in range(tables):
-        order = sorted(range(64 * width), key=lambda i: hashlib.sha256(f"bit {table} {i}".encode()).digest())
-        chosen = [[i for i in order[:bits] if i // 64 == k] for k in range(width)]
-        masks.append([sum(1 << (i % 64) for i in own) for own in chosen])
-    return masks
+
+    def scan(batches):
+        for batch in batches:
+            found = [np.unique(shingle_hashes(text, size)) for text in byte_texts(batch)]
+            yield pa.record_batch({"hash": pa.array(np.concatenate(found or [np.zeros(0, np.uint64)]).view(np.int64))})
+
+    sampled = ids_and_texts(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
+    counts = map_batches(sampled, scan, "hash bigint").groupBy("hash").agg(F.count("*").alias("n"))
+    rows = counts.where("n > 1").orderBy(F.desc("n"), "hash").limit(MAX_COMMON).toArrow()
+    return np.ascontiguousarray(rows["hash"].to_numpy()[::-1]).view(np.uint64)
+
+
+def prefix_length(shingles: int, similarity: float) -> int:
+    """How many of a set's first elements, in one order for all, meet those of any similar set."""
+    return shingles - math.ceil(similarity * shingles - 1e-9) + 1 if shingles else 0
+
+
+def signatures(docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """One row per row of ``docs``, about its set of shingles.
+
+    doc_id, d0 and d1 (a digest of the set), n (its size), f0, f1 (its fingerprint) and
+    prefix, the first of its shingles by rarity.
+    """
+    common = common_shingles(docs, size)
+    order = np.argsort(common, kind="stable")
+    shared = docs.sparkSession.sparkContext.broadcast((common[order], order))
+    mixer = np.uint64(_numbers("mix", 2)[1] | 1)
+    names = ("doc_id", "d0", "d1", "n", "f0", "f1", "prefix")
+    kinds = (*[pa.int64()] * 3, pa.int32(), *[pa.int64()] * 2, pa.list_(pa.int64()))
+
+    def scan(batches):
+        known, ranks = shared.value
+        for batch in batches:
+            rows = []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch)):
+                own = np.unique(shingle_hashes(text, size))
+                mixed = (own ^ (own >> np.uint64(31))) * mixer
+                mixed ^= mixed >> np.uint64(29)
+                first = own[: prefix_length(len(own), similarity)]
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    rank = np.where(known[at] == own, ranks[at] + 1, 0)
+                    first = own[np.argsort(rank, kind="stable")[: len(first)]]
+                digest = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64).tolist()
+                bits = [_signed(majority_bits(hashes)) for hashes in (own, mixed)]
+                rows.append((doc_id, *digest, len(own), *bits, first.view(np.int64)))
+            columns = zip(*rows) if rows else [()] * len(names)
+            yield pa.record_batch([pa.array(list(c), kind) for c, kind in zip(columns, kinds)], list(names))
+
+    schema = "doc_id bigint, d0 bigint, d1 bigint, n int, f0 bigint, f1 bigint, prefix array<bigint>"
+    return map_batches(ids_and_texts(docs).where("doc_id is not null"), scan, schema)
 
 
 def similar_pairs(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -238,61 +287,63 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, size: int, similarity: flo
 def near_duplicate_links(
     docs: DataFrame, size: int = STAGE_WORDS, similarity: float = STAGE_SIMILARITY, radius: int = STAGE_RADIUS
 ) -> DataFrame:
-    """Links (src, dst) between near copies: fingerprints within ``radius``, shingles alike.
-
-    Texts of one fingerprint are linked to the first of them. Others meet where they agree
-    on a table's sampled bits; there each is paired with one member, another in every
-    table, so a crowded key gives a pair a member and no more. Members of crowded keys are
-    also paired with one that agrees on further bits, so that chance company in a large
-    collection does not part near copies. Pairs pass the reference distances, the bit count
-    and the comparison of all shingles.
+    """Links (src, dst) between near copies, src being the smaller: shingles alike as sets.
+
+    Texts of one set of shingles are linked to the first of them. Of the others, any two
+    that are similar share a key, one of the rarest shingles of each. All pairs of a key of
+    few members are tried. A crowded key is resolved in rounds: some members meet all
+    others and leave it, and what is linked to a smaller one leaves every crowded key,
+    until none is left. So of two texts that are linked to no smaller one each pair was
+    tried, and a crowd makes rows by its members times its groups, not its square.
     """
-    width = STAGE_WIDTH
-    words = [f"f{k}" for k in range(width)]
-    prints = fingerprints(docs, size, width).where("doc_id is not null")
-    prints = materialize(prints, "fingerprints")
-    classes = prints.groupBy(*words).agg(F.min("doc_id").alias("id"))
-    classes = materialize(with_references(classes, width), "classes")
-    same = prints.join(classes.select(*words, "id"), words).where("doc_id <> id")
-    same = same.select(F.col("id").alias("src"), F.col("doc_id").alias("dst"))
-
-    def key(table: int, bits: int, kept: int) -> Column:
-        masks = sampled_bits(bits=bits)[table]
-        whole = F.xxhash64(F.lit(table), *(F.col(w).bitwiseAND(F.lit(_signed(m))) for w, m in zip(words, masks)))
-        return F.shiftrightunsigned(whole, 64 - kept)  # short keys make small shuffles
-
-    keys = F.array(
-        *(
-            F.struct(key(i, STAGE_BITS, 40).alias("key"), key(i, FINER_BITS, 52).alias("finer"))
-            for i in range(STAGE_TABLES)
-        )
-    )
-    keyed = classes.select("id", F.explode(keys).alias("keys")).select("id", "keys.key", "keys.finer")
-
-    def met(rows: DataFrame, key: str) -> DataFrame:
-        """One member of every key of several: that whose id crossed with the key is least.
-
-        Crossing orders the members anew for each key, and gives the id back.
-        """
-        crossed = F.min(F.col("id").bitwiseXOR(F.col(key)))
-        chosen = rows.groupBy(key).agg(crossed.bitwiseXOR(F.col(key)).alias("chosen"), F.count("*").alias("n"))
-        return rows.join(chosen.where("n > 1"), key)
-
-    first = met(keyed, "key")
-    crowded = first.where(F.col("n") > CROWD).select("id", "finer")
-    pairs = first.select("id", "chosen").union(met(crowded, "finer").select("id", "chosen")).where("id <> chosen")
-    pairs = pairs.select(
-        F.least("id", "chosen").alias("src"), F.greatest("id", "chosen").alias("dst")
-    ).distinct()
-    columns = [*words, "r0", "r1"]
-    a = classes.select(F.col("id").alias("src"), F.struct(*columns).alias("a"))
-    b = classes.select(F.col("id").alias("dst"), F.struct(*columns).alias("b"))
-    close = _distance([F.col(f"a.{w}") for w in words], [F.col(f"b.{w}") for w in words]) <= radius
-    close = pairs.join(a, "src").join(b, "dst").where(references_allow(radius) & close)
-    near = materialize(close.select("src", "dst"), "near")
-    ends = near.select(F.col("src").alias("doc_id")).union(near.select("dst")).distinct()
-    texts = ids_and_texts(docs).join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return same.union(similar_pairs(near, texts, size, similarity))
+    words = [f"f{k}" for k in range(STAGE_WIDTH)]
+    prints = materialize(signatures(docs, size, similarity), "signatures")
+    first = prints.groupBy("d0", "d1").agg(F.min("doc_id").alias("id"))
+    same = prints.select("doc_id", "d0", "d1").join(first, ["d0", "d1"]).where("doc_id <> id")
+    same = materialize(same.select(F.col("id").alias("src"), F.col("doc_id").alias("dst")), "same")
+    single = without(prints, same.select(F.col("dst").alias("doc_id"))).withColumnRenamed("doc_id", "id")
+    facts = with_references(single.select("id", "n", *words), STAGE_WIDTH)
+    facts = materialize(facts.select("id", F.struct("n", *words, "r0", "r1").alias("facts")), "facts")
+    keyed = single.select("id", F.explode("prefix").alias("key"))
+    keys = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+    keys = materialize(keys.where("low < high"), "keys")
+    many = materialize(keys.where("n > 2").select("key", "n"), "many")
+    if many.count() <= MAX_BROADCAST:
+        many = F.broadcast(many)
+    members = materialize(keyed.join(many, "key"), "members")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (src, dst) that are near copies."""
+        a = facts.select(F.col("id").alias("src"), F.col("facts").alias("a"))
+        b = facts.select(F.col("id").alias("dst"), F.col("facts").alias("b"))
+        close = _distance([F.col(f"a.{w}") for w in words], [F.col(f"b.{w}") for w in words]) <= radius
+        sizes = F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n") - 1e-9
+        near = pairs.where("src < dst").distinct().join(a, "src").join(b, "dst")
+        near = materialize(near.where(sizes & references_allow(radius) & close).select("src", "dst"), "near")
+        ends = near.select(F.col("src").alias("doc_id")).union(near.select("dst")).distinct()
+        texts = with_ids(ids_and_texts(docs), ends, "left_semi").dropDuplicates(["doc_id"])
+        return materialize(similar_pairs(near, texts, size, similarity), "links")
+
+    few = members.where(F.col("n") <= CROWD).select("key", "id")
+    pairs = few.select("key", F.col("id").alias("src")).join(few.select("key", F.col("id").alias("dst")), "key")
+    links = verified(keys.where("n = 2").select(F.col("low").alias("src"), F.col("high").alias("dst")).union(pairs.select("src", "dst")))
+    found = same.union(links)
+    live = members.where(F.col("n") > CROWD).select("key", "id")
+    pivots = 1
+    while True:
+        live = materialize(without(live.withColumnRenamed("id", "doc_id"), links.select(F.col("dst").alias("doc_id"))), "live")
+        live = live.withColumnRenamed("doc_id", "id")
+        if live.isEmpty():
+            return found
+        # The least of each share of a key's members; the shares differ by round.
+        share = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots))
+        chosen = live.groupBy("key", share.alias("share")).agg(F.min("id").alias("pivot")).select("key", "pivot")
+        chosen = materialize(chosen, "pivots")
+        pairs = live.join(chosen, "key").where("id <> pivot")
+        links = verified(pairs.select(F.least("id", "pivot").alias("src"), F.greatest("id", "pivot").alias("dst")))
+        found = found.union(links)
+        live = live.join(chosen.withColumnRenamed("pivot", "id"), ["key", "id"], "left_anti")
+        pivots = min(2 * pivots, MOST_PIVOTS)
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
