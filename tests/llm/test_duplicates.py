@@ -154,6 +154,21 @@ def test_every_lone_pair_just_above_the_threshold_is_found(spark):
     assert simhash.drop_near_duplicates(documents(spark, below)).count() == 40
 
 
+def test_crowded_keys_lose_no_near_copy(spark):
+    # Texts that are mostly one passage share all their keys; only some are near copies.
+    passage, rows = words(150, 7), []
+    for s in range(60):
+        own = f"{passage} {words(50, 100 + s)}".split()
+        rows.append((2 * s, " ".join(own)))
+        if s % 3 == 0:
+            rows.append((2 * s + 1, " ".join(own[:-10] + [f"y{s}x{k}" for k in range(10)])))
+    sets = shingle_sets(rows)
+    copies = {i for i in sets if any(j < i and jaccard(sets[i], sets[j]) >= 0.8 for j in sets)}
+    assert copies == {2 * s + 1 for s in range(0, 60, 3)}
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(documents(spark, rows)).collect()}
+    assert kept == sets.keys() - copies
+
+
 # chunks
 
 

@@ -39,7 +39,7 @@ STAGE_SIMILARITY = 0.8
 CROWD = 16  # members of a key up to which all pairs of it are tried
 MOST_PIVOTS = 64  # of a crowded key in a round
 SAMPLE = 16  # one text in so many tells which shingles are common; this only orders them
-MAX_COMMON = 1_000_000
+MAX_COMMON = 200_000
 
 
 def _signed(value: int) -> int:
@@ -268,11 +268,10 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, size: int, similarity: flo
 
     def verify(batches):
         for batch in batches:
-            left = batch.column("left").cast(pa.binary()).to_pylist()
-            right = batch.column("right").cast(pa.binary()).to_pylist()
+            left, right = (batch.column(name).cast(pa.binary()) for name in ("left", "right"))
             keep = []
-            for x, y in zip(left, right):
-                x, y = (np.unique(shingle_hashes(text, size)) for text in (x, y))
+            for x, y in zip(left, right):  # one pair of texts at a time is held as bytes
+                x, y = (np.unique(shingle_hashes(text.as_py(), size)) for text in (x, y))
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 union = len(x) + len(y) - common
                 keep.append(common >= similarity * union)
@@ -343,7 +342,7 @@ def near_duplicate_links(
         links = verified(pairs.select(F.least("id", "pivot").alias("src"), F.greatest("id", "pivot").alias("dst")))
         found = found.union(links)
         live = live.join(chosen.withColumnRenamed("pivot", "id"), ["key", "id"], "left_anti")
-        pivots = min(2 * pivots, MOST_PIVOTS)
+        pivots = min(8 * pivots, MOST_PIVOTS)
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
