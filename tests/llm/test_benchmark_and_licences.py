@@ -105,6 +105,35 @@ def test_several_indexes_find_what_one_finds(spark, monkeypatch):
     assert decontaminate.drop_contaminated(docs, benchmark).count() == 0
 
 
+def test_edited_and_partial_items_are_found(spark):
+    items = [(i, f"{words(25, 1000 + i)}. {words(13, 3000 + i)}.") for i in range(40)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    draw, rows = random.Random(4), []
+    for i, text in items:
+        own = text.split()
+        for changes in (1, 2):
+            edited = list(own)
+            for at in draw.sample(range(len(own)), changes):
+                edited[at] = f"other{at}"
+            rows.append((1000 * changes + i, edited))
+        rows.append((3000 + i, own[:25]))  # the question without its answer
+        at = draw.randrange(8)
+        rows.append((4000 + i, own[at : at + 30]))  # four fifths in one piece
+        rows.append((5000 + i, own[:12]))  # half of the question is no leak
+        rows.append((6000 + i, draw.sample(own, len(own))))  # nor are the same words in any order
+    docs = [(d, f"{words(70, 9000 + d)} {' '.join(own)} {words(70, 17000 + d)}") for d, own in rows]
+    found = {(r.doc_id, r.item_id) for r in decontaminate.benchmark_matches(documents(spark, docs), benchmark).collect()}
+    assert found == {(d, d % 1000) for d, _ in rows if d < 5000}
+
+
+def test_question_is_found_beside_a_long_answer(spark):
+    items = [(i, f"{words(12, i)}. {words(60, 100 + i)}.") for i in range(10)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = documents(spark, [(i, f"{words(50, 900 + i)} {words(12, i)} {words(50, 990 + i)}") for i, _ in items])
+    found = decontaminate.benchmark_matches(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, i) for i in range(10)}
+
+
 def test_decontamination_awkward_rows(spark):
     docs = awkward(spark)
     benchmark = spark.createDataFrame([(1, words(60, 1)), (1, words(60, 1))], "item_id bigint, text string")

@@ -1,8 +1,9 @@
 """Benchmark decontamination: a BM25 index of test items searched with block-max WAND.
 
 Every passage of every document is a query against the index; all items whose score
-reaches the threshold are retrieved and then verified by the five-word shingles that
-question and answer share with the document.
+reaches the threshold are retrieved, and so are all questions that do so alone. They are
+then verified by how many of their words stand in three-word runs that the passage has too,
+which a changed word hardly lowers.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ K1, B = 1.2, 0.75
 BLOCK = 64
 THRESHOLD = 0.6  # share of an item's own full score
 COMMON_SHARE = 0.5  # of the threshold: what an item's commonest terms may make up unseen
-SHINGLE = 5
-MIN_OVERLAP = 0.8
+SHINGLE = 3
+MIN_OVERLAP = 0.8  # of a question's words
+MIN_WHOLE = 0.7  # of an item's words
+MIN_QUESTION = 8  # words from which a question is a leak without its answer
 MIN_PASSAGE = 64
 ITEMS_PER_INDEX = 20_000  # larger sets of items are searched index by index
 ITEM_BYTES_PER_INDEX = 64 << 20
@@ -62,6 +65,24 @@ def shingles(words: list[bytes], size: int = SHINGLE) -> set[tuple[bytes, ...]]:
     return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
 
 
+def coverage(part: list[bytes], here: set[tuple[bytes, ...]], size: int = SHINGLE) -> int:
+    """How many words of ``part`` lie in runs of ``size`` words that ``here`` has."""
+    covered = bytearray(len(part))
+    for i in range(len(part) - size + 1):
+        if tuple(part[i : i + size]) in here:
+            covered[i : i + size] = b"\1" * size
+    return sum(covered)
+
+
+def share_of(part: list[bytes], passage: list[bytes], here: set[tuple[bytes, ...]]) -> float:
+    """The covered share of ``part``; shorter parts stand in the passage or do not; 1 without words."""
+    if not part:
+        return 1.0
+    if len(part) >= SHINGLE:
+        return coverage(part, here) / len(part)
+    return float(any(passage[i : i + len(part)] == part for i in range(len(passage) - len(part) + 1)))
+
+
 @dataclass
 class Item:
     item_id: int
@@ -79,6 +100,7 @@ class Index:
     postings: list[tuple[list[int], list[float], list[float], float]] = field(default_factory=list)
     threshold: float = THRESHOLD
     passage: int = MIN_PASSAGE
+    whole: dict[int, int] = field(default_factory=dict)  # the item's place for each question of its own
 
     @classmethod
     def build(
@@ -237,26 +259,25 @@ def matches_in(text: bytes, index: Index, numbers: Memo, min_overlap: float = MI
     ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
     step = index.passage // 2
     windows = max(1, -(-len(words) // step) - 1)
-    best: dict[int, float] = {}
+    best: dict[int, tuple[float, float, float]] = {}
     for k in index.hopeful(ids, step, windows).tolist():
-        own = np.unique(ids[k * step : k * step + index.passage])
-        own = own[own < outside]
-        for item, score in index.search(own.tolist(), index.threshold):
-            best[item] = max(score, best.get(item, 0.0))
-    if not best:
-        return
-    here = shingles(terms(text))
-    for item, score in sorted(best.items()):
-        shares = []
-        for part in (index.items[item].question, index.items[item].answer):
-            wanted = shingles(part)
-            if wanted and len(part) < SHINGLE:
-                inside = f" {' '.join(w.decode() for w in terms(text))} "
-                shares.append(float(f" {' '.join(w.decode() for w in part)} " in inside))
-            else:
-                shares.append(len(wanted & here) / len(wanted) if wanted else 1.0)
-        if min(shares) >= min_overlap:
-            yield item, score, *shares
+        span = slice(k * step, k * step + index.passage)
+        own = np.unique(ids[span])
+        found = index.search(own[own < outside].tolist(), index.threshold)
+        if not found:
+            continue
+        passage = [t for t in map(term, words[span]) if t]
+        here = shingles(passage)
+        for item, score in found:
+            whole = index.whole.get(item, item)
+            entry = index.items[whole]
+            question = share_of(entry.question, passage, here)
+            leaked = len(entry.question) >= MIN_QUESTION and question >= min_overlap
+            if leaked or share_of(entry.words, passage, here) >= min(MIN_WHOLE, min_overlap):
+                match = score, question, share_of(entry.answer, passage, here)
+                best[whole] = max(match, best.get(whole, match))
+    for item, match in sorted(best.items()):
+        yield item, *match
 
 
 def _items(rows) -> list[Item]:
@@ -267,6 +288,16 @@ def _items(rows) -> list[Item]:
     return found
 
 
+def with_questions(index_of, items: list[Item]) -> Index:
+    """The index of the items and, as entries of their own, the questions that can stand alone."""
+    items = [item for item in items if item.words]
+    alone = [k for k, item in enumerate(items) if item.answer and len(item.question) >= MIN_QUESTION]
+    questions = [Item(items[k].item_id, items[k].question, items[k].question, items[k].answer) for k in alone]
+    index = index_of(items + questions)
+    index.whole = {len(items) + i: k for i, k in enumerate(alone)}
+    return index
+
+
 def _item_words(batches):
     """One row per item and distinct term, with its count."""
     for batch in batches:
@@ -302,7 +333,7 @@ def indexes(benchmark: DataFrame, threshold: float = THRESHOLD):
         read = _items(items.orderBy("item_id").collect())
         counts = Counter(word for item in read for word in set(item.words))
         length = sum(len(item.words) for item in read) / size["n"]
-        yield Index.build(read, counts, size["n"], max(1.0, length), threshold)
+        yield with_questions(lambda all: Index.build(all, counts, size["n"], max(1.0, length), threshold), read)
         return
     words = materialize(map_batches(items, _item_words, "item_id bigint, word string, n bigint"), "item-words")
     length = words.agg(F.sum("n")).first()[0] / size["n"]
@@ -312,7 +343,7 @@ def indexes(benchmark: DataFrame, threshold: float = THRESHOLD):
         here = words.where(mine).select("word").distinct()
         counts = {word.encode(): n for word, n in frequency.join(here, "word").collect()}
         read = _items(items.where(mine).orderBy("item_id").collect())
-        yield Index.build(read, counts, size["n"], max(1.0, length), threshold)
+        yield with_questions(lambda all: Index.build(all, counts, size["n"], max(1.0, length), threshold), read)
 
 
 def benchmark_matches(
@@ -321,8 +352,9 @@ def benchmark_matches(
     """One row per document and test item found in it; other documents have no row.
 
     doc_id, item_id, score (best passage, 1 is a whole item), question_overlap,
-    answer_overlap. An item counts when a passage scores ``threshold`` or more and both
-    shares of its shingles reach ``min_overlap``. Null and empty texts match nothing, nor
+    answer_overlap. An item counts when it, or its question, scores ``threshold`` or more in a
+    passage and ``min_overlap`` of the question's words or ``MIN_WHOLE`` of the item's lie in
+    three-word runs of that passage. Null and empty texts match nothing, nor
     does an empty benchmark. Repeated rows are reported for each row.
     """
     texts = ids_and_texts(docs)
