@@ -226,6 +226,20 @@ def test_repeated_passages_are_cut_once(spark):
     assert all(out[100 + i].text == rows[30 + i][1] for i in range(10))
 
 
+def test_phrases_of_different_documents_are_no_passage(spark):
+    rows, pieces = [(i, words(120, i)) for i in range(6)], []
+    for _, text in rows:
+        ends = chunk_dedup.chunk_ends(text.encode()).tolist()
+        own = next(piece for a, b in zip(ends, ends[1:]) if len((piece := text[a:b]).split()) in range(4, 12))
+        pieces.append(own)
+    mixed = words(40, 50) + " \n" + "".join(pieces) + words(40, 51)
+    assert sum(len(piece.split()) for piece in pieces) >= 24
+    rows += [(10, mixed), (11, f"{words(30, 60)}\n{words(120, 3)} {words(30, 61)}")]
+    out = {r.doc_id: r.text for r in chunk_dedup.cut_repeats(documents(spark, rows)).collect()}
+    assert out[10] == mixed and len(out[11].split()) < 100
+    assert all(out[i] == text for i, text in rows[:6])
+
+
 def test_same_result_in_any_partitioning(spark):
     passage = words(80, 99)
     rows = [(i, f"{words(30, i)} {passage}" * 2) for i in range(20)]

@@ -1,9 +1,10 @@
 """Substring de-duplication by content-defined chunks.
 
 A gear rolling hash over the last eight bytes decides where a chunk ends, so equal
-passages fall into equal chunks wherever they stand in a text. Chunks are known by a
-128-bit digest; a chunk is a repeat if the same digest occurs earlier, by doc_id and
-place. Runs of repeats of enough words are cut out of the text; the first copy stays.
+passages fall into equal chunks wherever they stand in a text. From every chunk on, as many
+chunks as have enough words make a stretch, known by a 128-bit digest; a stretch is a repeat
+if the same digest occurs earlier, by doc_id and place, so its chunks stood together there.
+Repeated stretches are cut out of the text; the first copy stays.
 """
 
 from __future__ import annotations
@@ -83,8 +84,17 @@ def chunk_words(text: bytes, ends: np.ndarray) -> np.ndarray:
     return np.diff(np.cumsum(starts)[ends - 1], prepend=0)
 
 
-def _digests(batches):
-    """One row per chunk: its digest, document, place and words, and whether the task has an earlier one."""
+def stretches(words: np.ndarray, min_words: int) -> np.ndarray:
+    """From each chunk the number of chunks that first have ``min_words``; fewer where the text ends before."""
+    totals = np.concatenate(([0], np.cumsum(words)))
+    last = np.searchsorted(totals, totals[:-1] + min_words)
+    starts = np.arange(len(words))
+    found = last <= len(words)
+    return (np.maximum(last, starts + 1) - starts)[found]
+
+
+def _digests(batches, min_words: int):
+    """One row per stretch: its digest, document, place and chunks, and whether the task has an earlier one."""
     rows: list[np.ndarray] = []
     held = 0
 
@@ -110,7 +120,7 @@ def _digests(batches):
                 }
             )
 
-    kind = np.dtype([("high", "i8"), ("low", "i8"), ("doc_id", "i8"), ("place", "i4"), ("words", "i2")])
+    kind = np.dtype([("high", "i8"), ("low", "i8"), ("doc_id", "i8"), ("place", "i4"), ("chunks", "i4")])
     digest = xxhash.xxh3_128_digest
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch)):
@@ -118,12 +128,16 @@ def _digests(batches):
             ends = cuts.tolist()
             if not ends:
                 continue
-            own = np.zeros(len(ends), kind)
-            packed = b"".join([digest(text[a:b].strip()) for a, b in zip([0, *ends], ends)])
+            counts = stretches(chunk_words(text, cuts), min_words)
+            if not len(counts):
+                continue
+            own = np.zeros(len(counts), kind)
+            chunks = b"".join([digest(text[a:b].strip()) for a, b in zip([0, *ends], ends)])
+            packed = b"".join([digest(chunks[16 * i : 16 * (i + n)]) for i, n in enumerate(counts.tolist())])
             halves = np.frombuffer(packed, "<i8").reshape(-1, 2)
             own["high"], own["low"] = halves[:, 0], halves[:, 1]
-            own["doc_id"], own["place"] = doc_id, np.arange(len(ends))
-            own["words"] = chunk_words(text, cuts)
+            own["doc_id"], own["place"] = doc_id, np.arange(len(counts))
+            own["chunks"] = counts
             rows.append(own)
             held += len(own)
             if held >= FLUSH_CHUNKS:
@@ -133,33 +147,30 @@ def _digests(batches):
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, firsts and lasts: runs of chunks that occur earlier, of ``min_words`` or more.
+    """doc_id, firsts and lasts: runs of chunks, each in a stretch of ``min_words`` or more that occurs earlier.
 
-    Documents without such a run are left out. Within a task all copies of a chunk but the
-    first are marked at once, so a chunk of any number of copies sends one row a task (and
-    million chunks) to its digest.
+    Documents without such a run are left out. Within a task all copies of a stretch but the
+    first are marked at once, so a stretch of any number of copies sends one row a task (and
+    million stretches) to its digest.
     """
     texts = ids_and_texts(docs).where("doc_id is not null")
-    schema = "high bigint, low bigint, doc_id bigint, place int, words smallint, again boolean"
-    chunks = map_batches(texts, _digests, schema)
+    schema = "high bigint, low bigint, doc_id bigint, place int, chunks int, again boolean"
+    chunks = map_batches(texts, lambda batches: _digests(batches, min_words), schema)
     here = F.struct("doc_id", "place")
     chunks = chunks.withColumn("first", F.min(here).over(Window.partitionBy("again", "high", "low")))
     repeats = chunks.where("again or doc_id <> first.doc_id or place <> first.place")
-    repeats = repeats.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("place", "words"))).alias("chunks"))
+    repeats = repeats.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("place", "chunks"))).alias("chunks"))
 
     def runs(batches):
         for batch in batches:
             out = [], [], []
             for doc_id, chunks in zip(batch.column("doc_id").to_pylist(), batch.column("chunks").to_pylist()):
                 places = np.array([chunk["place"] for chunk in chunks])
-                totals = np.cumsum([0, *(chunk["words"] for chunk in chunks)])
-                starts = np.flatnonzero(np.diff(places, prepend=-2) != 1)
-                ends = np.append(starts[1:], len(places))
-                kept = totals[ends] - totals[starts] >= min_words
-                if kept.any():
-                    out[0].append(doc_id)
-                    out[1].append(places[starts[kept]].tolist())
-                    out[2].append(places[ends[kept] - 1].tolist())
+                ends = np.maximum.accumulate(places + [chunk["chunks"] for chunk in chunks])
+                parted = places[1:] > ends[:-1]
+                out[0].append(doc_id)
+                out[1].append(places[np.append(True, parted)].tolist())
+                out[2].append((ends[np.append(parted, True)] - 1).tolist())
             kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
             columns = [pa.array(values, kind) for values, kind in zip(out, kinds)]
             yield pa.record_batch(columns, ["doc_id", "firsts", "lasts"])
