@@ -121,9 +121,131 @@ JOIN known USING (canon)
 """
 
 
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+MINHASH = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
+        ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS s FROM words
+),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM items a JOIN items b ON a.g = b.g AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x
+),
+named AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN named USING (doc_id)
+"""
+
+PHRASES = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+runs AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4, 5]) AS k))
+),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+frequent AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM f WHERE f >= 100),
+cuts AS (
+    SELECT lang, phrase, k, f AS a, c, array_to_string(w[1:c], ' ') AS head, array_to_string(w[c + 1:k], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, k)) AS c FROM frequent)
+),
+scores AS (
+    SELECT cuts.lang, cuts.phrase, cuts.k, a, c, h.f AS l, t.f AS r, n,
+        ((1000 * a::HUGEINT * n::HUGEINT) // (l::HUGEINT * r::HUGEINT))::BIGINT AS score
+    FROM cuts JOIN frequent h ON h.lang = cuts.lang AND h.phrase = head
+        JOIN frequent t ON t.lang = cuts.lang AND t.phrase = tail JOIN totals ON totals.lang = cuts.lang
+),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_runs AS (
+    SELECT lang, f, array_to_string(w[i:i + m - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM frequent))
+),
+longer AS (SELECT lang, phrase, max(f) AS longest FROM inner_runs GROUP BY ALL),
+ranked AS (
+    SELECT lowest.*, row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, a DESC, lowest.phrase) AS rank
+    FROM lowest LEFT JOIN longer ON longer.lang = lowest.lang AND longer.phrase = lowest.phrase
+    WHERE coalesce(100 * longest < 100 * a, true)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+# CRC-32 by its table of 256 entries, which the first query makes from the polynomial.
+IMPORTANCE = rf"""
+WITH crc AS (
+    SELECT list(v ORDER BY b) AS entries FROM (
+        SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM (SELECT unnest(range(256)) AS b)
+    )
+),
+words AS (
+    SELECT 'd' AS side, doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    UNION ALL
+    SELECT 'b', item_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+),
+runs AS (
+    SELECT side, doc_id, array_to_string(w[i:i + k - 1], ' ') AS feature FROM (
+        SELECT side, doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM words, (SELECT unnest([1, 2, 3]) AS k)
+    )
+),
+counts AS (SELECT side, doc_id, feature, count(*) AS n FROM runs GROUP BY ALL),
+features AS (
+    SELECT feature, [('0x' || substr(x, (2 * i + 1)::BIGINT, 2))::BIGINT FOR i IN range(len(x) // 2)] AS bytes
+    FROM (SELECT feature, hex(encode(feature)) AS x FROM (SELECT DISTINCT feature FROM counts))
+),
+hashed AS (
+    SELECT feature, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b:
+        xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM features, crc
+),
+per_doc AS (SELECT side, doc_id, bucket, sum(n) AS n FROM counts JOIN hashed USING (feature) GROUP BY ALL),
+sums AS (
+    SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::DOUBLE AS t
+    FROM per_doc GROUP BY bucket
+),
+gains AS (
+    SELECT bucket, floor(1000 * ln(((t + 1) * (sum(s) OVER () + 10000)) / ((s + 1) * (sum(t) OVER () + 10000)))) AS gain
+    FROM sums
+),
+weighed AS (
+    SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+    FROM per_doc JOIN gains USING (bucket) WHERE side = 'd' GROUP BY doc_id
+),
+scores AS (
+    SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+            / 4294967296)))::BIGINT AS score
+    FROM (SELECT * FROM words WHERE side = 'd') LEFT JOIN weighed USING (doc_id)
+),
+drawn AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scores WHERE n_words >= 20
+    QUALIFY rank <= (5 * count(*) OVER ()) // 100
+)
+SELECT scores.doc_id, n_features, weight, score, rank FROM scores LEFT JOIN drawn USING (doc_id)
+"""
+
+
 def oracle() -> dict[str, str]:
     return {
         "op1_quality_rules": QUALITY_RULES,
         "op2_url_filter": URL_FILTER,
         "op7_licences": _licences(),
+        "op11_minhash": MINHASH,
+        "op12_phrases": PHRASES,
+        "op13_importance": IMPORTANCE,
     }

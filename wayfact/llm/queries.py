@@ -11,7 +11,10 @@ from wayfact.llm import (
     bpe,
     chunk_dedup,
     decontaminate,
+    importance,
     licences,
+    minhash,
+    phrases,
     pu_quality,
     quality_rules,
     simhash,
@@ -96,6 +99,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.importance_resampling(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
