@@ -146,6 +146,16 @@ def may_link(left: str, right: str, percent: int) -> Column:
     return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (distance(left, right) <= FARTHEST)
 
 
+def with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (src, dst) with the texts of both, left and right."""
+    pairs = materialize(pairs.select("src", "dst"), "pairs")
+    ends = pairs.select(F.col("src").alias("doc_id")).union(pairs.select("dst")).distinct()
+    texts = with_ids(ids_and_texts(docs), ends, "left_semi")
+    left = texts.select(F.col("doc_id").alias("src"), F.col("text").alias("left"))
+    right = texts.select(F.col("doc_id").alias("dst"), F.col("text").alias("right"))
+    return pairs.join(left, "src").join(right, "dst").select("src", "dst", "left", "right")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (src, dst) whose full sets share at least ``percent`` of their union."""
 
@@ -160,23 +170,92 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["src", "dst"])
 
-    pairs = materialize(pairs.select("src", "dst"), "pairs")
-    ends = pairs.select(F.col("src").alias("doc_id")).union(pairs.select("dst")).distinct()
-    texts = with_ids(ids_and_texts(docs), ends, "left_semi")
-    left = texts.select(F.col("doc_id").alias("src"), F.col("text").alias("left"))
-    right = texts.select(F.col("doc_id").alias("dst"), F.col("text").alias("right"))
-    joined = pairs.join(left, "src").join(right, "dst").select("src", "dst", "left", "right")
-    return materialize(map_batches(joined, verify, "src bigint, dst bigint"), "links")
+    return materialize(map_batches(with_texts(pairs, docs), verify, "src bigint, dst bigint"), "links")
+
+
+def differences(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """Of pairs (ref, id): n and m, the sizes of the sets of id and ref, and delta, in which they differ.
+
+    What id has and ref lacks comes first, then what it lacks, each by value: one order of all
+    elements for all sets compared with the same ref.
+    """
+
+    def scan(batches):
+        for batch in batches:
+            own, at = shingles(batch.column("right"), size)
+            ref, to = shingles(batch.column("left"), size)
+            n, m, deltas = [], [], []
+            for a, b, c, d in zip(at[:-1].tolist(), at[1:].tolist(), to[:-1].tolist(), to[1:].tolist()):
+                x, y = np.unique(own[a:b]), np.unique(ref[c:d])
+                n.append(len(x))
+                m.append(len(y))
+                more = np.setdiff1d(x, y, assume_unique=True)
+                deltas.append(np.concatenate((more, np.setdiff1d(y, x, assume_unique=True))).view(np.int64))
+            yield pa.record_batch(
+                {
+                    "ref": batch.column("src"),
+                    "id": batch.column("dst"),
+                    "n": pa.array(n, pa.int64()),
+                    "m": pa.array(m, pa.int64()),
+                    "delta": pa.array(deltas, pa.list_(pa.int64())),
+                }
+            )
+
+    joined = with_texts(pairs.select(F.col("ref").alias("src"), F.col("id").alias("dst")), docs)
+    return map_batches(joined, scan, "ref bigint, id bigint, n bigint, m bigint, delta array<bigint>")
+
+
+def links_by_differences(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """All links between members (ref, id, label) of one ref, and to it, that lie in different labels.
+
+    Two sets x and y differ in |dx| + |dy| - 2 |dx and dy| elements, dx and dy being their
+    differences to ref. So, unless both are linked to ref, they link only if dx and dy share
+    at least ``need`` elements, one at least, and then also one of the first elements of each
+    in the common order. Random edits of copies seldom share any, so copies that are too
+    different to link make few pairs, not their square.
+    """
+    deltas = differences(members.select("ref", "id"), docs, size).withColumn("d", F.size("delta").cast("bigint"))
+    low, high = 100 - percent, 100 + percent  # sets link if high * (elements they differ in) <= low * (n + m)
+    deltas = deltas.withColumn("close", high * F.col("d") <= low * (F.col("n") + F.col("m")))
+    deltas = materialize(deltas.join(members, ["ref", "id"]), "deltas")
+    to_ref = deltas.where("close and id <> ref").select(F.col("ref").alias("src"), F.col("id").alias("dst"))
+
+    # Fewest elements shared with any partner that links: a partner's difference is itself
+    # bounded, from above by what is shared, or is that of a set not linked to ref.
+    excess = high * F.col("d") - low * (F.col("n") + F.col("m"))
+    fewest = F.when(F.col("close"), F.floor((high - low) * F.col("d") / (2 * high))).otherwise(
+        F.ceil(excess / F.lit(high + low))
+    )
+    firsts = F.expr("slice(delta, 1, cast(d - greatest(1, fewest) + 1 as int))")
+    spread = deltas.where("d > 0").withColumn("fewest", fewest)
+    spread = spread.select("ref", "id", "label", "n", "d", "close", F.posexplode(firsts).alias("at", "element"))
+    a, b = spread.alias("a"), spread.alias("b")
+
+    def need(x: str, y: str) -> Column:  # twice ``high`` times what both differences must share
+        sizes = F.col(f"{x}.n") + F.col(f"{y}.n")
+        return high * (F.col(f"{x}.d") + F.col(f"{y}.d")) - low * sizes
+
+    most = F.least(F.col("a.d") - F.col("a.at"), F.col("b.d") - F.col("b.at"))  # if this is the first shared
+    on = (F.col("a.ref") == F.col("b.ref")) & (F.col("a.element") == F.col("b.element"))
+    on &= (F.col("a.id") < F.col("b.id")) & (F.col("a.label") != F.col("b.label"))
+    on &= ~(F.col("a.close") & F.col("b.close")) & (need("a", "b") <= 2 * high * most)
+    pairs = a.join(b, on).select("a.ref", F.col("a.id").alias("src"), F.col("b.id").alias("dst")).distinct()
+    x = deltas.select("ref", F.col("id").alias("src"), F.struct("n", "d", "delta").alias("x"))
+    y = deltas.select("ref", F.col("id").alias("dst"), F.struct("n", "d", "delta").alias("y"))
+    shared = F.size(F.array_intersect("x.delta", "y.delta"))
+    linked = pairs.join(x, ["ref", "src"]).join(y, ["ref", "dst"]).where(need("x", "y") <= 2 * high * shared)
+    return to_ref.union(linked.select("src", "dst"))
 
 
 def links_between(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (src, dst) that join all classes (id, n, signature) which links connect.
 
     The members of a key first meet the key's smallest one: each is confirmed against the
-    one it shares most keys with, then against all whose group is still another. Of what is
-    then left, the members of one key that lie in different groups meet each other. A pair
-    is passed over only where links already connect it, so the groups are those of all
-    links, while a key of g near copies makes g pairs or a few times that, not its square.
+    one it shares most keys with, then against all whose group is still another. Keys whose
+    members then lie in different groups are resolved by the members' differences to the
+    smallest of them. A pair is passed over only where links already connect it or cannot
+    link it, so the groups are those of all links, while a key of g near copies makes g pairs
+    or a few times that, not its square.
     """
     facts = classes.select("id", F.struct("n", *SIGNATURE).alias("facts"))
     keyed = classes.select("id", F.explode(keys()).alias("key"))
@@ -207,15 +286,10 @@ def links_between(classes: DataFrame, docs: DataFrame, size: int, percent: int)
     found = first.union(second)
     groups = materialize(components(found), "groups")
     tagged = materialize(labelled(members, "id", groups, "label"), "tagged")
-    mixed = tagged.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = mixed.where("low <> high").select("key")
-    open_ = tagged.where("id <> pivot").join(mixed, "key", "left_semi").join(facts, "id")
-    open_ = materialize(open_.select("key", "id", "label", "facts.*"), "open")
-    a, b = open_.alias("a"), open_.alias("b")
-    apart = (F.col("a.label") != F.col("b.label")) & (F.col("a.id") < F.col("b.id"))
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & apart & may_link("a", "b", percent))
-    met = met.select(F.col("a.id").alias("src"), F.col("b.id").alias("dst")).distinct()
-    return found.union(confirmed(met, docs, size, percent))
+    mixed = tagged.groupBy("key").agg(F.min("label").alias("ref"), F.max("label").alias("high"))
+    mixed = mixed.where("ref <> high").select("key", "ref")
+    left = materialize(tagged.join(mixed, "key").select("ref", "id", "label").distinct(), "left")
+    return found.union(links_by_differences(left, docs, size, percent))
 
 
 def minhash_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
