@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import SCHEMA, awkward, empty
 from hypothesis import given, settings, strategies as st
@@ -104,8 +105,6 @@ def test_scores_beyond_64_bits(spark):
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 5), min_size=3, max_size=3), max_size=30))
 def test_keys_are_equal_for_equal_rows_only(rows):
-    import numpy as np
-
     columns = [np.array([r[i] for r in rows], np.int64) for i in range(3)]
     for width in (6, 1 << 40):  # the latter does not fit in one number
         keys = phrases.run_keys(columns[0], 6, columns[1:], width).tolist()
@@ -113,17 +112,21 @@ def test_keys_are_equal_for_equal_rows_only(rows):
 
 
 def test_the_bit_table_holds_all_that_is_in_it(spark):
-    frame = spark.createDataFrame([("en", f"w{i} v{i % 7}") for i in range(5000)], "lang string, phrase string")
-    known = phrases.filter_of(frame, 2)
-    import pyarrow as pa
-
-    def share(values, lang):
-        words = phrases.Words(pa.array(values), pa.array([lang] * len(values)))
-        starts, hashes = words.runs(2)
-        return known.holds(hashes[starts]).mean()
-
-    assert share([f"w{i} v{i % 7}" for i in range(5000)], "en") == 1
-    assert share([f"w{i} v{i % 7}" for i in range(5000)], "de") < 0.1
+    draw = np.random.default_rng(2)
+    values = draw.integers(-(1 << 63), (1 << 63) - 1, 5000)
+    known = phrases.filter_of(spark.createDataFrame([(v,) for v in values.tolist()], "h bigint"))
+    assert known.holds(values.view(np.uint64)).all()
+    assert known.holds(draw.integers(0, 1 << 63, 5000).astype(np.uint64)).mean() < 0.1
+
+
+def test_hashed_counts_are_those_of_the_words(spark):
+    rows = texts(6)
+    hashed = phrases.hashed_counts(phrases.prepared(table(spark, rows)))
+    words = hashed.where("h = l").agg({"n": "sum"}).first()[0]
+    lowered = [re.split(r"[.,;:!?\n\v\f\r]", t.lower()) for _, t in rows if t]
+    sizes = [len([w for w in re.split(r"[ \t]", p) if w]) for t in lowered for p in t]
+    assert words == sum(sizes)
+    assert hashed.where("h <> l").agg({"n": "sum"}).first()[0] == sum(2 * n - 1 for n in sizes if n)
 
 
 def test_awkward_rows(spark):

@@ -4,9 +4,12 @@ Documents are dealt to ``SHARDS`` shards. A phrase that occurs ``support`` times
 occurs in some shard at least in proportion to the shard's share of the words, so each shard
 is mined completely at that lowered support; the union of what any shard found holds every
 frequent phrase, and all of it is counted over all shards. Shards are groups of rows, not
-tasks: their counts are made in batches, summed by Spark, and grow with the input. Words come
-first, then longer phrases, of which only those are counted whose two parts, one word
-shorter, are frequent; a bit table of bounded size tells that.
+tasks: their counts are made in batches, summed by Spark, and grow with the input.
+
+The texts are read twice. First every word and pair of words is counted as a 64-bit hash, by
+shard, and a bit table of bounded size takes the pairs and words that some shard found. Then
+these, and the longer runs all of whose pairs are in the table, are counted as they are
+written, so no hash enters a result.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ ABSORB = 100  # percent of a phrase's count at which a longer one takes its plac
 TOP = 2000
 SHARDS = 16  # a phrase needs some 6 of its 100 occurrences in one of them
 ID_BLOCK = 4096  # documents with neighbouring ids share a shard, so batches count much at once
-FLUSH = 8 << 20  # bytes of text counted at once in a task
+FLUSH = 4 << 20  # bytes of text counted at once in a task
+OUT = 1 << 16  # rows a task hands over at once
 BITS_EACH = 32  # bits of the table for each frequent phrase ...
 LOG_BITS = (16, 27)  # ... within these powers of two: 16 MB at most
 UNKNOWN = "und"
@@ -38,12 +42,14 @@ MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    """shard, lang and text; a null text is empty, a null lang is ``und``."""
+    """shard, lang, l (a hash of lang) and text; a null text is empty, a null lang is ``und``."""
     prepare(docs.sparkSession)
     doc_id = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0))
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN))
     return docs.select(
         F.pmod(F.floor(doc_id / ID_BLOCK), F.lit(SHARDS)).cast("int").alias("shard"),
-        F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
+        lang.alias("lang"),
+        F.xxhash64(lang).alias("l"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
 
@@ -73,7 +79,7 @@ def _extend(runs: np.ndarray, words: np.ndarray) -> np.ndarray:
 class Words:
     """All words of some texts: their codes, pieces and rows, and the hashes of runs of them."""
 
-    def __init__(self, texts: pa.StringArray, langs: pa.StringArray, pieces: bool = True) -> None:
+    def __init__(self, texts: pa.StringArray, l: np.ndarray, pieces: bool = True) -> None:
         if pieces:  # a full stop cannot be part of a word, so it stands for every end of a piece
             texts = pc.replace_substring_regex(pc.ascii_lower(texts), r"[.,;:!?\n\v\f\r]+", " . ")
         found = split_words(texts)
@@ -86,13 +92,10 @@ class Words:
         self.rows = rows[~ends]
         self.pieces = (np.cumsum(ends) + rows)[~ends]
         self._words = _hashes(self.vocabulary)[self.codes]
-        coded = langs.dictionary_encode()
-        self.langs = coded.dictionary
-        self.lang_of = np.asarray(coded.indices, np.int64)
-        self._start = _hashes(self.langs)[self.lang_of][self.rows]
+        self._start = l.view(np.uint64)[self.rows]
 
     def runs(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Where runs of ``size`` words of one piece start, and a hash of each with its language."""
+        """Where runs of ``size`` words of one piece start, and a hash of each with its language's."""
         hashes = self._start
         for i in range(size):
             hashes = _extend(hashes[: len(hashes) - bool(i)], self._words[i:])
@@ -117,20 +120,13 @@ class Filter:
         return (self.bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def filter_of(frequent: DataFrame, size: int) -> Filter:
-    """The bit table of phrases (lang, phrase) of ``size`` words; its size follows their number."""
+def filter_of(frequent: DataFrame) -> Filter:
+    """The bit table of the hashes h; its size follows their number."""
     log_bits = min(max((BITS_EACH * frequent.count()).bit_length(), LOG_BITS[0]), LOG_BITS[1])
-
-    def scan(batches):
-        for batch in batches:
-            words = Words(batch.column("phrase"), batch.column("lang"), pieces=False)
-            starts, hashes = words.runs(size)
-            place = hashes[starts] >> np.uint64(64 - log_bits)
-            bit = (np.uint64(1) << (place & np.uint64(63))).view(np.int64)
-            yield pa.record_batch({"slot": pa.array((place >> np.uint64(6)).astype(np.int64)), "bit": pa.array(bit)})
-
-    rows = map_batches(frequent.select("lang", "phrase"), scan, "slot bigint, bit bigint")
-    return Filter(log_bits, rows.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow())
+    place = F.shiftrightunsigned("h", 64 - log_bits)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - log_bits}) & 63 as int))")
+    rows = frequent.groupBy(F.shiftright(place, 6).alias("slot")).agg(F.bit_or(bit).alias("bits"))
+    return Filter(log_bits, rows.toArrow())
 
 
 def run_keys(groups: np.ndarray, n_groups: int, columns: list[np.ndarray], width: int) -> np.ndarray:
@@ -144,82 +140,125 @@ def run_keys(groups: np.ndarray, n_groups: int, columns: list[np.ndarray], width
     return key
 
 
-def shard_counts(texts: DataFrame, size: int, parts: Filter | None) -> DataFrame:
-    """shard, lang, phrase and n: how often each run of ``size`` words occurs in each shard.
+def by_group(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, list[tuple[int, int, int, int]]]:
+    """The rows ordered by shard and language, and (shard, l, first row, end) of each group."""
+    shards, l = (batch.column(name).to_numpy() for name in ("shard", "l"))
+    order = np.lexsort((l, shards))
+    shards, l = shards[order], l[order]
+    cuts = np.flatnonzero((np.diff(shards) != 0) | (np.diff(l) != 0)) + 1
+    firsts = [0, *cuts.tolist()]
+    groups = [(int(shards[a]), int(l[a]), a, b) for a, b in zip(firsts, [*firsts[1:], len(order)])]
+    return batch.take(pa.array(order)), groups
 
-    With ``parts`` only runs are counted both of whose parts of one word less it holds.
+
+def hashed_counts(texts: DataFrame) -> DataFrame:
+    """shard, l, h and n: how often each word and pair occurs in a shard; h is l for all words together."""
+
+    def scan(batches):
+        for batch in gathered(batches, "text"):
+            batch, groups = by_group(batch)
+            words = Words(batch.column("text"), batch.column("l").to_numpy())
+            ones = words.runs(1)
+            twos = words.runs(2)
+            for shard, l, a, b in groups:
+                low, high = np.searchsorted(words.rows, (a, b))
+                found, counts = [np.array([l]).view(np.uint64)], [np.array([high - low])]
+                for starts, hashes in (ones, twos):
+                    cut = slice(*np.searchsorted(starts, (low, high)))
+                    h, n = np.unique(hashes[starts[cut]], return_counts=True)
+                    found.append(h)
+                    counts.append(n)
+                found, counts = np.concatenate(found).view(np.int64), np.concatenate(counts)
+                for at in range(0, len(found), OUT):
+                    h = found[at : at + OUT]
+                    yield pa.record_batch(
+                        {
+                            "shard": pa.array(np.full(len(h), shard, np.int32)),
+                            "l": pa.array(np.full(len(h), l, np.int64)),
+                            "h": pa.array(h),
+                            "n": pa.array(counts[at : at + OUT].astype(np.int64)),
+                        }
+                    )
+
+    # A hash is there once a batch at most, so no task gets more of one than there are batches.
+    rows = map_batches(texts.select("shard", "l", "text"), scan, "shard int, l bigint, h bigint, n bigint")
+    return rows.repartition("h").groupBy("shard", "l", "h").agg(F.sum("n").alias("n"))
+
+
+def written_counts(texts: DataFrame, longest: int, pairs: Filter) -> DataFrame:
+    """shard, lang, size, phrase and n: occurrences in a shard of what the table holds.
+
+    Runs of three words or more are counted if it holds all their pairs.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(parts)
+    shared = texts.sparkSession.sparkContext.broadcast(pairs)
 
     def scan(batches):
         known = shared.value
         for batch in gathered(batches, "text"):
-            words = Words(batch.column("text"), batch.column("lang"))
-            if known is None:
-                starts, _ = words.runs(size)
-            else:
-                shorter, hashes = words.runs(size - 1)
-                good = np.zeros(len(words.codes) + 1, bool)
-                good[shorter] = known.holds(hashes[shorter])
-                starts, _ = words.runs(size)
-                starts = starts[good[starts] & good[starts + 1]]
-            if not len(starts):
-                continue
-            shards = batch.column("shard").to_numpy()
-            row = words.rows[starts]
-            group = shards[row].astype(np.int64) * len(words.langs) + words.lang_of[row]
-            columns = [words.codes[starts + i] for i in range(size)]
-            keys = run_keys(group, SHARDS * len(words.langs), columns, len(words.vocabulary))
-            _, first, counts = np.unique(keys, return_index=True, return_counts=True)
-            row = row[first]
-            phrases = words.phrases(starts[first], size)
-            langs = words.langs.take(pa.array(words.lang_of[row]))
-            for a in range(0, len(first), 1 << 16):
-                cut = slice(a, a + (1 << 16))
-                yield pa.record_batch(
-                    {
-                        "shard": pa.array(shards[row[cut]], pa.int32()),
-                        "lang": langs[cut],
-                        "phrase": phrases[cut],
-                        "n": pa.array(counts[cut].astype(np.int64)),
-                    }
-                )
-
-    counted = map_batches(texts, scan, "shard int, lang string, phrase string, n bigint")
-    return counted.groupBy("shard", "lang", "phrase").agg(F.sum("n").alias("n"))
+            batch, groups = by_group(batch)
+            words = Words(batch.column("text"), batch.column("l").to_numpy())
+            group = np.repeat(np.arange(len(groups)), [b - a for _, _, a, b in groups])
+            good = np.zeros(len(words.codes), bool)  # whether the table holds the pair that starts here
+            for size in range(1, longest + 1):
+                starts, hashes = words.runs(size)
+                if size <= 2:
+                    starts = starts[known.holds(hashes[starts])]
+                    if size == 2:
+                        good[starts] = True
+                else:
+                    for i in range(size - 1):
+                        starts = starts[good[starts + i]]
+                if not len(starts):
+                    continue
+                columns = [words.codes[starts + i] for i in range(size)]
+                keys = run_keys(group[words.rows[starts]], len(groups), columns, len(words.vocabulary))
+                _, first, counts = np.unique(keys, return_index=True, return_counts=True)
+                row = words.rows[starts[first]]
+                phrases = words.phrases(starts[first], size)
+                found = batch.select(["shard", "lang"]).take(pa.array(row))
+                for at in range(0, len(first), OUT):
+                    cut = found.slice(at, OUT)
+                    yield pa.record_batch(
+                        {
+                            "shard": cut.column("shard"),
+                            "lang": cut.column("lang"),
+                            "size": pa.array(np.full(cut.num_rows, size, np.int32)),
+                            "phrase": phrases.slice(at, OUT),
+                            "n": pa.array(counts[at : at + OUT].astype(np.int64)),
+                        }
+                    )
+
+    rows = map_batches(texts, scan, "shard int, lang string, size int, phrase string, n bigint")
+    return rows.groupBy("shard", "lang", "size", "phrase").agg(F.sum("n").alias("n"))
+
+
+def united(counts: DataFrame, weights: DataFrame, by: list[str], keys: list[str], support: int) -> DataFrame:
+    """``keys`` and f of all that some shard found at its share of the support and that has it over all."""
+    # n >= support * part / whole, in whole numbers
+    enough = F.col("n").cast("decimal(19,0)") * F.col("whole").cast("decimal(19,0)") >= F.lit(support).cast(
+        "decimal(9,0)"
+    ) * F.col("part").cast("decimal(19,0)")
+    local = counts.join(weights, ["shard", *by]).select(*keys, "n", enough.alias("found"))
+    sums = local.groupBy(*keys).agg(F.sum("n").alias("f"), F.max("found").alias("found"))
+    return sums.where(F.col("found") & (F.col("f") >= support)).drop("found")
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """All phrases of up to ``longest`` words with ``support`` occurrences in a language, and the words of each language.
 
-    The first has lang, phrase, size and f, the second lang and n.
+    The first has lang, size, phrase and f, the second lang and n.
     """
     texts = prepared(docs)
-    levels, totals, weights, parts = [], None, None, None
-    for size in range(1, longest + 1):
-        counts = shard_counts(texts, size, parts)
-        if size == 1:
-            counts = materialize(counts, "words")
-            weights = materialize(counts.groupBy("shard", "lang").agg(F.sum("n").alias("part")), "weights")
-            totals = materialize(weights.groupBy("lang").agg(F.sum("part").alias("n")), "totals")
-            weights = weights.join(totals.withColumnRenamed("n", "whole"), "lang")
-        # n >= support * part / whole, in whole numbers
-        enough = F.col("n").cast("decimal(19,0)") * F.col("whole").cast("decimal(19,0)") >= F.lit(support).cast(
-            "decimal(9,0)"
-        ) * F.col("part").cast("decimal(19,0)")
-        local = counts.join(weights, ["shard", "lang"]).select("lang", "phrase", "n", enough.alias("found"))
-        united = local.groupBy("lang", "phrase").agg(F.sum("n").alias("f"), F.max("found").alias("found"))
-        frequent = united.where(F.col("found") & (F.col("f") >= support)).select("lang", "phrase", "f")
-        frequent = materialize(frequent, f"phrases{size}")
-        levels.append(frequent.withColumn("size", F.lit(size)))
-        if frequent.isEmpty():
-            break
-        if size < longest:
-            parts = filter_of(frequent, size)
-    everything = levels[0]
-    for level in levels[1:]:
-        everything = everything.unionByName(level)
-    return everything, totals
+    langs = texts.select("lang", "l").distinct()
+    hashed = materialize(hashed_counts(texts), "hashed")
+    parts = hashed.where("h = l").join(langs, "l").select("shard", "lang", "l", F.col("n").alias("part"))
+    parts = materialize(parts, "parts")
+    totals = materialize(parts.groupBy("lang").agg(F.sum("part").alias("n")), "totals")
+    weights = materialize(parts.join(totals.withColumnRenamed("n", "whole"), "lang"), "weights")
+    likely = materialize(united(hashed.where("h <> l"), weights, ["l"], ["l", "h"], support), "likely")
+    written = written_counts(texts, longest, filter_of(likely))
+    phrases = united(written, weights.drop("l"), ["lang"], ["lang", "size", "phrase"], support)
+    return materialize(phrases, "phrases"), totals
 
 
 def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
