@@ -34,6 +34,8 @@ def test_both_models_are_scored(spark, fitted):
     assert {r.model for r in rows} == {models.LOGISTIC, models.FOREST}
     assert rows[0].f1_score >= rows[1].f1_score
     assert all(r.test_rows == 60 and 0.0 <= r.roc_auc <= 1.0 for r in rows)
+    times = models.runtimes(spark, fitted).collect()
+    assert len(times) == 2 and all(t.runtime_seconds > 0 for t in times)
     forest = next(r for r in rows if r.model == models.FOREST)
     assert forest.accuracy > 0.9
 
@@ -60,11 +62,38 @@ def test_model_can_be_saved_and_read(spark, fitted, tmp_path):
     assert [r.prediction for r in again.collect()] == [r.prediction for r in once.collect()]
 
 
-def test_split_is_repeatable(spark):
+def test_split_is_the_same_for_any_partitioning(spark):
     rows = spark.range(0, 1000, 1, 4)
-    first, second = (models.split_rows(rows)[0] for _ in range(2))
-    assert first.exceptAll(second).count() == 0
-    assert 750 < first.count() < 850
+    train, test = models.split_rows(rows, ["id"])
+    again, _ = models.split_rows(rows.repartition(7).orderBy(F.desc("id")), ["id"])
+    assert sorted(train.collect()) == sorted(again.collect())
+    assert 750 < train.count() < 850 and train.unionByName(test).distinct().count() == 1000
+    assert models.split_rows(rows, ["id"], seed=7)[0].exceptAll(train).count() > 0
+
+
+def test_fit_is_near_its_optimum(spark, fitted):
+    row = models.logistic_optimum(fitted[0], labelled(spark).where("dataset_split = 'train'")).first()
+    assert row.row_count == 180 and row.feature_count == len(fitted[0].weights)
+    assert row.gradient < 1e-2 and 0 < row.loss < 0.7
+
+
+def test_every_input_is_ranked_and_a_number_first_by_the_forest(spark, fitted):
+    """The label follows the hour, which all numbers carry, and nothing else."""
+    test = labelled(spark).withColumn("pickup_hour", F.monotonically_increasing_id())
+    rows = models.permutation_ranks(fitted, test).collect()
+    for fit in fitted:
+        own = [r for r in rows if r.model == fit.name]
+        assert sorted(r["rank"] for r in own) == list(range(1, len(models.NUMERIC) + len(models.CATEGORICAL) + 1))
+        if fit.name == models.FOREST:  # a linear model cannot follow hours in the middle of the day
+            assert min(own, key=lambda r: r["rank"]).feature in models.NUMERIC
+
+
+def test_prepared_features_hold_every_slot(spark):
+    rows = labelled(spark).withColumn("pickup_hour", F.monotonically_increasing_id())
+    found = models.prepared_features(rows)
+    per_key = found.groupBy("pickup_hour", "pickup_borough").count().collect()
+    assert len(per_key) == 240 and len({r["count"] for r in per_key}) == 1
+    assert found.where("value is null").count() == 0
 
 
 def test_metrics_are_zero_on_empty_denominators(spark):
@@ -84,13 +113,16 @@ def test_confusion_rows(spark, fitted):
 def test_tip_classifier(spark):
     trips = spark.range(400).select(
         F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("pickup_timestamp"),
+        F.col("id").alias("pickup_location_id"),
+        F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz").alias("dropoff_timestamp"),
         F.lit(1).alias("payment_type"),
         (F.col("id") % 50 + 1).cast("double").alias("fare_amount"),
         (F.col("id") % 9 + 1).cast("double").alias("trip_distance_miles"),
         F.when(F.col("id") % 10 != 0, 1.0).alias("passenger_count"),
         F.when(F.col("id") % 50 > 20, 1.0).otherwise(0.0).alias("tip_amount"),
     )
-    rows = models.tip_target(trips)
+    rows = models.tip_target(trips, models.TIP_KEYS)
+    assert models.tip_target(trips).columns == [*models.TIP_FEATURES, "tipped"]
     assert rows.count() == 360
     assert [r.tipped for r in models.class_balance(rows, "tipped").collect()] == [0, 1]
     found = {(r.kind, r.name): r.value for r in models.fit_tip_classifier(rows).collect()}

@@ -19,6 +19,7 @@ SAMPLE = """
     repair_then_median median_impute iqr_outliers zscore quartile_bins tip_quantiles
     event_log_metrics condition_summary monthly_borough_summary monthly_tipping_summary
     daily_demand report_period_compare report_hourly report_daily_vs_hourly report_top_zones
+    tip_split areas_under_roc prepared_features logistic_optimum ranked_feature_names
     check_consistency label_high_demand label_distribution binary_metrics confusion_long
 """.split()
 
@@ -39,7 +40,9 @@ def test_matches_sql(spark, connection, name):
 
 def test_names_agree():
     without_sql = set(registered()) - set(oracle())
-    assert without_sql == {"demand_models", "feature_ranking", "storage_footprint", "tip_classifier"}
+    assert without_sql == {
+        "demand_models", "feature_ranking", "permutation_importance", "storage_footprint", "tip_classifier"
+    }
     assert set(registered()) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 

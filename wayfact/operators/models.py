@@ -6,10 +6,8 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
@@ -17,11 +15,14 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wayfact.functions import conditions, exact
+from wayfact.operators import evaluation
 from wayfact.operators.clean import drop_nulls
 from wayfact.operators.demand import HIGH, NORMAL
+from wayfact.session import materialize
 
 # Fixed values.
 CATEGORICAL = ("pickup_day_of_week", "pickup_borough", "weather_condition")
@@ -39,12 +40,15 @@ NUMERIC = (
     "precipitation_trace_indicator",
 )
 TIP_FEATURES = ("trip_distance_miles", "fare_amount", "passenger_count", "hour")
+TIP_KEYS = ("pickup_timestamp", "dropoff_timestamp", "pickup_location_id")
+DEMAND_KEYS = ("pickup_hour", "pickup_borough")
+REGULARIZATION = 0.05
 LOGISTIC, FOREST = "Logistic Regression", "Random Forest"
 SEED = 42
 METRICS_SCHEMA = (
     "model string, test_rows bigint, true_positive bigint, true_negative bigint, "
     "false_positive bigint, false_negative bigint, accuracy double, precision double, "
-    "recall double, f1_score double, roc_auc double, runtime_seconds double"
+    "recall double, f1_score double, roc_auc double"
 )
 FEATURE_SCHEMA = "model string, feature string, value double, signed boolean"
 
@@ -64,7 +68,7 @@ def preparation_stages(
     ]
 
 
-def logistic_pipeline(max_iter: int = 100, reg: float = 0.05) -> Pipeline:
+def logistic_pipeline(max_iter: int = 100, reg: float = REGULARIZATION) -> Pipeline:
     return Pipeline(
         stages=[
             *preparation_stages(),
@@ -152,9 +156,10 @@ def confusion_long(metrics: DataFrame, positive: str = HIGH, negative: str = NOR
 
 
 def area_under_roc(predictions: DataFrame, label: str = "label") -> float:
-    return BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC"
-    ).evaluate(predictions)
+    """The exact area; zero if a class is absent."""
+    scored = predictions.select(label, vector_to_array("rawPrediction")[1].alias("score"))
+    row = evaluation.areas_under_roc(scored, label, ["score"]).first()
+    return float(row["area"] or 0.0) if row else 0.0
 
 
 def feature_names(predictions: DataFrame, column: str = "features") -> list[str]:
@@ -183,6 +188,7 @@ class Fitted:
     model: PipelineModel
     metrics: tuple
     weights: list[tuple]
+    seconds: float  # wall time, kept out of the result tables
 
 
 def fit_and_score(
@@ -191,15 +197,15 @@ def fit_and_score(
     """Fit on ``train`` and score on ``test``; both are demand tables."""
     started = time.perf_counter()
     model = pipeline.fit(train)
-    predictions = model.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = model.transform(test).select("features", "label", "rawPrediction", "prediction")
+    predictions = materialize(scored, "predictions")
     row = binary_metrics(predictions, "label", "prediction").first()
     seconds = round(time.perf_counter() - started, 3)
     auc = round(float(area_under_roc(predictions)), 6) if row["test_rows"] else 0.0
     stage = model.stages[-1]
     signed = hasattr(stage, "coefficients")
     values = stage.coefficients if signed else stage.featureImportances
-    names = feature_names(predictions)
-    predictions.unpersist()
+    names = feature_names(scored)
     order = (
         "test_rows",
         "true_positive",
@@ -214,8 +220,9 @@ def fit_and_score(
     return Fitted(
         name,
         model,
-        (name, *[row[key] for key in order], auc, seconds),
+        (name, *[row[key] for key in order], auc),
         [(name, slot, float(value), signed) for slot, value in zip(names, values.toArray())],
+        seconds,
     )
 
 
@@ -223,16 +230,12 @@ def fit_demand_models(
     labelled: DataFrame, trees: int = 150, depth: int = 12, max_iter: int = 100
 ) -> list[Fitted]:
     """Both classifiers on the labelled demand table."""
-    train = labelled.where("dataset_split = 'train'").persist(StorageLevel.MEMORY_AND_DISK)
-    test = labelled.where("dataset_split = 'test'").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return [
-            fit_and_score(LOGISTIC, logistic_pipeline(max_iter), train, test),
-            fit_and_score(FOREST, forest_pipeline(trees, depth), train, test),
-        ]
-    finally:
-        train.unpersist()
-        test.unpersist()
+    labelled = materialize(labelled, "labelled")
+    train, test = (labelled.where(F.col("dataset_split") == part) for part in ("train", "test"))
+    return [
+        fit_and_score(LOGISTIC, logistic_pipeline(max_iter), train, test),
+        fit_and_score(FOREST, forest_pipeline(trees, depth), train, test),
+    ]
 
 
 def model_comparison(spark: SparkSession, fitted: Sequence[Fitted]) -> DataFrame:
@@ -246,8 +249,39 @@ def feature_weights(spark: SparkSession, fitted: Sequence[Fitted]) -> DataFrame:
     return ranked_features(spark.createDataFrame(rows, FEATURE_SCHEMA))
 
 
-def tip_target(trips: DataFrame) -> DataFrame:
-    """Card trips with known features and whether any tip was given."""
+def runtimes(spark: SparkSession, fitted: Sequence[Fitted]) -> DataFrame:
+    """Wall time of each fit with its scoring."""
+    return spark.createDataFrame([(f.name, f.seconds) for f in fitted], "model string, runtime_seconds double")
+
+
+def permutation_ranks(fitted: Sequence[Fitted], test: DataFrame) -> DataFrame:
+    """Importance of each input column by shuffling it, ranked for each model."""
+    columns = [*NUMERIC, *CATEGORICAL]
+    found = None
+    for fit in fitted:
+        ranks = evaluation.permutation_importance(fit.model, test, DEMAND_KEYS, columns, "label", SEED)
+        ranks = ranks.select(F.lit(fit.name).alias("model"), "*")
+        found = ranks if found is None else found.unionByName(ranks)
+    return found
+
+
+def logistic_optimum(fit: Fitted, train: DataFrame, reg: float = REGULARIZATION) -> DataFrame:
+    """Loss and gradient of a fitted logistic model over the rows it was fitted on."""
+    scored = fit.model.transform(train)
+    weights = fit.model.stages[-1].coefficients.toArray().tolist()
+    return evaluation.logistic_certificate(scored, "scaled_features", "label", weights, reg)
+
+
+def prepared_features(labelled: DataFrame, keys: Sequence[str] = DEMAND_KEYS) -> DataFrame:
+    """Keys, feature and scaled value of every row and slot, fitted on the training rows."""
+    scaler = StandardScaler(inputCol="features", outputCol="scaled_features", withMean=False, withStd=True)
+    fitted = Pipeline(stages=[*preparation_stages(), scaler]).fit(labelled.where("dataset_split = 'train'"))
+    assembled = fitted.transform(labelled)
+    return evaluation.feature_rows(assembled, keys, feature_names(assembled), "scaled_features")
+
+
+def tip_target(trips: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Card trips with known features and whether any tip was given, and the ``keys`` if named."""
     rows = (
         trips.where(F.col("payment_type") == conditions.CARD)
         .where("fare_amount > 0 and trip_distance_miles > 0")
@@ -258,11 +292,11 @@ def tip_target(trips: DataFrame) -> DataFrame:
             }
         )
     )
-    return drop_nulls(rows, [*TIP_FEATURES, "tipped"]).select(*TIP_FEATURES, "tipped")
+    return drop_nulls(rows, [*TIP_FEATURES, "tipped"]).select(*keys, *TIP_FEATURES, "tipped")
 
 
-def class_balance(rows: DataFrame, target: str) -> DataFrame:
-    return rows.groupBy(target).agg(F.count(F.lit(1)).alias("count")).orderBy(target)
+def class_balance(rows: DataFrame, *targets: str) -> DataFrame:
+    return rows.groupBy(*targets).agg(F.count(F.lit(1)).alias("count")).orderBy(*targets)
 
 
 def tip_pipeline(max_iter: int = 10) -> Pipeline:
@@ -274,20 +308,19 @@ def tip_pipeline(max_iter: int = 10) -> Pipeline:
     )
 
 
-def split_rows(rows: DataFrame, train: float = 0.8, seed: int = SEED) -> list[DataFrame]:
-    return rows.randomSplit([train, 1.0 - train], seed=seed)
+def split_rows(rows: DataFrame, keys: Sequence[str], train: float = 0.8, seed: int = SEED) -> list[DataFrame]:
+    """Training and test rows by a hash of the keys."""
+    split = evaluation.keyed_split(rows, keys, train, seed)
+    return [split.where(F.col("dataset_split") == part).drop("dataset_split") for part in ("train", "test")]
 
 
-def fit_tip_classifier(rows: DataFrame) -> DataFrame:
+def fit_tip_classifier(rows: DataFrame, keys: Sequence[str] = TIP_KEYS) -> DataFrame:
     """Fit on 80 percent of the rows; coefficients, intercept and test AUC as rows."""
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        train, test = split_rows(rows)
-        model = tip_pipeline().fit(train)
-        auc = area_under_roc(model.transform(test), "tipped")
-        stage = model.stages[-1]
-    finally:
-        rows.unpersist()
+    rows = materialize(rows, "tips")
+    train, test = split_rows(rows, keys)
+    model = tip_pipeline().fit(train)
+    auc = area_under_roc(model.transform(test), "tipped")
+    stage = model.stages[-1]
     found = [("coefficient", n, float(c)) for n, c in zip(TIP_FEATURES, stage.coefficients)]
     found += [("intercept", "intercept", float(stage.intercept)), ("metric", "auc", float(auc))]
     return rows.sparkSession.createDataFrame(found, "kind string, name string, value double")

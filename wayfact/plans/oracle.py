@@ -11,6 +11,19 @@ import re
 from wayfact.functions.exact import PLACES
 from wayfact.operators.basics import STOPWORDS
 
+NUMERIC = (
+    "temperature_c",
+    "precipitation_mm",
+    "relative_humidity_pct",
+    "wind_speed_mps",
+    "pickup_hour_of_day",
+    "pickup_month",
+    "is_weekday",
+    "rush_hour_indicator",
+    "snow_indicator",
+    "heavy_rain_indicator",
+    "precipitation_trace_indicator",
+)
 NUMBER = r"[-+]?(?:\d+(?:\.\d*)?|\.\d+)"
 
 
@@ -444,6 +457,36 @@ VIEWS |= {
       CASE WHEN trip_count > high_demand_threshold THEN 'High Demand' ELSE 'Normal Demand' END
         AS demand_level
     FROM demand_split d JOIN thresholds t ON d.pickup_borough = t.pickup_borough""",
+    "gapped": """
+    SELECT * REPLACE (CASE WHEN pickup_hour_of_day % 5 <> 0 THEN temperature_c END AS temperature_c,
+      CASE WHEN pickup_hour_of_day % 7 <> 0 THEN wind_speed_mps END AS wind_speed_mps) FROM labelled""",
+    "categories": """
+    SELECT DISTINCT name, c FROM (
+      SELECT unnest(['pickup_day_of_week', 'pickup_borough', 'weather_condition']) AS name,
+        unnest([pickup_day_of_week, pickup_borough, weather_condition]) AS c
+      FROM labelled WHERE dataset_split = 'train')
+    UNION ALL SELECT unnest(['pickup_day_of_week', 'pickup_borough', 'weather_condition']), '__unknown'""",
+    "feature_names": f"""
+    SELECT unnest({[f"{n}_imputed" for n in NUMERIC]}) AS feature
+    UNION ALL SELECT name || '_ohe_' || c FROM categories""",
+    "measures_long": f"""
+    SELECT pickup_hour, pickup_borough, dataset_split, unnest({list(NUMERIC)}) AS name,
+      unnest([{", ".join(f"{n}::DOUBLE" for n in NUMERIC)}]) AS value FROM gapped""",
+    "medians": """
+    SELECT name, quantile_disc(value, 0.5) AS median FROM measures_long
+    WHERE dataset_split = 'train' GROUP BY 1""",
+    "labels_long": """
+    SELECT pickup_hour, pickup_borough, dataset_split,
+      unnest(['pickup_day_of_week', 'pickup_borough', 'weather_condition']) AS name,
+      unnest([pickup_day_of_week, pickup_borough, weather_condition]) AS value FROM gapped""",
+    "feature_values": """
+    SELECT pickup_hour, pickup_borough, dataset_split, name || '_imputed' AS feature, coalesce(value, median) AS filled
+    FROM measures_long JOIN medians USING (name)
+    UNION ALL
+    SELECT pickup_hour, pickup_borough, dataset_split, l.name || '_ohe_' || c.c,
+      CASE WHEN l.value = c.c OR (c.c = '__unknown' AND l.value NOT IN
+        (SELECT k.c FROM categories k WHERE k.name = l.name)) THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+    FROM labels_long l JOIN categories c ON c.name = l.name""",
     "outcomes": """
     SELECT count(*) FILTER (quality = 1 AND toxic = 1) AS tp,
       count(*) FILTER (quality <> 1 AND toxic <> 1) AS tn,
@@ -918,6 +961,58 @@ SELECTS = {
     " FROM labelled GROUP BY 1",
     "tip_target": TIP_ROWS,
     "class_balance": f"SELECT tipped, count(*) AS count FROM ({TIP_ROWS}) GROUP BY 1",
+    "dynamic_overwrite": f"""
+    SELECT order_year, count(*) AS row_count, {big('sum(round(price * 100)::BIGINT)')} AS units,
+      order_year NOT IN (1995, 1996, 2096) AS files_kept
+    FROM (SELECT year(o_orderdate)::INTEGER AS order_year,
+        CASE WHEN year(o_orderdate) IN (1995, 1996) THEN round(o_totalprice * 100) ELSE o_totalprice END AS price
+      FROM orders
+      UNION ALL SELECT 2096, o_totalprice FROM orders WHERE year(o_orderdate) = 1996)
+    GROUP BY 1""",
+    "csv_quoted_texts": "SELECT doc_id, sha256(text) AS text_sha256, lang, source, n_chars FROM documents",
+    "csv_inferred_customers": """
+    SELECT c_custkey, c_name, c_acctbal, 'double' AS balance_type, 'string' AS name_type FROM customer""",
+    "csv_text_customers": """
+    SELECT c_custkey, c_acctbal * 2 AS doubled, 'string,string' AS kinds FROM customer""",
+    "csv_corrupt_lines": """
+    SELECT l_orderkey, CASE WHEN l_linenumber <> 3 THEN l_quantity::INTEGER END AS l_quantity,
+      CASE WHEN l_linenumber <> 5 THEN l_linenumber::INTEGER END AS l_linenumber,
+      CASE l_linenumber WHEN 3 THEN l_orderkey || ',many,3' WHEN 5 THEN l_orderkey || ',' || l_quantity::INTEGER END
+        AS corrupt
+    FROM lineitem""",
+    "text_lines_count": f"""
+    SELECT substr(line, 1, 1) AS first, count(*) AS line_count, {big('sum(length(line))')} AS characters
+    FROM (SELECT unnest(string_split_regex(text, '\\r\\n|\\n|\\r')) AS line FROM documents) GROUP BY 1""",
+    "tip_split": f"""
+    SELECT CASE WHEN ('0x' || substr(md5(concat_ws('|', '42', CAST(pickup_timestamp AS VARCHAR),
+      CAST(dropoff_timestamp AS VARCHAR), CAST(pickup_location_id AS VARCHAR))), 1, 8))::BIGINT % 10000 < 8000
+      THEN 'train' ELSE 'test' END AS dataset_split, tipped, count(*) AS count
+    FROM ({TIP_ROWS.replace("SELECT trip", "SELECT pickup_timestamp, dropoff_timestamp, pickup_location_id, trip", 1)})
+    GROUP BY 1, 2""",
+    "areas_under_roc": f"""
+    SELECT score, positives, negatives, (twice - 2 * positives * base)::DOUBLE / (2 * positives * negatives)::DOUBLE
+      AS area
+    FROM (SELECT score, {big('sum(pos)')} AS positives, {big('sum(neg)')} AS negatives,
+        min(below) AS base, sum(pos::HUGEINT * (2 * below + neg)) AS twice
+      FROM (SELECT *, coalesce(sum(neg) OVER (PARTITION BY score ORDER BY value
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+        FROM (SELECT score, value, count(*) FILTER (fare_amount > 40000) AS pos,
+            count(*) FILTER (NOT fare_amount > 40000) AS neg
+          FROM (SELECT fare_amount, unnest(['trip_distance_miles', 'fare_amount', 'passenger_count', 'hour']) AS score,
+              unnest([trip_distance_miles, fare_amount, passenger_count::DOUBLE, hour::DOUBLE]) AS value
+            FROM ({TIP_ROWS})) GROUP BY 1, 2)) GROUP BY 1)""",
+    "ranked_feature_names": """
+    SELECT model, feature, (n * (n + 1) // 2)::BIGINT AS rank_sum
+    FROM (SELECT feature, count(*) OVER () AS n FROM feature_names)
+      CROSS JOIN (SELECT unnest(['Logistic Regression', 'Random Forest']) AS model)""",
+    "logistic_optimum": """
+    SELECT count(*) AS row_count, (SELECT count(*) FROM feature_names) AS feature_count, TRUE AS optimal
+    FROM labelled WHERE dataset_split = 'train'""",
+    "prepared_features": """
+    SELECT pickup_hour, pickup_borough, feature,
+      CASE WHEN std > 0 THEN round(filled / std, 6) + 0 ELSE 0 END AS value
+    FROM (SELECT *, stddev_samp(filled) FILTER (dataset_split = 'train') OVER (PARTITION BY feature) AS std
+      FROM feature_values)""",
     "binary_metrics": f"""
     SELECT tp + tn + fp + fn AS test_rows, tp AS true_positive, tn AS true_negative,
       fp AS false_positive, fn AS false_negative,

@@ -200,6 +200,7 @@ def demand_models(
     fitted = models.fit_demand_models(spark.read.parquet(source), trees, depth)
     metrics = models.model_comparison(spark, fitted)
     writers.write_json(metrics, output, "model_metrics")
+    writers.write_json(models.runtimes(spark, fitted), output, "model_runtimes")
     writers.write_json(models.feature_weights(spark, fitted), output, "feature_importance")
     writers.write_json(models.confusion_long(metrics), output, "confusion_matrices")
     for fit in fitted:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wayfact.functions import calendar, conditions, text
 from wayfact.operators import (
@@ -13,6 +13,7 @@ from wayfact.operators import (
     clean,
     demand,
     dims,
+    evaluation,
     eventlog,
     joins,
     models,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Query] = {}
 WEEK_END = "2024-01-08"
 PART, WHOLE = "First week", "All"
 TIP_PROBABILITIES = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p99": 0.99}
+GRADIENT_BOUND = 1e-3  # of a loss of about 0.5
 HOUR_MEASURES = (*dims.MEASURES, "wind_direction_degrees")
 
 
@@ -165,6 +167,87 @@ def csv_to_parquet(v: Views) -> DataFrame:
     return _ride_copy(v).withColumns(local)
 
 
+@query
+def dynamic_overwrite(v: Views) -> DataFrame:
+    """Orders by year; a second write replaces two years, with prices in cents, and adds one."""
+    path = _orders_by_year(v)
+    by = ["order_year"]
+    columns = ["o_orderkey", "o_totalprice", "order_year"]
+    before = materialize(writers.files_of(readers.parquet(v.spark, path), by), "files")
+    orders = v.table("orders").withColumn("order_year", F.year("o_orderdate"))
+    changed = orders.where("order_year in (1995, 1996)").withColumn("o_totalprice", F.round(F.col("o_totalprice") * 100))
+    added = orders.where("order_year = 1996").withColumn("order_year", F.lit(2096))
+    # rows that are written must not be read from the same path
+    fresh = materialize(changed.unionByName(added), "changed")
+    writers.write_partitioned(fresh, path, by, rebalance=True, only_present=True)
+    stored = readers.parquet(v.spark, path)
+    kept = writers.files_of(stored, by).join(before, [*by, "file"], "left_semi").select(*by).distinct()
+    rows = stored.select(*columns).groupBy(*by).agg(
+        basics.row_count("row_count"), F.sum((F.round(F.col("o_totalprice") * 100)).cast("bigint")).alias("units")
+    )
+    return rows.join(kept.withColumn("files_kept", F.lit(True)), "order_year", "left").na.fill({"files_kept": False})
+
+
+@query
+def csv_quoted_texts(v: Views) -> DataFrame:
+    """Whole texts with their line ends and quotes through CSV and back."""
+    rows = v.table("documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = writers.write_csv_quoted(rows, scratch_path(v.spark, "documents-csv"))
+    stored = readers.csv_quoted(v.spark, path, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    return stored.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "lang", "source", "n_chars")
+
+
+@query
+def csv_inferred_customers(v: Views) -> DataFrame:
+    """Customers through CSV, types found by reading it."""
+    path = scratch_path(v.spark, "customers-csv")
+    v.table("customer").write.csv(path, header=True)
+    return readers.csv_inferred(v.spark, path).select(
+        F.col("c_custkey").cast("bigint").alias("c_custkey"),
+        "c_name",
+        "c_acctbal",
+        F.typeof("c_acctbal").alias("balance_type"),
+        F.typeof("c_name").alias("name_type"),
+    )
+
+
+@query
+def csv_text_customers(v: Views) -> DataFrame:
+    """Customers through CSV with every column left as text, cast afterwards."""
+    path = scratch_path(v.spark, "customers-csv")
+    v.table("customer").write.csv(path, header=True)
+    stored = readers.csv_text(v.spark, path)
+    kinds = F.concat_ws(",", *(F.typeof(c) for c in ("c_custkey", "c_acctbal")))
+    return stored.select(
+        F.col("c_custkey").cast("bigint").alias("c_custkey"),
+        (F.col("c_acctbal").cast("decimal(18,4)") * 2).cast("double").alias("doubled"),
+        kinds.alias("kinds"),
+    )
+
+
+@query
+def csv_corrupt_lines(v: Views) -> DataFrame:
+    """Order lines as CSV, some with a word for a number or a field too few; these are kept whole."""
+    n = F.col("l_linenumber")
+    quantity = F.when(n == 3, F.lit("many")).otherwise(F.col("l_quantity").cast("int").cast("string"))
+    line = F.concat_ws(",", F.col("l_orderkey").cast("string"), quantity, F.when(n != 5, n.cast("string")))
+    path = scratch_path(v.spark, "lines-csv")
+    v.table("lineitem").select(line.alias("value")).write.text(path)
+    schema = "l_orderkey bigint, l_quantity int, l_linenumber int"
+    return readers.csv_checked(v.spark, path, schema, header=False)
+
+
+@query
+def text_lines_count(v: Views) -> DataFrame:
+    """Texts written as lines and read as such: length of the lines by their first character."""
+    path = scratch_path(v.spark, "lines")
+    v.table("documents").select(F.col("text").alias("value")).write.text(path)
+    lines = readers.text_lines(v.spark, path)
+    return lines.groupBy(F.substring("value", 1, 1).alias("first")).agg(
+        basics.row_count("line_count"), F.sum(F.length("value")).cast("bigint").alias("characters")
+    )
+
+
 @query
 def storage_footprint(v: Views) -> DataFrame:
     source, target = _ride_csv(v), scratch_path(v.spark, "rides-parquet")
@@ -697,6 +780,12 @@ def _rolled(joined: DataFrame) -> DataFrame:
     return materialize(summaries.trip_rollup(joined), "rollup")
 
 
+def _stored_fact(joined: DataFrame, name: str) -> DataFrame:
+    """The columns a roll-up reads, stored once: counted and rolled up without another join."""
+    columns = {*summaries.ROLLUP_KEYS, *summaries.ROLLUP_COLUMNS, "payment_type"} - {"is_card"}
+    return materialize(joined.select(*sorted(columns)), name)
+
+
 @query
 def report_period_compare(v: Views) -> DataFrame:
     rollup = _rolled(v.joined_rides())
@@ -821,7 +910,7 @@ def check_tipping(v: Views) -> DataFrame:
 
 @query
 def check_consistency(v: Views) -> DataFrame:
-    rides, trips = v.joined_rides(), v.joined_trips()
+    rides, trips = _stored_fact(v.joined_rides(), "rides"), _stored_fact(v.joined_trips(), "trips")
     ride_rollup, trip_rollup = _rolled(rides), _rolled(trips)
     of = summaries.summarize_rollup
     return checks.consistency(
@@ -892,7 +981,21 @@ def class_balance(v: Views) -> DataFrame:
 
 @query
 def tip_classifier(v: Views) -> DataFrame:
-    return models.fit_tip_classifier(models.tip_target(v.canonical_trips()))
+    return models.fit_tip_classifier(models.tip_target(v.canonical_trips(), models.TIP_KEYS))
+
+
+@query
+def tip_split(v: Views) -> DataFrame:
+    rows = models.tip_target(v.canonical_trips(), models.TIP_KEYS)
+    return models.class_balance(
+        evaluation.keyed_split(rows, models.TIP_KEYS, 0.8, models.SEED), "dataset_split", "tipped"
+    )
+
+
+@query
+def areas_under_roc(v: Views) -> DataFrame:
+    rows = models.tip_target(v.canonical_trips()).withColumn("high", (F.col("fare_amount") > 40000).cast("int"))
+    return evaluation.areas_under_roc(rows, "high", models.TIP_FEATURES)
 
 
 @query
@@ -906,15 +1009,50 @@ def confusion_long(v: Views) -> DataFrame:
     return models.confusion_long(metrics.withColumn("model", F.lit("labels")))
 
 
-def _demand_fits(v: Views) -> list[models.Fitted]:
-    return models.fit_demand_models(materialize(v.labelled_demand(), "labelled"))
+_FITS: dict[tuple[str, str], tuple[DataFrame, list[models.Fitted]]] = {}
+
+
+def _demand_fits(v: Views) -> tuple[DataFrame, list[models.Fitted]]:
+    """The labelled rows and both fits, made once for all queries over one directory."""
+    key = (v.spark.sparkContext.applicationId, v.sf_dir)
+    if key not in _FITS:
+        labelled = materialize(v.labelled_demand(), "labelled")
+        _FITS.clear()
+        _FITS[key] = labelled, models.fit_demand_models(labelled)
+    return _FITS[key]
 
 
 @query
 def demand_models(v: Views) -> DataFrame:
-    return models.model_comparison(v.spark, _demand_fits(v))
+    return models.model_comparison(v.spark, _demand_fits(v)[1])
 
 
 @query
 def feature_ranking(v: Views) -> DataFrame:
-    return models.feature_weights(v.spark, _demand_fits(v))
+    return models.feature_weights(v.spark, _demand_fits(v)[1])
+
+
+@query
+def ranked_feature_names(v: Views) -> DataFrame:
+    """Every model ranks every feature once: the names, and the sum of their ranks."""
+    ranks = models.feature_weights(v.spark, _demand_fits(v)[1])
+    complete = F.sum("rank").over(Window.partitionBy("model"))
+    return ranks.select("model", "feature", complete.alias("rank_sum"))
+
+
+@query
+def permutation_importance(v: Views) -> DataFrame:
+    labelled, fitted = _demand_fits(v)
+    return models.permutation_ranks(fitted, labelled.where("dataset_split = 'test'"))
+
+
+@query
+def logistic_optimum(v: Views) -> DataFrame:
+    labelled, fitted = _demand_fits(v)
+    found = models.logistic_optimum(fitted[0], labelled.where("dataset_split = 'train'"))
+    return found.select("row_count", "feature_count", (F.col("gradient") < GRADIENT_BOUND).alias("optimal"))
+
+
+@query
+def prepared_features(v: Views) -> DataFrame:
+    return models.prepared_features(v.gapped_demand())

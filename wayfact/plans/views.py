@@ -341,6 +341,16 @@ class Views:
     def labelled_demand(self) -> DataFrame:
         return demand.labelled_demand(self.demand_source(), DEMAND_GROUPS, self.is_train())
 
+    def gapped_demand(self) -> DataFrame:
+        """The labelled table with gaps in two measures, as raw station data has them."""
+        hour = F.col("pickup_hour_of_day")
+        return self.labelled_demand().withColumns(
+            {
+                "temperature_c": F.when(hour % 5 != 0, F.col("temperature_c")),
+                "wind_speed_mps": F.when(hour % 7 != 0, F.col("wind_speed_mps")),
+            }
+        )
+
     # ride file and event log
 
     def ride_file(self) -> DataFrame:

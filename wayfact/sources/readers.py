@@ -14,6 +14,9 @@ RIDE_SCHEMA = (
     "end_lng double, member_casual string"
 )
 
+CORRUPT = "corrupt"
+NULL_TEXT = "\\N"
+
 
 def parquet(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
     """A Parquet file or directory, only the named columns if any."""
@@ -35,6 +38,30 @@ def csv_declared(spark: SparkSession, path: str, schema: str = RIDE_SCHEMA) -> D
     return spark.read.schema(schema).csv(path, header=True)
 
 
+def csv_quoted(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A CSV whose quoted fields may hold line ends, quotes, separators and outer blanks.
+
+    A quote inside a field is doubled. An empty quoted field is an empty text, an absent one
+    null. Files of such rows cannot be split, so they should be written in moderate sizes.
+    """
+    options = {"header": True, "multiLine": True, "escape": '"', "nullValue": NULL_TEXT, "emptyValue": ""}
+    options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "lineSep": "\n"}
+    return spark.read.schema(schema).csv(path, **options)
+
+
+def csv_checked(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
+    """A CSV with a declared schema, keeping what does not fit.
+
+    ``corrupt`` holds the whole line of a row with a value of another type, too few or too
+    many fields; the fields that could be read keep their values, the others are null. It is
+    null for a good row.
+    """
+    declared = f"{schema}, {CORRUPT} string"
+    return spark.read.schema(declared).csv(
+        path, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
+    )
+
+
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wayfact.sources.readers import NULL_TEXT
+
 
 def output_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
@@ -46,6 +48,19 @@ def write_json(df: DataFrame, root: str, name: str) -> str:
     return path
 
 
+def write_csv_quoted(df: DataFrame, path: str) -> str:
+    """Write texts of any content as CSV; ``readers.csv_quoted`` reads the same rows back."""
+    options = {"header": True, "quoteAll": True, "escape": '"', "nullValue": NULL_TEXT, "emptyValue": ""}
+    options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").csv(path, **options)
+    return path
+
+
+def files_of(stored: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The files behind a partitioned scan, with the keys of their folder."""
+    return stored.select(*by, F.col("_metadata.file_path").alias("file")).distinct()
+
+
 def csv_to_parquet(spark: SparkSession, source: str, target: str, schema: str) -> DataFrame:
     """Convert a CSV with a declared schema; returns the Parquet copy."""
     spark.read.schema(schema).csv(source, header=True).write.mode("overwrite").parquet(target)
