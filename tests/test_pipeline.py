@@ -202,6 +202,43 @@ def test_outputs_as_tables(spark, raw, built):
         spark.sql("drop database outputs")
 
 
+def test_report_and_check_jobs(spark, raw, built, tmp_path):
+    made = pipeline.analysis_reports(spark, str(raw / "hourly"), str(tmp_path / "reports"), str(raw / "daily"))
+    rows = {r.name: r.row_count for r in made.collect()}
+    assert len(rows) == 9 and all(n > 0 for n in rows.values())
+    zones = spark.read.json(str(tmp_path / "reports" / "top_zones"))
+    assert rows["top_zones"] == zones.count() == reports.top_zones(table(spark, raw, "hourly", "zone_weather_summary")).count()
+
+    made = pipeline.validation_checks(spark, str(raw / "hourly"), str(tmp_path / "checks"))
+    assert {r.row_count for r in made.collect()} == {1} and made.count() == 9
+    row = spark.read.json(str(tmp_path / "checks" / "check_consistency")).first()
+    assert len(set(row)) == 1 and row.joined_trip_rows == table(spark, raw, "hourly", "joined_trips").count()
+
+
+def test_model_jobs(spark, raw, built, tmp_path):
+    out = str(tmp_path / "tips")
+    found = {(r.kind, r.name): r.value for r in pipeline.tip_classifier(spark, str(raw / "trips"), out).collect()}
+    assert len(found) == 6 and 0 <= found["metric", "auc"] <= 1
+    assert spark.read.json(f"{out}/tip_class_balance").count() == 2
+
+    source = str(raw / "hourly" / "joined_trips")
+    pipeline.demand_dataset(spark, source, str(tmp_path), START, END)
+    # the test period is one of three days, so rows are dealt anew to have both parts
+    labelled = spark.read.parquet(str(tmp_path / "ml_dataset"))
+    part = F.when(F.dayofmonth("pickup_date") <= 2, "train").otherwise("test")
+    labelled = labelled.withColumn("dataset_split", part)
+    labelled.write.parquet(str(tmp_path / "split"))
+    metrics = pipeline.demand_models(spark, str(tmp_path / "split"), str(tmp_path / "models"), trees=5, depth=3)
+    assert "runtime_seconds" not in metrics.columns
+    assert spark.read.json(str(tmp_path / "models" / "model_runtimes")).count() == 2
+    wanted = {r.model: r.f1_score for r in metrics.collect()}
+    labelled.where("dataset_split = 'test'").write.parquet(str(tmp_path / "test"))
+    for name, folder in (("Logistic Regression", "logistic_regression"), ("Random Forest", "random_forest")):
+        stored = str(tmp_path / "models" / "models" / folder)
+        row = pipeline.score_demand(spark, stored, str(tmp_path / "test"), str(tmp_path / folder)).first()
+        assert row.f1_score == wanted[name]
+
+
 def test_words_and_schema_jobs(spark, raw, tmp_path):
     (tmp_path / "text.txt").write_text("the river the river bank\n")
     top = pipeline.words(spark, str(tmp_path / "text.txt"), str(tmp_path / "out"), 1)

@@ -220,3 +220,21 @@ def test_event_log(spark, tmp_path):
             "malformed_event_lines": 1,
         }
         assert {k: row[k] for k in expected} == expected
+
+
+def test_quoted_texts_come_back(spark, tmp_path):
+    rows = [(1, 'a "b", c\nd'), (2, ""), (3, None), (4, "  x\t"), (5, "\\"), (6, "a\r\nb"), (7, '"'), (8, "é,;"), (9, "\n")]
+    frame = spark.createDataFrame(rows, "id int, t string")
+    path = writers.write_csv_quoted(frame, str(tmp_path / "q"))
+    assert sorted(map(tuple, readers.csv_quoted(spark, path, "id int, t string").collect())) == rows
+
+
+def test_rows_that_do_not_fit_are_kept_whole(spark, tmp_path):
+    lines = ["a,b", "1,x", "y,z", "2", "3,p,q", ""]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(str(tmp_path / "c"))
+    found = readers.csv_checked(spark, str(tmp_path / "c"), "a int, b string").collect()
+    assert sorted(map(str, found)) == sorted(
+        map(str, spark.createDataFrame(
+            [(1, "x", None), (None, "z", "y,z"), (2, None, "2"), (3, "p", "3,p,q")], "a int, b string, corrupt string"
+        ).collect())
+    )

@@ -45,6 +45,10 @@ JOBS: dict[str, tuple[Callable, tuple[str, ...], dict[str, object]]] = {
         ("source", "output"),
         {"trees": 150, "depth": 12},
     ),
+    "score-demand": (pipeline.score_demand, ("model", "source", "output"), {}),
+    "tip-classifier": (pipeline.tip_classifier, ("trips", "output"), {}),
+    "reports": (pipeline.analysis_reports, ("root", "output"), {"daily": ""}),
+    "checks": (pipeline.validation_checks, ("root", "output"), {}),
     "validate-schemas": (
         pipeline.validate_schemas,
         ("root",),

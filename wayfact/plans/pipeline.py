@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayfact.operators import basics, clean, demand, dims, eventlog, joins, models
-from wayfact.plans import summaries
+from wayfact.plans import checks, reports, summaries
 from wayfact.session import materialize
 from wayfact.sources import catalog, guards, readers, writers
 
@@ -209,6 +209,96 @@ def demand_models(
     return metrics
 
 
+def score_demand(spark: SparkSession, model: str, source: str, output: str) -> DataFrame:
+    """Score demand rows with a stored model; returns the metrics over the rows with a label."""
+    scored = models.score_stored(model, spark.read.parquet(source))
+    writers.write_parquet(scored, output, "scored_demand")
+    stored = spark.read.parquet(writers.output_path(output, "scored_demand"))
+    return models.binary_metrics(stored.where("label is not null"), "label", "prediction")
+
+
+def tip_classifier(spark: SparkSession, trips: str, output: str) -> DataFrame:
+    """Fit the tip classifier on raw trips; coefficients, intercept and test area as JSON."""
+    raw = guards.require_columns(spark.read.parquet(trips), RAW_TRIP_COLUMNS, "Trip dataset")
+    rows = models.tip_target(clean.canonical_trips(raw), models.TIP_KEYS)
+    rows = materialize(rows, "tips")
+    writers.write_json(models.class_balance(rows, "tipped"), output, "tip_class_balance")
+    found = models.fit_tip_classifier(rows)
+    writers.write_json(found, output, "tip_classifier")
+    return found
+
+
+def analysis_reports(spark: SparkSession, root: str, output: str, daily: str = "") -> DataFrame:
+    """All reports over the stored summaries of one run, as JSON; returns their names and rows.
+
+    With ``daily``, the folder of a daily run, the two runs are compared as well.
+    """
+
+    def stored(name: str, folder: str = root) -> DataFrame:
+        return spark.read.parquet(writers.output_path(folder, name))
+
+    made = {
+        "monthly_shares": reports.monthly_shares(stored("monthly_weather_summary")),
+        "seasonal_shares": reports.seasonal_shares(stored("seasonal_weather_summary")),
+        "hour_of_day": reports.hour_of_day(stored("hourly_demand")),
+        "borough_impact": reports.borough_impact(stored("borough_weather_summary")),
+        "intraday_changes": reports.intraday_changes(stored("hourly_demand")),
+        "rush_hour": reports.rush_hour(stored("hourly_demand")),
+        "monthly_tipping": reports.monthly_tipping(stored("monthly_tipping_summary")),
+        "top_zones": reports.top_zones(stored("zone_weather_summary")),
+    }
+    if daily:
+        by_hour, by_day = (stored("weather_summary", folder) for folder in (root, daily))
+        made["daily_vs_hourly"] = reports.daily_vs_hourly(by_hour, by_day)
+    return _counted(spark, made, output)
+
+
+def validation_checks(spark: SparkSession, root: str, output: str) -> DataFrame:
+    """All checks over the stored joined trips and summaries of one run, as JSON."""
+
+    def stored(name: str) -> DataFrame:
+        return spark.read.parquet(writers.output_path(root, name))
+
+    def total(name: str, column: str, distinct: str, rows: str) -> DataFrame:
+        return checks.distinct_total(stored(name), column, distinct, rows)
+
+    joined = stored(JOINED)
+    made = {
+        "check_coverage": checks.coverage(joined),
+        "check_condition": checks.condition_total(stored("weather_summary")),
+        "check_hourly": checks.hourly_total(stored("hourly_demand")),
+        "check_monthly": total("monthly_weather_summary", "pickup_month", "month_count", "summary_rows"),
+        "check_seasonal": total("seasonal_weather_summary", "season", "season_count", "summary_rows"),
+        "check_borough": total("borough_weather_summary", "pickup_borough", "borough_count", "summary_rows"),
+        "check_zone": total("zone_weather_summary", "pickup_zone", "zone_count", "summary_rows"),
+        "check_tipping": checks.distinct_total(
+            stored("monthly_tipping_summary"),
+            "pickup_month",
+            "month_count",
+            "summary_rows",
+            "credit_card_trip_count",
+            "summarized_credit_card_trips",
+        ),
+        "check_consistency": checks.consistency(
+            spark,
+            {"joined_trip_rows": joined},
+            {f"{name}_rows": stored(name) for name in ("weather_summary", "hourly_demand", "monthly_weather_summary")},
+        ),
+    }
+    return _counted(spark, made, output)
+
+
+def _counted(spark: SparkSession, made: dict[str, DataFrame], output: str) -> DataFrame:
+    """Write small results as JSON and count what was written."""
+    counts = None
+    for name, frame in made.items():
+        path = writers.write_json(frame, output, name)
+        rows = spark.read.schema(frame.schema).json(path).agg(F.count(F.lit(1)).alias("row_count"))
+        rows = rows.select(F.lit(name).alias("name"), "row_count")
+        counts = rows if counts is None else counts.unionByName(rows)
+    return counts
+
+
 def validate_schemas(spark: SparkSession, root: str, year: int, pattern: str) -> DataFrame:
     """Check a year's monthly files; raises if any does not fit."""
     report = guards.schema_report(spark, guards.monthly_paths(root, year, pattern))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wayfact.functions import calendar, conditions, text
@@ -1053,6 +1054,24 @@ def logistic_optimum(v: Views) -> DataFrame:
     return found.select("row_count", "feature_count", (F.col("gradient") < GRADIENT_BOUND).alias("optimal"))
 
 
+@query
+def stored_model_scores(v: Views) -> DataFrame:
+    """Every demand row scored by both models as fitted and as stored and loaded again."""
+    labelled, fitted = _demand_fits(v)
+    found = None
+    for fit in fitted:
+        path = scratch_path(v.spark, "model")
+        fit.model.write().save(path)
+        again = models.score_stored(path, labelled).select(*models.DEMAND_KEYS, F.col("probability").alias("again"))
+        own = fit.model.transform(labelled).select(*models.DEMAND_KEYS, vector_to_array("probability")[1].alias("own"))
+        both = own.join(again, list(models.DEMAND_KEYS), "full")
+        rows = both.agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("own").eqNullSafe(F.col("again"))).alias("equal_rows")
+        ).select(F.lit(fit.name).alias("model"), "*")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query
 def prepared_features(v: Views) -> DataFrame:
     return models.prepared_features(v.gapped_demand())
