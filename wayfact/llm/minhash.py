@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -247,27 +248,22 @@ def links_by_differences(members: DataFrame, docs: DataFrame, size: int, percent
     return to_ref.union(linked.select("src", "dst"))
 
 
-def links_between(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (src, dst) that join all classes (id, n, signature) which links connect.
-
-    The members of a key first meet the key's smallest one: each is confirmed against the
-    one it shares most keys with, then against all whose group is still another. Keys whose
-    members then lie in different groups are resolved by the members' differences to the
-    smallest of them. A pair is passed over only where links already connect it or cannot
-    link it, so the groups are those of all links, while a key of g near copies makes g pairs
-    or a few times that, not its square.
+def connecting_links(
+    keyed: DataFrame, possible: Callable[[DataFrame], DataFrame], docs: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Links (src, dst) that join all of (id, key) which links between members of a key connect.
+
+    ``possible`` passes on the pairs worth comparing. The members of a key first meet the
+    key's smallest one: each is confirmed against the one it shares most keys with, then
+    against all whose group is still another. Keys whose members then lie in different groups
+    are resolved by the members' differences to the smallest of them. A pair is passed over
+    only where links already connect it or cannot link it, so the groups are those of all
+    links, while a key of g near copies makes g pairs or a few times that, not its square.
     """
-    facts = classes.select("id", F.struct("n", *SIGNATURE).alias("facts"))
-    keyed = classes.select("id", F.explode(keys()).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("id").alias("pivot"))
     shared = shared.where("members > 1").select("key", "pivot")
     members = materialize(keyed.join(shared, "key"), "members")
 
-    def possible(pairs: DataFrame) -> DataFrame:
-        a = facts.select(F.col("id").alias("src"), F.col("facts").alias("a"))
-        b = facts.select(F.col("id").alias("dst"), F.col("facts").alias("b"))
-        return pairs.join(a, "src").join(b, "dst").where(may_link("a", "b", percent)).select("src", "dst")
-
     def labelled(rows: DataFrame, node: str, groups: DataFrame, label: str) -> DataFrame:
         named = groups.select(F.col("node").alias(node), F.col("component").alias(label))
         return rows.join(named, node, "left").withColumn(label, F.coalesce(label, node))
@@ -292,6 +288,19 @@ def links_between(classes: DataFrame, docs: DataFrame, size: int, percent: int)
     return found.union(links_by_differences(left, docs, size, percent))
 
 
+def links_between(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (src, dst) that join all classes (id, n, signature) which links connect."""
+    facts = classes.select("id", F.struct("n", *SIGNATURE).alias("facts"))
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        a = facts.select(F.col("id").alias("src"), F.col("facts").alias("a"))
+        b = facts.select(F.col("id").alias("dst"), F.col("facts").alias("b"))
+        return pairs.join(a, "src").join(b, "dst").where(may_link("a", "b", percent)).select("src", "dst")
+
+    keyed = classes.select("id", F.explode(keys()).alias("key"))
+    return connecting_links(keyed, possible, docs, size, percent)
+
+
 def minhash_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per row of ``docs``.
 

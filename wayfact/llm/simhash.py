@@ -17,11 +17,10 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wayfact.llm.common import (
-    MAX_BROADCAST, byte_texts, components, ids_and_texts, map_batches, with_ids, without
-)
+from wayfact.llm.common import byte_texts, components, ids_and_texts, map_batches, without
+from wayfact.llm.minhash import connecting_links
 from wayfact.session import materialize
 
 SEED = 42
@@ -36,10 +35,8 @@ STAGE_WORDS = 5
 STAGE_WIDTH = 2
 STAGE_RADIUS = 44  # copies at 0.8 differ in about 19 bits (deviation 4), strangers in 64
 STAGE_SIMILARITY = 0.8
-CROWD = 16  # members of a key up to which all pairs of it are tried
-MOST_PIVOTS = 64  # of a crowded key in a round
 SAMPLE = 16  # one text in so many tells which shingles are common; this only orders them
-MAX_COMMON = 200_000
+LOG_COUNTERS = 20  # shingles share this many counters, as a power of two
 
 
 def _signed(value: int) -> int:
@@ -204,22 +201,29 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS, size: int = 3) ->
 # near duplicates of whole texts
 
 
-def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
-    """Hashes of shingles that several sampled texts share, rarest first.
+def shingle_counters(docs: DataFrame, size: int) -> np.ndarray:
+    """How often sampled texts hold the shingles of each counter.
 
-    Any order of shingles brings all pairs together; this one only keeps keys small, so
-    a sample does.
+    Any order of shingles brings all pairs together; this one only keeps keys small, so a
+    sample and a table of fixed size do.
     """
+    shift = np.uint64(64 - LOG_COUNTERS)
 
     def scan(batches):
+        held = np.zeros(1 << LOG_COUNTERS, np.int64)
         for batch in batches:
-            found = [np.unique(shingle_hashes(text, size)) for text in byte_texts(batch)]
-            yield pa.record_batch({"hash": pa.array(np.concatenate(found or [np.zeros(0, np.uint64)]).view(np.int64))})
+            for text in byte_texts(batch):
+                places = (np.unique(shingle_hashes(text, size)) >> shift).astype(np.int64)
+                np.add.at(held, places, 1)
+        used = np.flatnonzero(held)
+        yield pa.record_batch({"place": pa.array(used), "n": pa.array(held[used])})
 
     sampled = ids_and_texts(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
-    counts = map_batches(sampled, scan, "hash bigint").groupBy("hash").agg(F.count("*").alias("n"))
-    rows = counts.where("n > 1").orderBy(F.desc("n"), "hash").limit(MAX_COMMON).toArrow()
-    return np.ascontiguousarray(rows["hash"].to_numpy()[::-1]).view(np.uint64)
+    counts = map_batches(sampled, scan, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    rows = counts.toArrow()  # at most one row a counter
+    counters = np.zeros(1 << LOG_COUNTERS, np.uint32)
+    counters[rows["place"].to_numpy()] = rows["n"].to_numpy()
+    return counters
 
 
 def prefix_length(shingles: int, similarity: float) -> int:
@@ -233,26 +237,22 @@ def signatures(docs: DataFrame, size: int, similarity: float) -> DataFrame:
     doc_id, d0 and d1 (a digest of the set), n (its size), f0, f1 (its fingerprint) and
     prefix, the first of its shingles by rarity.
     """
-    common = common_shingles(docs, size)
-    order = np.argsort(common, kind="stable")
-    shared = docs.sparkSession.sparkContext.broadcast((common[order], order))
+    shared = docs.sparkSession.sparkContext.broadcast(shingle_counters(docs, size))
+    shift = np.uint64(64 - LOG_COUNTERS)
     mixer = np.uint64(_numbers("mix", 2)[1] | 1)
     names = ("doc_id", "d0", "d1", "n", "f0", "f1", "prefix")
     kinds = (*[pa.int64()] * 3, pa.int32(), *[pa.int64()] * 2, pa.list_(pa.int64()))
 
     def scan(batches):
-        known, ranks = shared.value
+        counters = shared.value
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch)):
                 own = np.unique(shingle_hashes(text, size))
                 mixed = (own ^ (own >> np.uint64(31))) * mixer
                 mixed ^= mixed >> np.uint64(29)
-                first = own[: prefix_length(len(own), similarity)]
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                    rank = np.where(known[at] == own, ranks[at] + 1, 0)
-                    first = own[np.argsort(rank, kind="stable")[: len(first)]]
+                rarity = counters[(own >> shift).astype(np.int64)]
+                first = own[np.argsort(rarity, kind="stable")[: prefix_length(len(own), similarity)]]
                 digest = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64).tolist()
                 bits = [_signed(majority_bits(hashes)) for hashes in (own, mixed)]
                 rows.append((doc_id, *digest, len(own), *bits, first.view(np.int64)))
@@ -263,38 +263,21 @@ def signatures(docs: DataFrame, size: int, similarity: float) -> DataFrame:
     return map_batches(ids_and_texts(docs).where("doc_id is not null"), scan, schema)
 
 
-def similar_pairs(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs (src, dst) whose texts share enough of their shingles, as sets."""
-
-    def verify(batches):
-        for batch in batches:
-            left, right = (batch.column(name).cast(pa.binary()) for name in ("left", "right"))
-            keep = []
-            for x, y in zip(left, right):  # one pair of texts at a time is held as bytes
-                x, y = (np.unique(shingle_hashes(text.as_py(), size)) for text in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                union = len(x) + len(y) - common
-                keep.append(common >= similarity * union)
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["src", "dst"])
-
-    left = texts.select(F.col("doc_id").alias("src"), F.col("text").alias("left"))
-    right = texts.select(F.col("doc_id").alias("dst"), F.col("text").alias("right"))
-    joined = pairs.join(left, "src").join(right, "dst").select("src", "dst", "left", "right")
-    return map_batches(joined, verify, "src bigint, dst bigint")
-
-
 def near_duplicate_links(
     docs: DataFrame, size: int = STAGE_WORDS, similarity: float = STAGE_SIMILARITY, radius: int = STAGE_RADIUS
 ) -> DataFrame:
-    """Links (src, dst) between near copies, src being the smaller: shingles alike as sets.
+    """Links (src, dst) that join all near copies which are connected: shingles alike as sets.
 
     Texts of one set of shingles are linked to the first of them. Of the others, any two
-    that are similar share a key, one of the rarest shingles of each. All pairs of a key of
-    few members are tried. A crowded key is resolved in rounds: some members meet all
-    others and leave it, and what is linked to a smaller one leaves every crowded key,
-    until none is left. So of two texts that are linked to no smaller one each pair was
-    tried, and a crowd makes rows by its members times its groups, not its square.
+    that are similar share a key, one of the rarest shingles of each. The members of a key
+    first meet its smallest one: each is compared with the one it shares most keys with, then
+    with all whose group is still another. Keys that then hold several groups are resolved by
+    the exact distances of their members to a text of reference: pairs whose distances differ
+    by more than a link allows are discarded, and what the others differ in decides. A pair
+    is passed over only where links already connect it or cannot link it, so a crowd makes
+    rows by its members, not its square.
     """
+    percent = round(100 * similarity)
     words = [f"f{k}" for k in range(STAGE_WIDTH)]
     prints = materialize(signatures(docs, size, similarity), "signatures")
     first = prints.groupBy("d0", "d1").agg(F.min("doc_id").alias("id"))
@@ -303,56 +286,32 @@ def near_duplicate_links(
     single = without(prints, same.select(F.col("dst").alias("doc_id"))).withColumnRenamed("doc_id", "id")
     facts = with_references(single.select("id", "n", *words), STAGE_WIDTH)
     facts = materialize(facts.select("id", F.struct("n", *words, "r0", "r1").alias("facts")), "facts")
-    keyed = single.select("id", F.explode("prefix").alias("key"))
-    keys = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
-    keys = materialize(keys.where("low < high"), "keys")
-    many = materialize(keys.where("n > 2").select("key", "n"), "many")
-    if many.count() <= MAX_BROADCAST:
-        many = F.broadcast(many)
-    members = materialize(keyed.join(many, "key"), "members")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (src, dst) that are near copies."""
+
+    def possible(pairs: DataFrame) -> DataFrame:
         a = facts.select(F.col("id").alias("src"), F.col("facts").alias("a"))
         b = facts.select(F.col("id").alias("dst"), F.col("facts").alias("b"))
         close = _distance([F.col(f"a.{w}") for w in words], [F.col(f"b.{w}") for w in words]) <= radius
-        sizes = F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n") - 1e-9
-        near = pairs.where("src < dst").distinct().join(a, "src").join(b, "dst")
-        near = materialize(near.where(sizes & references_allow(radius) & close).select("src", "dst"), "near")
-        ends = near.select(F.col("src").alias("doc_id")).union(near.select("dst")).distinct()
-        texts = with_ids(ids_and_texts(docs), ends, "left_semi").dropDuplicates(["doc_id"])
-        return materialize(similar_pairs(near, texts, size, similarity), "links")
-
-    few = members.where(F.col("n") <= CROWD).select("key", "id")
-    pairs = few.select("key", F.col("id").alias("src")).join(few.select("key", F.col("id").alias("dst")), "key")
-    links = verified(keys.where("n = 2").select(F.col("low").alias("src"), F.col("high").alias("dst")).union(pairs.select("src", "dst")))
-    found = same.union(links)
-    live = members.where(F.col("n") > CROWD).select("key", "id")
-    pivots = 1
-    while True:
-        live = materialize(without(live.withColumnRenamed("id", "doc_id"), links.select(F.col("dst").alias("doc_id"))), "live")
-        live = live.withColumnRenamed("doc_id", "id")
-        if live.isEmpty():
-            return found
-        # The least of each share of a key's members; the shares differ by round.
-        share = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots))
-        chosen = live.groupBy("key", share.alias("share")).agg(F.min("id").alias("pivot")).select("key", "pivot")
-        chosen = materialize(chosen, "pivots")
-        pairs = live.join(chosen, "key").where("id <> pivot")
-        links = verified(pairs.select(F.least("id", "pivot").alias("src"), F.greatest("id", "pivot").alias("dst")))
-        found = found.union(links)
-        live = live.join(chosen.withColumnRenamed("pivot", "id"), ["key", "id"], "left_anti")
-        pivots = min(8 * pivots, MOST_PIVOTS)
+        sizes = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
+        near = pairs.join(a, "src").join(b, "dst")
+        return near.where(sizes & references_allow(radius) & close).select("src", "dst")
+
+    keyed = single.select("id", F.explode("prefix").alias("key"))
+    return same.union(connecting_links(keyed, possible, docs, size, percent))
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each group of near copies, the one of smallest doc_id.
 
-    A doc_id that occurs in several rows keeps one of them. Rows without a doc_id stay.
+    A doc_id that occurs in several rows keeps one of them, that of the smallest digest of
+    its text. Rows without a doc_id stay.
     """
     groups = components(near_duplicate_links(docs, **options))
     kept = without(docs, groups.where("node <> component").select(F.col("node").alias("doc_id")))
     repeated = docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
     repeated = materialize(repeated, "repeated")
-    many = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    many = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns)
+    order = Window.partitionBy("doc_id").orderBy(F.sha2(F.coalesce("text", F.lit("")), 256), F.to_json(F.struct(*docs.columns)))
+    names = {name.lower() for name in docs.columns}
+    place = next(name for name in (f"place{i}" for i in range(len(names) + 1)) if name not in names)
+    many = many.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
     return without(kept, repeated).unionByName(many)
