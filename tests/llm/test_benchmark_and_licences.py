@@ -171,3 +171,22 @@ def test_licences_awkward_rows(spark):
     assert sorted(str(r.doc_id) for r in licences.licences(twice).collect()) == ["1", "1", "None"]
     none = spark.createDataFrame([], "digest string, licence string")
     assert licences.licences(twice, none).collect() == []
+
+
+def test_licence_text_that_begins_with_copyright_stays(spark):
+    isc = dict(licences.KNOWN)["ISC"].replace("above copyright notice", "above\ncopyright notice")
+    rows = [
+        (1, isc),
+        (2, "Copyright (c) 2020 Jane Doe\n" + isc),
+        (3, "Copyright 1999, 2001 by J. Doe and others\nAll rights reserved.\n\nReleased under the MIT Licence"),
+        (4, "Released under the MIT licence licence"),
+        (5, "copyright notice\nReleased under the MIT License."),
+    ]
+    found = {(r.doc_id, r.place, r.licence) for r in licences.licences(documents(spark, rows)).collect()}
+    assert found == {(1, 0, "ISC"), (2, 0, "ISC"), (3, 0, "MIT"), (3, 4, "MIT"), (5, 2, "MIT")}
+
+
+def test_neighbouring_spellings_are_all_replaced(spark):
+    frame = spark.createDataFrame([("Licence licence, LICENCE  sub\nlicence sub license",)], "t string")
+    row = frame.select(licences.canonical(frame.t).alias("c")).first()
+    assert row.c == "license license license sublicense sublicense"

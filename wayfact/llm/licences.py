@@ -8,9 +8,12 @@ notices stand on lines. Only SQL functions are used.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayfact.llm.common import ids_and_texts, prepare
+from wayfact.session import materialize
 
 #: Known licence texts and notices.
 KNOWN = (
@@ -78,24 +81,43 @@ SPELLINGS = (
 )
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+# A line that names a year or a holder; other lines that begin with the word are licence text.
+COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright[^\n]*([0-9]{4}|\(c\)|©|[ \t]by[ \t])|\(c\)|©|all rights reserved)[^\n]*"
+COPYRIGHT_SIGNS = ("copyright", "(c)", "©", "all rights reserved")
+OTHER = "[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # but line ends
+MAX_LENGTHS = 10_000  # distinct lengths of known texts up to which other lengths are passed over
+MAX_KNOWN = 500_000  # known digests up to which they are sent to the texts, some 64 MB
 
 
-def canonical(text: Column) -> Column:
-    """Lower-case words joined by one space, without copyright lines and punctuation."""
+def plain_lines(text: Column) -> Column:
+    """Lower-case words joined by one blank, without copyright lines and punctuation; line ends stay."""
     text = F.translate(text, UPPER, LOWER)
-    text = F.regexp_replace(text, COPYRIGHT_LINE, "$1")
-    text = F.concat(F.lit(" "), F.regexp_replace(text, "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", " "), F.lit(" "))
-    for spelling, common in SPELLINGS:
-        text = F.replace(text, F.lit(f" {spelling} "), F.lit(f" {common} "))
-    return F.trim(F.regexp_replace(text, " +", " "))
+    signed = reduce(lambda a, b: a | b, (F.contains(text, F.lit(sign)) for sign in COPYRIGHT_SIGNS))
+    text = F.when(signed, F.regexp_replace(text, COPYRIGHT_LINE, "$1")).otherwise(text)
+    return F.regexp_replace(text, OTHER, " ")
+
+
+def common_spellings(words: Column) -> Column:
+    """Words joined by one blank with each spelling replaced by the common one."""
+    spelled = F.concat(F.lit(" "), words, F.lit(" "))
+    variants = "|".join(spelling for spelling, _ in SPELLINGS)
+    replaced = spelled
+    for spelling, common in SPELLINGS * 2:  # neighbours share a blank, so every other one is left to the second turn
+        replaced = F.replace(replaced, F.lit(f" {spelling} "), F.lit(f" {common} "))
+    return F.when(F.rlike(spelled, F.lit(f" ({variants}) ")), F.trim(replaced)).otherwise(words)
+
+
+def canonical(text: Column) -> Column:
+    """The words of a whole text in common spelling, joined by one blank."""
+    return common_spellings(F.trim(F.regexp_replace(plain_lines(text), "[ \\n]+", " ")))
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """licence and digest, one row per distinct normalised text."""
+    """licence, digest and length, one row per distinct normalised text."""
     rows = spark.createDataFrame(list(known), "licence string, text string")
-    rows = rows.select("licence", F.sha2(canonical(F.col("text")), 256).alias("digest"))
-    return rows.groupBy("digest").agg(F.min("licence").alias("licence"))
+    rows = rows.select("licence", canonical(F.col("text")).alias("text"))
+    rows = rows.select("licence", F.length("text").alias("length"), F.sha2("text", 256).alias("digest"))
+    return rows.groupBy("digest", "length").agg(F.min("licence").alias("licence"))
 
 
 def licences(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -103,22 +125,33 @@ def licences(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
     Place 0 is the whole document, n its n-th line; lines of a one-line document are not
     looked up again. Null, empty and punctuation-only texts are no licence. Repeated rows
-    are reported for each row. ``known`` (digest, licence) may be of any size: it is
-    broadcast only where the engine sees that it is small.
+    are reported for each row. ``known`` (digest, licence, and length in characters if it is
+    known) may be of any size: it is stored and counted, and sent to the texts if it is
+    small. Only texts of a known length are hashed. Lines that begin with "copyright" are
+    left out if they name a year, a sign or "by", as lines of a holder do.
     """
     spark = prepare(docs.sparkSession)
-    known = known_digests(spark) if known is None else known
-    lines = F.split("text", "\n")
-    wholes = F.array(F.struct(F.lit(0).cast("bigint").alias("place"), F.col("text").alias("text")))
+    known = materialize(known_digests(spark) if known is None else known, "licences")
+    fits = F.lit(True)
+    if "length" in known.columns:
+        lengths = known.select("length").distinct().limit(MAX_LENGTHS + 1).collect()
+        if len(lengths) <= MAX_LENGTHS:
+            fits = F.length("text").isin([r.length for r in lengths])
+    known = known.select("digest", "licence")
+    if known.count() <= MAX_KNOWN:
+        known = F.broadcast(known)
+    lines = F.split("plain", "\n")
+    whole = F.struct(F.lit(0).cast("bigint").alias("place"), F.regexp_replace("plain", "[ \\n]+", " ").alias("text"))
     singles = F.transform(
         lines, lambda line, i: F.struct((i + 1).cast("bigint").alias("place"), line.alias("text"))
     )
-    units = F.when(F.size(lines) > 1, F.concat(wholes, singles)).otherwise(wholes)
+    units = F.when(F.size(lines) > 1, F.concat(F.array(whole), singles)).otherwise(F.array(whole))
+    # The explode of one value keeps the normalised text from being computed once more a use.
+    plain = ids_and_texts(docs).select("doc_id", F.explode(F.array(plain_lines(F.col("text")))).alias("plain"))
     found = (
-        ids_and_texts(docs)
-        .select("doc_id", F.explode(units).alias("unit"))
-        .select("doc_id", "unit.place", canonical(F.col("unit.text")).alias("text"))
-        .where("text <> ''")
+        plain.select("doc_id", F.explode(units).alias("unit"))
+        .select("doc_id", "unit.place", F.explode(F.array(common_spellings(F.trim("unit.text")))).alias("text"))
+        .where((F.col("text") != "") & fits)
         .select("doc_id", "place", F.sha2("text", 256).alias("digest"))
     )
     return found.join(known, "digest").select("doc_id", "place", "licence")

@@ -94,12 +94,15 @@ FROM parts p LEFT JOIN fits f USING (page_id)
 def _canonical(text: str) -> str:
     text = f"translate({text}, '{licences.UPPER}', '{licences.LOWER}')"
     text = (
-        rf"regexp_replace({text}, '(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*', '\1', 'g')"
+        rf"regexp_replace({text}, '(^|\n)[ \t]*(copyright[^\n]*([0-9]{{4}}|\(c\)|©|[ \t]by[ \t])|\(c\)|©|all rights reserved)[^\n]*',"
+        rf" '\1', 'g')"
     )
-    text = rf"' ' || regexp_replace({text}, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g') || ' '"
+    words = rf"regexp_split_to_array(trim(regexp_replace({text}, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g')), ' ')"
+    doubled = f"' ' || array_to_string({words}, '  ') || ' '"  # every word between two blanks of its own
     for spelling, common in licences.SPELLINGS:
-        text = f"replace({text}, ' {spelling} ', ' {common} ')"
-    return f"trim(regexp_replace({text}, ' +', ' ', 'g'))"
+        here, there = (f" {s.replace(' ', '  ')} " for s in (spelling, common))
+        doubled = f"replace({doubled}, '{here}', '{there}')"
+    return f"trim(regexp_replace({doubled}, ' +', ' ', 'g'))"
 
 
 def _licences() -> str:
