@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from helpers import awkward, documents, empty, words
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from wayfact.llm import chunk_dedup, common, simhash
 
@@ -260,3 +261,25 @@ def test_chunk_dedup_awkward_rows(spark):
     assert rows[6].text == words(30_000, 2)
     assert chunk_dedup.cut_repeats(empty(spark)).collect() == []
     assert chunk_dedup.repeated_passages(empty(spark)).collect() == []
+
+
+def test_texts_of_one_doc_id_are_judged_apart(spark):
+    shared = words(60, 1)
+    rows = [(1, shared), (2, words(120, 2)), (2, shared + " " + words(40, 3)), (2, words(120, 2))]
+    docs = documents(spark, rows, extra=True).withColumn("runs0", F.lit("x"))
+    out = chunk_dedup.cut_repeats(docs)
+    assert out.columns == docs.columns and out.count() == 4
+    texts = sorted(r.text for r in out.collect())
+    assert texts.count(words(120, 2)) == 2 and shared in texts
+    [cut] = [t for t in texts if t not in (shared, words(120, 2))]
+    assert words(30, 3).split(" ")[-1] in cut and len(cut.split()) < 60
+    assert [r.doc_id for r in chunk_dedup.repeated_passages(docs).collect()] == [2]
+
+
+def test_many_strangers_in_one_key_make_few_pairs(spark, monkeypatch):
+    """Unlike texts that share one shingle, all of whose shingles count alike."""
+    monkeypatch.setattr(simhash, "shingle_counters", lambda *_: np.zeros(1 << simhash.LOG_COUNTERS, np.uint32))
+    rows = [(i, "one two three four five " + words(60, i + 1)) for i in range(400)]
+    rows.append((1000, rows[7][1] + " more"))
+    links = {tuple(r) for r in simhash.near_duplicate_links(documents(spark, rows)).collect()}
+    assert links == {(7, 1000)}

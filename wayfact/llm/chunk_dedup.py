@@ -32,6 +32,8 @@ GEAR = np.frombuffer(
 )
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+PLACE_BITS = 32  # of a chunk's place in its text
+TAG_BITS = 24
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -93,6 +95,11 @@ def stretches(words: np.ndarray, min_words: int) -> np.ndarray:
     return (np.maximum(last, starts + 1) - starts)[found]
 
 
+def text_tag(text: bytes) -> int:
+    """Tells the texts of one doc_id apart: it stands above the places of their chunks."""
+    return xxhash.xxh3_64_intdigest(text) >> (64 - TAG_BITS)
+
+
 def _digests(batches, min_words: int):
     """One row per stretch: its digest, document, place and chunks, and whether the task has an earlier one."""
     rows: list[np.ndarray] = []
@@ -120,7 +127,7 @@ def _digests(batches, min_words: int):
                 }
             )
 
-    kind = np.dtype([("high", "i8"), ("low", "i8"), ("doc_id", "i8"), ("place", "i4"), ("chunks", "i4")])
+    kind = np.dtype([("high", "i8"), ("low", "i8"), ("doc_id", "i8"), ("place", "i8"), ("chunks", "i4")])
     digest = xxhash.xxh3_128_digest
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch)):
@@ -136,7 +143,7 @@ def _digests(batches, min_words: int):
             packed = b"".join([digest(chunks[16 * i : 16 * (i + n)]) for i, n in enumerate(counts.tolist())])
             halves = np.frombuffer(packed, "<i8").reshape(-1, 2)
             own["high"], own["low"] = halves[:, 0], halves[:, 1]
-            own["doc_id"], own["place"] = doc_id, np.arange(len(counts))
+            own["doc_id"], own["place"] = doc_id, (text_tag(text) << PLACE_BITS) + np.arange(len(counts))
             own["chunks"] = counts
             rows.append(own)
             held += len(own)
@@ -149,12 +156,13 @@ def _digests(batches, min_words: int):
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, firsts and lasts: runs of chunks, each in a stretch of ``min_words`` or more that occurs earlier.
 
-    Documents without such a run are left out. Within a task all copies of a stretch but the
+    Earlier is in a smaller doc_id or earlier in the text; a doc_id with several texts has
+    them one after the other. Documents without such a run are left out. Within a task all copies of a stretch but the
     first are marked at once, so a stretch of any number of copies sends one row a task (and
     million stretches) to its digest.
     """
     texts = ids_and_texts(docs).where("doc_id is not null")
-    schema = "high bigint, low bigint, doc_id bigint, place int, chunks int, again boolean"
+    schema = "high bigint, low bigint, doc_id bigint, place bigint, chunks int, again boolean"
     chunks = map_batches(texts, lambda batches: _digests(batches, min_words), schema)
     here = F.struct("doc_id", "place")
     chunks = chunks.withColumn("first", F.min(here).over(Window.partitionBy("again", "high", "low")))
@@ -171,18 +179,20 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 out[0].append(doc_id)
                 out[1].append(places[np.append(True, parted)].tolist())
                 out[2].append((ends[np.append(parted, True)] - 1).tolist())
-            kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+            kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             columns = [pa.array(values, kind) for values, kind in zip(out, kinds)]
             yield pa.record_batch(columns, ["doc_id", "firsts", "lasts"])
 
-    return map_batches(repeats, runs, "doc_id bigint, firsts array<int>, lasts array<int>")
+    return map_batches(repeats, runs, "doc_id bigint, firsts array<bigint>, lasts array<bigint>")
 
 
 def run_spans(text: bytes, firsts: list[int], lasts: list[int]) -> list[tuple[int, int, int]]:
-    """(start, end, words) in bytes of each run of chunks."""
-    ends = [0, *chunk_ends(text).tolist()]
+    """(start, end, words) in bytes of each run of chunks; runs of other texts of the doc_id are passed over."""
+    tag, mask = text_tag(text), (1 << PLACE_BITS) - 1
+    own = [(first & mask, last & mask) for first, last in zip(firsts, lasts) if first >> PLACE_BITS == tag]
+    ends = [0, *chunk_ends(text).tolist()] if own else []
     spans = []
-    for first, last in zip(firsts, lasts):
+    for first, last in own:
         start, end = ends[min(first, len(ends) - 1)], ends[min(last + 1, len(ends) - 1)]
         if start < end:
             spans.append((start, end, len(text[start:end].split())))
@@ -201,8 +211,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document that loses a passage: the spans cut out and the text that is left.
 
     doc_id, starts and ends (in bytes of the UTF-8 text), n_words_removed, text. Documents
-    that lose nothing have no row. Null and empty texts have no chunks. Of rows with one
-    doc_id the first with any of its text is used. Rows without a doc_id are not compared.
+    that lose nothing have no row. Null and empty texts have no chunks. Rows of one doc_id
+    are each judged by their own text; equal ones are one. Rows without a doc_id are not compared.
     """
     texts = ids_and_texts(docs)
     found = repeated_runs(docs, min_words)
@@ -239,7 +249,9 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     An n_chars column follows the new text. Rows that lose nothing are passed on as they are.
     """
     prepare(docs.sparkSession)
-    found = repeated_runs(docs, min_words).select("doc_id", F.struct("firsts", "lasts").alias("__runs"))
+    names = {name.lower() for name in docs.columns}
+    held = next(name for name in (f"runs{i}" for i in range(len(names) + 1)) if name not in names)
+    found = repeated_runs(docs, min_words).select("doc_id", F.struct("firsts", "lasts").alias(held))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, runs: pd.DataFrame) -> pd.Series:
@@ -249,9 +261,9 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             rows.append(cut_spans(data, run_spans(data, firsts, lasts)).decode("utf-8", "replace"))
         return pd.Series(rows, dtype=object)
 
-    joined = with_ids(docs, found, "left", F.size("__runs.firsts") + 1).select(*docs.columns, "__runs")
-    untouched = joined.where("__runs is null").select(*docs.columns)
-    touched = joined.where("__runs is not null").withColumn("text", cut("text", "__runs"))
+    joined = with_ids(docs, found, "left", F.size(f"{held}.firsts") + 1).select(*docs.columns, held)
+    untouched = joined.where(f"{held} is null").select(*docs.columns)
+    touched = joined.where(f"{held} is not null").withColumn("text", cut("text", held))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         touched = touched.withColumn("n_chars", F.length("text").cast(kind))
