@@ -32,13 +32,14 @@ MIN_PASSAGE = 64
 ITEMS_PER_INDEX = 20_000  # larger sets of items are searched index by index
 ITEM_BYTES_PER_INDEX = 64 << 20
 
-_EDGES = re.compile(rb"^[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+|[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+$")
+_EDGES = bytes(b for b in range(128) if not chr(b).isalnum())
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
 def term(word: bytes) -> bytes:
     """A word in lower case without ASCII punctuation at its ends."""
-    return _EDGES.sub(b"", word).decode("utf-8", "replace").lower().encode()
+    word = word.strip(_EDGES)
+    return word.lower() if word.isascii() else word.decode("utf-8", "replace").lower().encode()
 
 
 def terms(text: bytes) -> list[bytes]:
@@ -153,21 +154,24 @@ class Index:
         Only postings of an item's rarer terms are read. Its common terms could add a
         fixed share at most, so the rarer ones must make up the rest.
         """
-        counts = self.rare_starts[ids + 1] - self.rare_starts[ids]
-        places = np.flatnonzero(counts)
+        places = np.flatnonzero(self.rare_starts[ids + 1] > self.rare_starts[ids])
         if not len(places):
             return places
-        counts = counts[places]
-        first = np.repeat(self.rare_starts[ids[places]] - np.cumsum(counts) + counts, counts)
+        # A term counts once a window, however often it stands there.
+        at, own = places // step, ids[places]
+        both = (at > 0) & (at < windows)
+        pairs = np.unique(
+            np.concatenate((own * windows + np.minimum(at, windows - 1), own[both] * windows + at[both] - 1))
+        )
+        own, window = pairs // windows, pairs % windows
+        counts = self.rare_starts[own + 1] - self.rare_starts[own]
+        first = np.repeat(self.rare_starts[own] - np.cumsum(counts) + counts, counts)
         entries = first + np.arange(len(first))
         impacts = self.rare_impacts[entries]
         if impacts.sum() < self.need.min():
             return places[:0]
-        items, at = self.rare_items[entries], np.repeat(places // step, counts)
-        keys = np.concatenate((items * windows + np.minimum(at, windows - 1), items * windows + at - 1))
-        held = np.concatenate((np.ones(len(at), bool), (at > 0) & (at < windows)))
-        keys, inverse = np.unique(keys[held], return_inverse=True)
-        sums = np.bincount(inverse, weights=np.concatenate((impacts, impacts))[held])
+        keys, inverse = np.unique(self.rare_items[entries] * windows + np.repeat(window, counts), return_inverse=True)
+        sums = np.bincount(inverse, weights=impacts)
         return np.unique(keys[sums >= self.need[keys // windows]] % windows)
 
     def search(self, query: list[int], threshold: float) -> list[tuple[int, float]]:
