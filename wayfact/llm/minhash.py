@@ -35,6 +35,7 @@ GUARANTEED = CHUNKS * (ERRORS + 1) - 1  # all pairs that differ in so many posit
 # Pairs that meet are passed over beyond this distance, which links at 0.8 reach with a
 # probability below 1e-9 (10 positions differ on average, deviation 2.8).
 FARTHEST = 30
+CROWD = 16  # members of a key up to which all its open pairs are tried
 LANE = (1 << BITS) - 1
 SIGNATURE = [f"s{i}" for i in range(CHUNKS)]
 
@@ -255,8 +256,9 @@ def connecting_links(
 
     ``possible`` passes on the pairs worth comparing. The members of a key first meet the
     key's smallest one: each is confirmed against the one it shares most keys with, then
-    against all whose group is still another. Keys whose members then lie in different groups
-    are resolved by the members' differences to the smallest of them. A pair is passed over
+    against all whose group is still another. Of keys whose other members then lie in
+    different groups, those of up to ``CROWD`` members try all their pairs; larger ones are
+    resolved by the members' differences to the smallest group's text. A pair is passed over
     only where links already connect it or cannot link it, so the groups are those of all
     links, while a key of g near copies makes g pairs or a few times that, not its square.
     """
@@ -282,10 +284,19 @@ def connecting_links(
     found = first.union(second)
     groups = materialize(components(found), "groups")
     tagged = materialize(labelled(members, "id", groups, "label"), "tagged")
-    mixed = tagged.groupBy("key").agg(F.min("label").alias("ref"), F.max("label").alias("high"))
-    mixed = mixed.where("ref <> high").select("key", "ref")
-    left = materialize(tagged.join(mixed, "key").select("ref", "id", "label").distinct(), "left")
-    return found.union(links_by_differences(left, docs, size, percent))
+    others = tagged.where("id <> pivot")  # every pair with the pivot was compared or is connected
+    mixed = others.groupBy("key").agg(
+        F.count("*").alias("members"), F.min("label").alias("ref"), F.max("label").alias("high")
+    )
+    mixed = mixed.where("ref <> high").select("key", "members", "ref")
+    left = materialize(others.join(mixed, "key").select("key", "members", "ref", "id", "label"), "left")
+    few, crowded = left.where(F.col("members") <= CROWD), left.where(F.col("members") > CROWD)
+    a, b = few.alias("a"), few.alias("b")
+    apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.label") != F.col("b.label"))
+    pairs = a.join(b, apart).select(F.col("a.id").alias("src"), F.col("b.id").alias("dst")).distinct()
+    third = confirmed(possible(pairs), docs, size, percent)
+    crowded = materialize(crowded.select("ref", "id", "label").distinct(), "crowded")
+    return found.union(third).union(links_by_differences(crowded, docs, size, percent))
 
 
 def links_between(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
