@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -250,15 +249,17 @@ def links_by_differences(members: DataFrame, docs: DataFrame, size: int, percent
 
 
 def connecting_links(
-    keyed: DataFrame, possible: Callable[[DataFrame], DataFrame], docs: DataFrame, size: int, percent: int
+    keyed: DataFrame, facts: DataFrame, may: Column, docs: DataFrame, size: int, percent: int
 ) -> DataFrame:
     """Links (src, dst) that join all of (id, key) which links between members of a key connect.
 
-    ``possible`` passes on the pairs worth comparing. The members of a key first meet the
+    ``facts`` has id and facts, a struct; ``may`` tells of two of them, a and b, whether the
+    pair is worth comparing. The members of a key first meet the
     key's smallest one: each is confirmed against the one it shares most keys with, then
     against all whose group is still another. Of keys whose other members then lie in
-    different groups, those of up to ``CROWD`` members try all their pairs; larger ones are
-    resolved by the members' differences to the smallest group's text. A pair is passed over
+    different groups, those of up to ``CROWD`` members try all their pairs; the members of
+    larger ones that have anyone worth comparing in another group are resolved by their
+    differences to the smallest group's text. A pair is passed over
     only where links already connect it or cannot link it, so the groups are those of all
     links, while a key of g near copies makes g pairs or a few times that, not its square.
     """
@@ -266,6 +267,11 @@ def connecting_links(
     shared = shared.where("members > 1").select("key", "pivot")
     members = materialize(keyed.join(shared, "key"), "members")
 
+    def possible(pairs: DataFrame) -> DataFrame:
+        a = facts.select(F.col("id").alias("src"), F.col("facts").alias("a"))
+        b = facts.select(F.col("id").alias("dst"), F.col("facts").alias("b"))
+        return pairs.join(a, "src").join(b, "dst").where(may).select("src", "dst")
+
     def labelled(rows: DataFrame, node: str, groups: DataFrame, label: str) -> DataFrame:
         named = groups.select(F.col("node").alias(node), F.col("component").alias(label))
         return rows.join(named, node, "left").withColumn(label, F.coalesce(label, node))
@@ -286,30 +292,30 @@ def connecting_links(
     tagged = materialize(labelled(members, "id", groups, "label"), "tagged")
     others = tagged.where("id <> pivot")  # every pair with the pivot was compared or is connected
     mixed = others.groupBy("key").agg(
-        F.count("*").alias("members"), F.min("label").alias("ref"), F.max("label").alias("high")
+        F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high")
     )
-    mixed = mixed.where("ref <> high").select("key", "members", "ref")
-    left = materialize(others.join(mixed, "key").select("key", "members", "ref", "id", "label"), "left")
+    mixed = mixed.where("low <> high").select("key", "members")
+    left = materialize(others.join(mixed, "key").select("key", "members", "id", "label"), "left")
     few, crowded = left.where(F.col("members") <= CROWD), left.where(F.col("members") > CROWD)
     a, b = few.alias("a"), few.alias("b")
     apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.label") != F.col("b.label"))
     pairs = a.join(b, apart).select(F.col("a.id").alias("src"), F.col("b.id").alias("dst")).distinct()
     third = confirmed(possible(pairs), docs, size, percent)
-    crowded = materialize(crowded.select("ref", "id", "label").distinct(), "crowded")
+    crowded = materialize(crowded.join(facts, "id").select("key", "id", "label", "facts"), "crowded")
+    a = crowded.select("key", "id", "label", F.col("facts").alias("a"))
+    b = crowded.select(F.col("key").alias("k"), F.col("label").alias("other"), F.col("facts").alias("b"))
+    met = a.join(b, (F.col("key") == F.col("k")) & (F.col("label") != F.col("other")) & may, "left_semi")
+    met = materialize(met.select("key", "id", "label"), "met")
+    refs = met.groupBy("key").agg(F.min("label").alias("ref"))
+    crowded = materialize(met.join(refs, "key").select("ref", "id", "label").distinct(), "crowded")
     return found.union(third).union(links_by_differences(crowded, docs, size, percent))
 
 
 def links_between(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (src, dst) that join all classes (id, n, signature) which links connect."""
     facts = classes.select("id", F.struct("n", *SIGNATURE).alias("facts"))
-
-    def possible(pairs: DataFrame) -> DataFrame:
-        a = facts.select(F.col("id").alias("src"), F.col("facts").alias("a"))
-        b = facts.select(F.col("id").alias("dst"), F.col("facts").alias("b"))
-        return pairs.join(a, "src").join(b, "dst").where(may_link("a", "b", percent)).select("src", "dst")
-
     keyed = classes.select("id", F.explode(keys()).alias("key"))
-    return connecting_links(keyed, possible, docs, size, percent)
+    return connecting_links(keyed, facts, may_link("a", "b", percent), docs, size, percent)
 
 
 def minhash_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:

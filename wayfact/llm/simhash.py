@@ -286,17 +286,10 @@ def near_duplicate_links(
     single = without(prints, same.select(F.col("dst").alias("doc_id"))).withColumnRenamed("doc_id", "id")
     facts = with_references(single.select("id", "n", *words), STAGE_WIDTH)
     facts = materialize(facts.select("id", F.struct("n", *words, "r0", "r1").alias("facts")), "facts")
-
-    def possible(pairs: DataFrame) -> DataFrame:
-        a = facts.select(F.col("id").alias("src"), F.col("facts").alias("a"))
-        b = facts.select(F.col("id").alias("dst"), F.col("facts").alias("b"))
-        close = _distance([F.col(f"a.{w}") for w in words], [F.col(f"b.{w}") for w in words]) <= radius
-        sizes = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
-        near = pairs.join(a, "src").join(b, "dst")
-        return near.where(sizes & references_allow(radius) & close).select("src", "dst")
-
+    close = _distance([F.col(f"a.{w}") for w in words], [F.col(f"b.{w}") for w in words]) <= radius
+    sizes = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
     keyed = single.select("id", F.explode("prefix").alias("key"))
-    return same.union(connecting_links(keyed, possible, docs, size, percent))
+    return same.union(connecting_links(keyed, facts, sizes & references_allow(radius) & close, docs, size, percent))
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
