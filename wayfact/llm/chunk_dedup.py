@@ -24,7 +24,7 @@ CUT_BELOW = (1 << 16) // 6  # of 65536: about one white space in six ends a chun
 RARE_CUT_BELOW = (1 << 16) // 512  # elsewhere, for texts without white space
 MAX_CHUNK = 4096
 MIN_WORDS = 20
-FLUSH_CHUNKS = 1 << 20
+FLUSH_CHUNKS = 500_000  # stretches held in a task, 20 MB and as much again to sort them
 
 #: One fixed 16-bit number per byte.
 GEAR = np.frombuffer(

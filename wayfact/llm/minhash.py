@@ -35,6 +35,7 @@ GUARANTEED = CHUNKS * (ERRORS + 1) - 1  # all pairs that differ in so many posit
 # probability below 1e-9 (10 positions differ on average, deviation 2.8).
 FARTHEST = 30
 CROWD = 16  # members of a key up to which all its open pairs are tried
+PORTION = 1 << 20  # bytes of text whose shingles are held at once
 LANE = (1 << BITS) - 1
 SIGNATURE = [f"s{i}" for i in range(CHUNKS)]
 
@@ -72,6 +73,16 @@ def shingles(texts: pa.StringArray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes ^ (hashes >> np.uint64(29)), bounds
 
 
+def portions(batches, columns: tuple[str, ...] = ("left", "right"), limit: int = PORTION):
+    """Rows of the batches, few enough at once that their texts take ``limit`` bytes or are one row's."""
+    for batch in batches:
+        sizes = sum(np.asarray(pc.fill_null(pc.binary_length(batch.column(c)), 0), np.int64) for c in columns)
+        part = np.cumsum(sizes) // limit
+        starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist()] if len(part) else []
+        for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.slice(a, b - a)
+
+
 def minima(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The chunks of each text's signature, as rows of numbers; zeros without shingles."""
     full = np.flatnonzero(np.diff(bounds))
@@ -90,7 +101,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, d0 and d1 (a digest of the set), n (its size) and the signature, a row a row."""
 
     def scan(batches):
-        for batch in batches:
+        for batch in portions(batches, ("text",)):
             hashes, bounds = shingles(batch.column("text"), size)
             digests, sizes = [], []
             for a, b in itertools.pairwise(bounds.tolist()):
@@ -161,7 +172,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     """The pairs (src, dst) whose full sets share at least ``percent`` of their union."""
 
     def verify(batches):
-        for batch in batches:
+        for batch in portions(batches):
             left, at = shingles(batch.column("left"), size)
             right, to = shingles(batch.column("right"), size)
             keep = []
@@ -182,7 +193,7 @@ def differences(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """
 
     def scan(batches):
-        for batch in batches:
+        for batch in portions(batches):
             own, at = shingles(batch.column("right"), size)
             ref, to = shingles(batch.column("left"), size)
             n, m, deltas = [], [], []
