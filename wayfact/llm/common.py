@@ -20,6 +20,15 @@ BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
 MAX_BROADCAST = 2_000_000  # numbers of eight bytes: some 64 MB once hashed
 
+# Python workers live on from stage to stage. These allocator settings make them give back
+# what one stage used, so that it doesn't add to what the next one needs.
+WORKER_MEMORY = {
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(1 << 20),
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
 # Splitting a byte string without an argument cuts at 0x20 and 0x09 to 0x0D, which
 # is the word rule [^\x20\x09-\x0D]+ used throughout.
 
@@ -28,13 +37,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings of the text operators on an existing session.
 
     Python workers look for this package where the driver found it; on a cluster that
-    installs or ships it, the extra path does no harm.
+    installs or ships it, the extra path does no harm. They also get ``WORKER_MEMORY``,
+    where the session does not say otherwise.
     """
     configure(spark)
     environment = spark.sparkContext.environment
     known = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
     if PACKAGE_ROOT not in known:
         environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *known])
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
