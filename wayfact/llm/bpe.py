@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from wayfact.llm.common import IdTable, Memo, ids_and_texts, joined_ids, map_batches, split_words
+from wayfact.llm.common import IdTable, Memo, ids_and_texts, joined_ids, kept, map_batches, split_words
 
 FLUSH = 4096  # symbols by which a long pre-token's buffer exceeds the lookahead
 SHORT = 48
@@ -30,6 +30,7 @@ NEVER = 1 << 60
 WIDE = 20  # bits of an id where two numbers are packed into one
 MASK = (1 << WIDE) - 1
 MEMO_WORDS = 50_000
+TABLE_BYTES = 24 << 20  # of each table of ids of words met lately
 
 
 def byte_symbols() -> list[str]:
@@ -56,12 +57,12 @@ class TextIds:
     words looked up; awkward ones go to ``pieces``. ``words`` and ``pieces`` encode lists.
     """
 
-    def __init__(self, pattern: str, words: Callable, pieces: Callable) -> None:
+    def __init__(self, pattern: str, words: Callable, pieces: Callable, limit: int = 64 << 20) -> None:
         # The same pattern with white space spelt out, as the expression engine here knows less.
         spelt = pattern.replace(r"\s", r"\x09-\x0D\x20")
         self._pattern, self._other = f"({spelt})", pieces
-        self._words = IdTable(lambda new: joined_ids(words(new)))
-        self._pieces = IdTable(self._encode)
+        self._words = IdTable(lambda new: joined_ids(words(new)), limit)
+        self._pieces = IdTable(self._encode, limit)
 
     def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         texts = pa.array(pieces, pa.string())
@@ -117,6 +118,7 @@ class Bpe:
             self.pattern,
             lambda words: [self.word_ids(word) for word in words],
             lambda pieces: [self.piece_ids(piece) for piece in pieces],
+            TABLE_BYTES,
         )
 
     @classmethod
@@ -286,15 +288,9 @@ class Bpe:
         return self.encode_all(pa.array([text], pa.string()))[0]
 
 
-_opened: tuple[str, Bpe | None] = ("", None)
-
-
 def opened(spec: str) -> Bpe:
-    """The vocabulary of a tokenizer's file; a worker keeps the one used last, with its memory of words."""
-    global _opened
-    if _opened[0] != spec:
-        _opened = spec, Bpe.parse(spec)
-    return _opened[1]
+    """The vocabulary of a tokenizer's file; a worker keeps it, with its memory of words, for its next task."""
+    return kept(("bpe", spec), lambda: Bpe.parse(spec))
 
 
 class TextDecoder:
@@ -354,4 +350,4 @@ def transcode(docs: DataFrame, path: str) -> DataFrame:
                 }
             )
 
-    return map_batches(ids_and_texts(docs), scan, "doc_id bigint, ids array<int>, decoded string")
+    return map_batches(ids_and_texts(docs), scan, "doc_id bigint, ids array<int>, decoded string", keeps=True)

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from wayfact.session import configure, materialize
 
@@ -159,10 +160,36 @@ def split_words(texts: pa.StringArray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words.filter(pa.array(full)))
 
 
+_kept: tuple[object, object] = (None, None)
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by a worker until another key is asked for or it is released."""
+    global _kept
+    if _kept[0] != key:
+        release()
+        _kept = key, make()
+    return _kept[1]
+
+
+def release() -> None:
+    global _kept
+    _kept = None, None
+
+
 def map_batches(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | StructType,
+    keeps: bool = False,
 ) -> DataFrame:
-    return df.mapInArrow(function, schema)
+    """``function`` over Arrow batches. Unless it ``keeps`` one itself, it first frees what a worker still keeps."""
+
+    def run(batches):
+        release()
+        yield from function(batches)
+
+    return df.mapInArrow(function if keeps else run, schema)
 
 
 def with_ids(rows: DataFrame, ids: DataFrame, how: str, values: Column | None = None) -> DataFrame:
@@ -192,7 +219,7 @@ def keep_rows(docs: DataFrame, verdicts: Callable[[list[bytes]], list[bool]]) ->
         for batch in batches:
             yield batch.filter(pa.array(verdicts(byte_texts(batch)), pa.bool_()))
 
-    return docs.mapInArrow(scan, docs.schema)
+    return map_batches(docs, scan, docs.schema)
 
 
 def components(links: DataFrame) -> DataFrame:
