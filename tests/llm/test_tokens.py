@@ -93,6 +93,29 @@ def test_every_plain_character():
         check("'s".join(run))
 
 
+def test_every_code_point():
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for start in range(0, len(points), 50_000):
+        texts = [f"a{chr(c)}b" for c in points[start : start + 50_000]]
+        expected = library().encode_batch(texts, add_special_tokens=False)
+        rows = own().encode_all(pa.array(texts, pa.string()))
+        assert all(row.tolist() == other.ids for row, other in zip(rows, expected))
+
+
+def test_texts_of_rare_blocks():
+    draw = random.Random(7)
+    blocks = [(0x80, 0x600), (0x530, 0x560), (0x880, 0xD00), (0x1C80, 0x1D00), (0xA700, 0xA800), (0xD7B0, 0xD800)]
+    blocks += [(0xF900, 0x10000), (0x10000, 0x11000), (0x1E000, 0x1F000), (0xE000, 0x110000)]
+    parts = ["the", " ", "'s", "\u0301", "\u3099", "1"]
+    texts = [
+        "".join(draw.choice([chr(draw.randrange(*draw.choice(blocks))), draw.choice(parts)]) for _ in range(30))
+        for _ in range(6_000)
+    ]
+    expected = library().encode_batch(texts, add_special_tokens=False)
+    rows = own().encode_all(pa.array(texts, pa.string()))
+    assert all(row.tolist() == other.ids for row, other in zip(rows, expected))
+
+
 def test_batches_of_mixed_texts():
     texts = ["", "plain words", " spaced  out\n", "odd　space", "x<|endoftext|>y", "É'LL", "日本"] * 3
     rows = own().encode_all(pa.array(texts, pa.string()).slice(2))

@@ -12,7 +12,6 @@ from __future__ import annotations
 import codecs
 import heapq
 import json
-import unicodedata
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -21,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from wayfact.llm.common import IdTable, Memo, ids_and_texts, joined_ids, kept, map_batches, split_words
 
@@ -98,8 +98,12 @@ class Bpe:
             number: token.encode() for token, number in (self.vocab | self.special).items()
         }
         self._words = regex.compile(self.pattern)
-        self._space = regex.compile(r"\s+")
-        if any(self._space.search(mark) for mark in self.special):
+        # Case, normal forms, letters and numbers beyond ASCII are those of the library's own Unicode tables.
+        self._normal = normalizers.Sequence(
+            [normalizers.NFC(), normalizers.Replace(Regex(r"\s+"), " "), normalizers.Lowercase()]
+        )
+        self._split = pre_tokenizers.Split(Regex(self.pattern), "removed", invert=True)
+        if any(regex.search(r"\s", mark) for mark in self.special):
             raise ValueError("special tokens with white space are not supported")
         self._marks = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         if max(self.token_bytes) > MASK:
@@ -278,11 +282,8 @@ class Bpe:
     def words(self, piece: str) -> list[str]:
         """Pre-tokens of a text without special tokens, normalised."""
         if piece.isascii():
-            text = piece.lower()
-        else:
-            text = self._space.sub(" ", unicodedata.normalize("NFC", piece))
-            text = "".join(map(str.lower, text))  # character by character: no rule for word ends
-        return self._words.findall(text)
+            return self._words.findall(piece.lower())
+        return [word for word, _ in self._split.pre_tokenize_str(self._normal.normalize_str(piece))]
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all(pa.array([text], pa.string()))[0]
