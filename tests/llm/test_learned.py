@@ -91,6 +91,24 @@ def test_risk_finds_the_positives():
     assert (scores[:600] > 0.5).mean() > 0.95 and (scores[600:] < 0.5).mean() > 0.95
 
 
+@pytest.mark.parametrize("prior", [0.6, None])
+def test_risk_over_all_rows_is_that_of_the_matrix(spark, prior):
+    draw = np.random.default_rng(2)
+    positive = draw.normal(0.5, 1, (200, pu_quality.WIDTH))
+    unlabelled = draw.normal(0.0, 1, (900, pu_quality.WIDTH))
+    rows = spark.createDataFrame([(row.tolist(),) for row in unlabelled], "features array<double>").repartition(7)
+    whole, spread = (pu_quality.fit_risk(positive, u, prior) for u in (unlabelled, rows))
+    assert np.allclose(whole.weights, spread.weights, atol=1e-6) and abs(whole.bias - spread.bias) < 1e-6
+
+
+def test_descent_finds_the_least_value():
+    draw = np.random.default_rng(3)
+    root = draw.normal(size=(6, 6))
+    square, at = root @ root.T + np.eye(6), draw.normal(size=6)
+    found = pu_quality.descend(lambda x: ((x - at) @ square @ (x - at) / 2, square @ (x - at)), np.zeros(6))
+    assert np.abs(square @ (found - at)).max() <= pu_quality.TOLERANCE
+
+
 @pytest.mark.parametrize("operator", [toxicity.toxicity, pu_quality.pu_quality])
 def test_models_awkward_rows(spark, operator):
     docs = awkward(spark)

@@ -7,6 +7,9 @@ upper score shares. No text labelled as bad is ever used.
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -17,10 +20,12 @@ from wayfact.llm.quality_rules import repeated_words
 from wayfact.session import materialize
 
 GRAM_BUCKETS = 256
-MAX_POSITIVE = 4_000  # rows a model is fitted on; the prior and the scores use all rows
-MAX_UNLABELLED = 8_000
+MAX_POSITIVE = 4_000  # labelled rows a model is fitted on; of unlabelled ones all count
 MIN_POSITIVES_ABOVE = 0.2
-STEPS = 400
+PASSES = 30  # at most so many sums over all unlabelled rows a fit
+TOLERANCE = 1e-2  # an early stop, which keeps scores near the threshold from saturating
+SHORTEST = 1e-2
+SMOOTH = 0.03
 BINS = 1000
 DENSE = 12
 WIDTH = DENSE + GRAM_BUCKETS
@@ -69,6 +74,12 @@ def _features(batches):
         yield pa.record_batch({"doc_id": batch.column("doc_id"), "features": features})
 
 
+def matrix(features: pa.ListArray | pa.ChunkedArray) -> np.ndarray:
+    chunks = features.chunks if isinstance(features, pa.ChunkedArray) else [features]
+    flat = np.concatenate([np.asarray(chunk.flatten()) for chunk in chunks] or [np.zeros(0)])
+    return flat.reshape(-1, WIDTH).astype(np.float64)
+
+
 def sample_matrix(rows: DataFrame, limit: int) -> np.ndarray:
     """At most ``limit`` feature rows, those of smallest hash of their doc_id."""
     n = rows.count()
@@ -76,9 +87,7 @@ def sample_matrix(rows: DataFrame, limit: int) -> np.ndarray:
     if n > limit:  # a little over the share, so that few rows are ordered and sent
         share = min(1.0, 1.1 * limit / n)
         rows = rows.where(order <= int((2 * share - 1) * ((1 << 63) - 1)))
-    found = rows.orderBy(order, "doc_id").limit(limit).select("features").toArrow().column("features")
-    flat = np.concatenate([np.asarray(chunk.flatten()) for chunk in found.chunks] or [np.zeros(0)])
-    return flat.reshape(-1, WIDTH).astype(np.float64)
+    return matrix(rows.orderBy(order, "doc_id").limit(limit).select("features").toArrow().column("features"))
 
 
 class Linear:
@@ -92,42 +101,105 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(rows @ self.weights + self.bias, -40, 40)))
 
 
-def fit_risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, decay: float = 1e-3) -> Linear:
-    """Minimises the non-negative risk with logistic loss, by full-batch steps.
+def summed(rows: DataFrame | np.ndarray, values: Callable[[np.ndarray], np.ndarray], width: int) -> np.ndarray:
+    """Sum over all ``rows`` of ``values``, which gives ``width`` sums for a matrix of them.
+
+    Each task sends one sum a position, and Spark adds them by position, so the driver gets
+    ``width`` numbers whatever the number of rows. A matrix is summed where it is.
+    """
+    if isinstance(rows, np.ndarray):
+        return values(rows)
+
+    def scan(batches):
+        total = np.zeros(width)
+        for batch in batches:
+            total += values(matrix(batch.column("features")))
+        yield pa.record_batch({"place": pa.array(range(width), pa.int32()), "total": pa.array(total)})
+
+    found = map_batches(rows.select("features"), scan, "place int, total double").groupBy("place").agg(F.sum("total"))
+    out = np.zeros(width)
+    for place, total in found.collect():
+        out[place] = total
+    return out
+
+
+def descend(function: Callable[[np.ndarray], tuple[float, np.ndarray]], point: np.ndarray) -> np.ndarray:
+    """Where ``function`` (value and gradient) is least, by L-BFGS.
+
+    A step is halved while it does not lower the value enough; ends at a small gradient,
+    a short step, or after ``PASSES`` calls.
+    """
+    value, gradient = function(point)
+    known: deque[tuple[np.ndarray, np.ndarray]] = deque(maxlen=10)
+    calls = 1
+    while np.abs(gradient).max() > TOLERANCE:
+        move, parts = -gradient, []
+        for step, change in reversed(known):
+            parts.append((step @ move) / (step @ change))
+            move = move - parts[-1] * change
+        if known:
+            step, change = known[-1]
+            move = move * ((step @ change) / (change @ change))
+        for (step, change), part in zip(known, reversed(parts)):
+            move = move + (part - (change @ move) / (step @ change)) * step
+        length = 1.0 if known else min(1.0, 1 / float(np.linalg.norm(gradient)))
+        while True:
+            if calls >= PASSES or length < SHORTEST:
+                return point
+            after, slope = function(point + length * move)
+            calls += 1
+            if after <= value + 1e-4 * length * float(gradient @ move):
+                break
+            length /= 2
+        if (slope - gradient) @ move > 0:
+            known.append((length * move, slope - gradient))
+        point, value, gradient = point + length * move, after, slope
+    return point
+
+
+def fit_risk(
+    positive: np.ndarray, unlabelled: DataFrame | np.ndarray, prior: float | None, decay: float = 1e-3
+) -> Linear:
+    """Minimises the non-negative risk with logistic loss over all rows, by full-batch steps.
 
     With prior p the risk is p * loss(positive, +) + max(0, loss(unlabelled, -) -
-    p * loss(positive, -)); where the second part is negative its gradient is reversed.
-    Without a prior the two samples are simply told apart.
+    p * loss(positive, -)); where the second part is negative its gradient is reversed, by
+    counting its size (within ``SMOOTH`` of 0 as a curve, so that steps can follow it).
+    Without a prior the two samples are simply told apart. ``unlabelled`` are stored rows
+    with ``features``, read once a step, or a matrix; the result is the same but for the
+    last digits, which follow the order of sums.
     """
-    mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 0.02
-    p_rows, u_rows = (np.clip((rows - mean) / scale, -8, 8) for rows in (positive, unlabelled))
-    weights, bias = np.zeros(WIDTH), 0.0
-    first, second = np.zeros(WIDTH + 1), np.zeros(WIDTH + 1)
-
-    def sigmoid(values: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(values, -40, 40)))
-
-    for step in range(1, STEPS + 1):
-        p_value, u_value = p_rows @ weights + bias, u_rows @ weights + bias
-        p_score, u_score = sigmoid(p_value), sigmoid(u_value)
-        u_part = (u_score / len(u_rows)) @ u_rows, u_score.mean()
-        p_up = ((p_score - 1) / len(p_rows)) @ p_rows, (p_score - 1).mean()
-        if prior is None:
-            parts = [u_part, p_up]
-        else:
-            p_down = (p_score / len(p_rows)) @ p_rows, p_score.mean()
-            negative = np.logaddexp(0, u_value).mean() - prior * np.logaddexp(0, p_value).mean()
-            excess = tuple(u - prior * p for u, p in zip(u_part, p_down))
-            if negative < 0:
-                parts = [tuple(-x for x in excess)]
-            else:
-                parts = [tuple(prior * x for x in p_up), excess]
-        gradient = np.append(sum(g for g, _ in parts) + decay * weights, sum(b for _, b in parts))
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.999 * second + 0.001 * gradient**2
-        move = 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-        weights, bias = weights - move[:-1], bias - float(move[-1])
-    return Linear(mean, scale, weights, bias)
+    sums = summed(unlabelled, lambda x: np.concatenate((x.sum(axis=0), (x * x).sum(axis=0), [len(x)])), 2 * WIDTH + 1)
+    n = sums[-1]
+    mean = sums[:WIDTH] / n
+    scale = np.sqrt(np.maximum(0, sums[WIDTH:-1] / n - mean**2)) + 0.02
+    share, opposed = (1.0, 0.0) if prior is None else (prior, prior)
+
+    def standard(rows: np.ndarray) -> np.ndarray:
+        return np.clip((rows - mean) / scale, -8, 8)
+
+    def pulled(rows: np.ndarray, point: np.ndarray) -> np.ndarray:
+        """Gradient of the summed loss of rows taken as negative, and that loss."""
+        values = rows @ point[:-1] + point[-1]
+        scores = 1 / (1 + np.exp(-np.clip(values, -40, 40)))
+        return np.concatenate((scores @ rows, [scores.sum(), np.logaddexp(0, values).sum()]))
+
+    p_rows = standard(positive)
+    # The logistic losses of the two labels differ by the value itself.
+    p_mean = np.append(p_rows.mean(axis=0), 1.0)
+
+    def risk(point: np.ndarray) -> tuple[float, np.ndarray]:
+        u = summed(unlabelled, lambda rows: pulled(standard(rows), point), WIDTH + 2) / n
+        p = pulled(p_rows, point) / len(p_rows)
+        negative = u - opposed * p
+        size = np.hypot(negative[-1], SMOOTH)
+        weights = np.append(point[:-1], 0.0)
+        value = share * (p[-1] - p_mean @ point) + size + decay / 2 * (weights @ weights)
+        gradient = share * (p[:-1] - p_mean) + negative[:-1] * (negative[-1] / size) + decay * weights
+        return float(value), gradient
+
+    point = descend(risk, np.zeros(WIDTH + 1))
+    return Linear(mean, scale, point[:-1], float(point[-1]))
 
 
 def scored(rows: DataFrame, model: Linear, columns: str) -> DataFrame:
@@ -137,9 +209,8 @@ def scored(rows: DataFrame, model: Linear, columns: str) -> DataFrame:
 
     def score(batches):
         for batch in batches:
-            flat = np.asarray(batch.column("features").flatten()).reshape(-1, WIDTH)
             out = {name: batch.column(name) for name in names}
-            yield pa.record_batch({**out, "score": pa.array(shared.value(flat.astype(np.float64)))})
+            yield pa.record_batch({**out, "score": pa.array(shared.value(matrix(batch.column("features"))))})
 
     return map_batches(rows.select(*names, "features"), score, f"{columns}, score double")
 
@@ -172,7 +243,8 @@ def pu_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Positives are the texts labelled good outside the held-out fold; unlabelled are the
     texts without any label. One half of both serves to tell them apart, the other half to
-    estimate the prior; the model is then fitted on samples of all. Where either is missing, every score is 0.5. Null and empty
+    estimate the prior; the model is then fitted on all unlabelled texts and at most
+    ``MAX_POSITIVE`` positives. Where either is missing, every score is 0.5. Null and empty
     texts are scored by their form. Rows without a doc_id are scored and not held out;
     repeated rows are scored alike.
     """
@@ -181,15 +253,16 @@ def pu_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     positive = with_ids(rows, good, "left_semi")
     labelled = labels.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null").distinct()
     unlabelled = with_ids(rows.where("doc_id is not null"), labelled, "left_anti").where(~held_out(F.col("doc_id")))
-    p, u = sample_matrix(positive, MAX_POSITIVE), sample_matrix(unlabelled, MAX_UNLABELLED)
-    if len(p) and len(u):
+    unlabelled = materialize(unlabelled, "unlabelled")  # read once a step
+    p = sample_matrix(positive, MAX_POSITIVE)
+    if len(p) and not unlabelled.isEmpty():
         half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0
         a = sample_matrix(positive.where(half), MAX_POSITIVE)
-        b = sample_matrix(unlabelled.where(half), MAX_UNLABELLED)
+        b = unlabelled.where(half)
         prior = 0.5
-        if len(a) and len(b):
+        if len(a) and not b.isEmpty():
             prior = class_prior(fit_risk(a, b, None), positive.where(~half), unlabelled.where(~half))
-        model = fit_risk(p, u, prior)
+        model = fit_risk(p, unlabelled, prior)
     else:
         model = Linear(np.zeros(WIDTH), np.ones(WIDTH), np.zeros(WIDTH), 0.0)
     judged = scored(rows, model, "doc_id bigint")
