@@ -170,6 +170,18 @@ def test_crowded_keys_lose_no_near_copy(spark):
     assert kept == sets.keys() - copies
 
 
+def test_counters_count_every_text(spark):
+    rows = [(i, f"the same five words here {words(30, i + 1)}") for i in range(120)]
+    rows += [(7, words(20, 500)), (7, words(20, 500)), (None, words(20, 501)), (200, None), (201, "")]
+    expected = np.zeros(1 << simhash.LOG_COUNTERS, np.int64)
+    for doc_id, text in rows:
+        if doc_id is not None:
+            for shingle in set(simhash.shingle_hashes((text or "").encode(), simhash.STAGE_WORDS).tolist()):
+                expected[shingle >> 64 - simhash.LOG_COUNTERS] += 1
+    counters = simhash.shingle_counters(documents(spark, rows).repartition(5), simhash.STAGE_WORDS)
+    assert expected.max() >= 120 and (counters == expected).all()
+
+
 # chunks
 
 

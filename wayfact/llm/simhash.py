@@ -35,8 +35,7 @@ STAGE_WORDS = 5
 STAGE_WIDTH = 2
 STAGE_RADIUS = 44  # copies at 0.8 differ in about 19 bits (deviation 4), strangers in 64
 STAGE_SIMILARITY = 0.8
-SAMPLE = 16  # one text in so many tells which shingles are common; this only orders them
-LOG_COUNTERS = 20  # shingles share this many counters, as a power of two
+LOG_COUNTERS = 20  # shingles share this many counters, as a power of two; they only order shingles
 
 
 def _signed(value: int) -> int:
@@ -202,10 +201,10 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS, size: int = 3) ->
 
 
 def shingle_counters(docs: DataFrame, size: int) -> np.ndarray:
-    """How often sampled texts hold the shingles of each counter.
+    """How many texts hold the shingles of each counter, over all rows with a doc_id.
 
     Any order of shingles brings all pairs together; this one only keeps keys small, so a
-    sample and a table of fixed size do.
+    table of fixed size does.
     """
     shift = np.uint64(64 - LOG_COUNTERS)
 
@@ -218,10 +217,10 @@ def shingle_counters(docs: DataFrame, size: int) -> np.ndarray:
         used = np.flatnonzero(held)
         yield pa.record_batch({"place": pa.array(used), "n": pa.array(held[used])})
 
-    sampled = ids_and_texts(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
-    counts = map_batches(sampled, scan, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    texts = ids_and_texts(docs).where("doc_id is not null")
+    counts = map_batches(texts, scan, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
     rows = counts.toArrow()  # at most one row a counter
-    counters = np.zeros(1 << LOG_COUNTERS, np.uint32)
+    counters = np.zeros(1 << LOG_COUNTERS, np.int64)
     counters[rows["place"].to_numpy()] = rows["n"].to_numpy()
     return counters
 
