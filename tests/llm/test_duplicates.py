@@ -182,6 +182,29 @@ def test_counters_count_every_text(spark):
     assert expected.max() >= 120 and (counters == expected).all()
 
 
+def test_counters_reach_the_driver_packed(spark, monkeypatch):
+    docs = documents(spark, [(i, f"{words(30_000, i)} the same five words here") for i in range(12)])
+    frame, got = type(docs), []
+    collect = frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda self: got.append(collect(self)) or got[-1])
+    counters = simhash.shingle_counters(docs, simhash.STAGE_WORDS)
+    assert np.count_nonzero(counters) > 250_000 and counters.sum() > 359_000
+    assert sum(table.nbytes for table in got) < 2 << simhash.LOG_COUNTERS
+    assert counters.nbytes <= 2 << simhash.LOG_COUNTERS
+
+
+@pytest.mark.parametrize("pairs, stored", [([], 1), ([(1, 2), (3, 1), (9, 7), (1, 2), (4, 4)], 1), ([(1, 2), (2, 3)], 2)])
+def test_components_end_with_stars(spark, monkeypatch, pairs, stored):
+    calls, store = [], common.materialize
+    monkeypatch.setattr(common, "materialize", lambda *args: calls.append(args) or store(*args))
+    links = spark.createDataFrame(pairs, "src bigint, dst bigint")
+    got = {r.node: r.component for r in common.components(links).collect()}
+    near = {i: {i} for pair in pairs for i in pair if pair[0] != pair[1]}
+    for a, b in 3 * [pair for pair in pairs if pair[0] != pair[1]]:
+        near[a] = near[b] = near[a] | near[b]
+    assert len(calls) == stored and got == {i: min(near[i]) for i in near}
+
+
 # chunks
 
 

@@ -36,6 +36,7 @@ STAGE_WIDTH = 2
 STAGE_RADIUS = 44  # copies at 0.8 differ in about 19 bits (deviation 4), strangers in 64
 STAGE_SIMILARITY = 0.8
 LOG_COUNTERS = 20  # shingles share this many counters, as a power of two; they only order shingles
+LOG_BLOCK = 10  # this many of them travel in one row, as a power of two
 
 
 def _signed(value: int) -> int:
@@ -204,7 +205,8 @@ def shingle_counters(docs: DataFrame, size: int) -> np.ndarray:
     """How many texts hold the shingles of each counter, over all rows with a doc_id.
 
     Any order of shingles brings all pairs together; this one only keeps keys small, so a
-    table of fixed size does.
+    table of fixed size does. It reaches the driver in blocks, and neither there nor in
+    the result a counter takes more bytes than the largest one needs.
     """
     shift = np.uint64(64 - LOG_COUNTERS)
 
@@ -217,12 +219,21 @@ def shingle_counters(docs: DataFrame, size: int) -> np.ndarray:
         used = np.flatnonzero(held)
         yield pa.record_batch({"place": pa.array(used), "n": pa.array(held[used])})
 
+    def pack(block):
+        places, n = block["place"].to_numpy(), block["n"].to_numpy()
+        held = np.zeros(1 << LOG_BLOCK, np.min_scalar_type(n.max()))
+        held[places % (1 << LOG_BLOCK)] = n
+        return pa.table({"block": places[:1] >> LOG_BLOCK, "held": pa.array([held.tobytes()], pa.binary())})
+
     texts = ids_and_texts(docs).where("doc_id is not null")
     counts = map_batches(texts, scan, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
-    rows = counts.toArrow()  # at most one row a counter
-    counters = np.zeros(1 << LOG_COUNTERS, np.int64)
-    counters[rows["place"].to_numpy()] = rows["n"].to_numpy()
-    return counters
+    blocks = counts.groupBy(F.shiftright("place", LOG_BLOCK)).applyInArrow(pack, "block bigint, held binary")
+    blocks = [(row["block"], row["held"]) for row in blocks.toArrow().to_pylist()]
+    width = max((len(held) for _, held in blocks), default=1 << LOG_BLOCK) >> LOG_BLOCK
+    counters = np.zeros((1 << LOG_COUNTERS - LOG_BLOCK, 1 << LOG_BLOCK), f"u{width}")
+    for place, held in blocks:
+        counters[place] = np.frombuffer(held, f"u{len(held) >> LOG_BLOCK}")
+    return counters.ravel()
 
 
 def prefix_length(shingles: int, similarity: float) -> int:
